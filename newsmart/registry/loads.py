@@ -1,11 +1,485 @@
-"""Registered queries of the ingest path."""
+"""Registered queries of the ingest path.
+
+Raw JSON is written from the article views, with values that do not fit put in by key arithmetic:
+broken lines, objects without docs, word counts of several spellings. The steps then run on it the
+way they run on delivered files.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from newsmart import schemas
+from newsmart.operators import load, shaping, slim, tables
+from newsmart.operators.staging import stg_archive_articles
+from newsmart.plans import core
 from newsmart.registry.press import Press
+from newsmart.sources import files, records
+from newsmart.sources.files import ARCHIVE_SLIM, POPULAR_SLIM
+from newsmart.streaming.loader import start_loading
+
+
+def _key() -> Column:
+    return F.substring("article_id", 2, 20).cast("bigint")
+
+
+def _media(key: Column) -> Column:
+    """Up to two images, a video, an item without type and one with an empty type."""
+    kinds = F.array(
+        F.when(key % 3 > 0, "image"),
+        F.when(key % 3 > 1, "image"),
+        F.when(key % 2 > 0, "video"),
+        F.when(key % 7 == 0, ""),
+    )
+    return F.transform(kinds, lambda t: F.struct(t.alias("type")))
+
+
+def _raw_archive(p: Press) -> str:
+    """Raw archive objects, one per line, in one folder per year and month."""
+    folder = f"{p.root}/landing/archive_raw"
+
+    def write() -> None:
+        key = _key()
+
+        def raw(word_count: Column) -> Column:
+            doc = F.struct(
+                F.col("article_id").alias("_id"),
+                "uri",
+                F.concat(F.col("pub_date").cast("string"), F.lit("T05:00:00+0000")).alias(
+                    "pub_date"
+                ),
+                "section_name", "news_desk", "type_of_material", "document_type",
+                word_count.alias("word_count"),
+                "web_url",
+                F.struct(F.col("headline_main").alias("main")).alias("headline"),
+                F.struct(
+                    F.col("byline_original").alias("original"),
+                    F.when(key % 11 != 0, F.col("byline_person")).alias("person"),
+                ).alias("byline"),
+                "abstract", "snippet",
+                "keywords",
+                F.when(key % 10 != 0, _media(key)).alias("multimedia"),
+            )
+            return F.to_json(F.struct(F.struct(F.array(doc).alias("docs")).alias("response")))
+
+        text = (
+            F.when(key % 101 == 0, '{"response": {"docs": [')
+            .when(key % 53 == 0, '{"response": {}}')
+            .when(key % 41 == 0, raw(F.lit("12x")))
+            .when(key % 43 == 0, raw(F.lit(12.5)))
+            .when(key % 47 == 0, raw(F.lit("120.0")))
+            .otherwise(raw(F.col("word_count")))
+        )
+        month = F.lpad(F.month("pub_date").cast("string"), 2, "0")
+        (
+            p.archive.select(F.year("pub_date").alias("year"), month.alias("month"), key.alias("k"),
+                             text.alias("value"))
+            .repartitionByRange("year", "month", "k")
+            .drop("k")
+            .write.partitionBy("year", "month")
+            .text(folder)
+        )
+
+    return p.once("archive_raw", folder, write)
+
+
+def _raw_popular(p: Press) -> str:
+    """Raw popularity objects, one per line, in one folder per day."""
+    folder = f"{p.root}/landing/most_popular_raw"
+
+    def write() -> None:
+        kinds = F.array(F.lit("image"), F.when(F.col("id") % 4 > 0, "image"))
+
+        def raw(asset_id: Column) -> Column:
+            doc = F.struct(
+                "id", "uri", "url", asset_id.alias("asset_id"), "source", "published_date",
+                "updated", "section", "subsection", "byline", "type", "title", "abstract",
+                F.when(F.col("id") % 6 != 0, F.col("des_facet")).alias("des_facet"),
+                "org_facet", "per_facet", "geo_facet",
+                F.transform(kinds, lambda t: F.struct(t.alias("type"))).alias("media"),
+                "adx_keywords",
+            )
+            return F.to_json(F.struct(F.array(doc).alias("results"), F.lit(1).alias("num_results")))
+
+        text = F.when(F.col("asset_id") % 37 == 0, raw(F.lit("none"))).otherwise(
+            raw(F.col("asset_id"))
+        )
+        (
+            p.popular.select("snapshot_date", "id", text.alias("value"))
+            .repartitionByRange("snapshot_date", "id")
+            .drop("id")
+            .write.partitionBy("snapshot_date")
+            .text(folder)
+        )
+
+    return p.once("most_popular_raw", folder, write)
+
+
+def _slim_archive(p: Press) -> str:
+    folder = f"{p.root}/landing/slim/{ARCHIVE_SLIM}"
+    raw = _raw_archive(p)
+    return p.once(
+        "archive_slim",
+        folder,
+        lambda: slim.transform_archive(p.spark, raw, folder, multiline=False),
+    )
+
+
+def _slim_popular(p: Press) -> str:
+    folder = f"{p.root}/landing/slim/{POPULAR_SLIM}"
+    raw = _raw_popular(p)
+    return p.once(
+        "most_popular_slim",
+        folder,
+        lambda: slim.transform_popular(p.spark, raw, folder, multiline=False),
+    )
+
+
+def _landing(p: Press) -> str:
+    _slim_archive(p)
+    _slim_popular(p)
+    return f"{p.root}/landing/slim"
+
+
+def _docs(p: Press) -> DataFrame:
+    return records.raw_archive(p.spark, _raw_archive(p), multiline=False)
+
+
+def _results(p: Press) -> DataFrame:
+    return records.raw_popular(p.spark, _raw_popular(p), multiline=False)
+
+
+def _checked(p: Press) -> DataFrame:
+    return shaping.checked_articles(shaping.slim_articles(_docs(p)))
+
+
+def _checked_popular(p: Press) -> DataFrame:
+    return shaping.checked_popular(shaping.slim_popular(_results(p)))
+
+
+def _counts(c: str) -> Column:
+    from newsmart.registry.queries import counts_text
+
+    return counts_text(c)
+
+
+SCALARS = (
+    "article_id uri pub_date section_name news_desk type_of_material document_type word_count "
+    "web_url headline_main byline_original abstract snippet"
+).split()
+
+
+def _readable(df: DataFrame) -> DataFrame:
+    """Slim or loaded articles with their nested columns as text."""
+    from newsmart.registry.queries import keywords_text, persons_text
+
+    return df.select(
+        *SCALARS,
+        keywords_text().alias("keywords"),
+        persons_text().alias("byline_person"),
+        _counts("multimedia_count_by_type").alias("multimedia_count_by_type"),
+    )
+
+
+POPULAR_SCALARS = (
+    "id uri url asset_id source published_date updated section subsection byline type title "
+    "abstract adx_keywords"
+).split()
+
+
+def _readable_popular(df: DataFrame) -> DataFrame:
+    facets = ("des_facet", "org_facet", "per_facet", "geo_facet")
+    return df.select(
+        "snapshot_date",
+        *POPULAR_SCALARS,
+        *[F.array_join(c, "|").alias(c) for c in facets],
+        _counts("media_count_by_type").alias("media_count_by_type"),
+    )
+
+
+def _targets(p: Press, name: str) -> load.Targets:
+    database = f"news_{name}_{p.mark}"
+    return load.create_targets(p.spark, database, f"{p.root}/db/{name}", _landing(p))
+
+
+# --- listings ------------------------------------------------------------------------------------
+
+
+def _feed_folders(p: Press) -> DataFrame:
+    """Feed and folder of every slim file; files outside the feeds are not listed."""
+    landing = _landing(p)
+    routed = files.route(files.list_files(p.spark, f"{p.root}/landing"), landing)
+    return (
+        routed.where(F.col("feed").isNotNull())
+        .select(
+            "feed",
+            files.path_year(F.col("path")).alias("year"),
+            files.path_month(F.col("path")).alias("month"),
+            "snapshot_date",
+        )
+        .distinct()
+    )
+
+
+def _manifest_of_even_months(p: Press) -> DataFrame:
+    path = F.col("object_path")
+    routed = files.route(files.list_files(p.spark, _landing(p)), _landing(p))
+    return routed.where(files.path_month(path) % 2 == 0).select(
+        F.col("feed").alias("source"), path.alias("path"), F.current_timestamp().alias("loaded_at")
+    )
+
+
+def _file_status(p: Press) -> DataFrame:
+    routed = files.route(files.list_files(p.spark, _landing(p)), _landing(p))
+    return files.file_status(routed, _manifest_of_even_months(p))
+
+
+def _months_left(p: Press) -> DataFrame:
+    path = F.col("path")
+    return (
+        _file_status(p)
+        .where(F.col("feed") == ARCHIVE_SLIM)
+        .select(files.path_year(path).alias("year"), files.path_month(path).alias("month"), "status")
+        .distinct()
+    )
+
+
+def _popular_files(p: Press) -> DataFrame:
+    return (
+        _file_status(p)
+        .where(F.col("feed") == POPULAR_SLIM)
+        .select("snapshot_date", "status")
+        .distinct()
+    )
+
+
+# --- slim files ----------------------------------------------------------------------------------
+
+
+def _skipped_then_written(p: Press) -> DataFrame:
+    """Articles per slim month after a second run, which finds every month done and adds nothing."""
+    folder = _slim_archive(p)
+    slim.transform_archive(p.spark, _raw_archive(p), folder, multiline=False)
+    path = F.col("file_path")
+    return (
+        records.slim_archive(p.spark, folder)
+        .groupBy(files.path_year(path).alias("year"), files.path_month(path).alias("month"))
+        .agg(F.count(F.lit(1)).alias("articles"))
+    )
+
+
+def _overwritten(p: Press) -> DataFrame:
+    """Articles per slim day after a first run and an overwriting one."""
+    folder = f"{p.root}/landing/again/{POPULAR_SLIM}"
+    for _ in range(2):
+        slim.transform_popular(
+            p.spark, _raw_popular(p), folder, overwrite=True, multiline=False
+        )
+    return (
+        records.slim_popular(p.spark, folder)
+        .groupBy("snapshot_date")
+        .agg(F.count(F.lit(1)).alias("articles"))
+    )
+
+
+# --- merges and loads ----------------------------------------------------------------------------
+
+
+def _merge_rows(p: Press) -> tuple[DataFrame, DataFrame]:
+    """A target of every third key and a source of even keys with a changed word count."""
+    rows = p.archive.select("article_id", "pub_date", "word_count")
+    key = _key()
+    target = rows.where(key % 3 == 0)
+    source = rows.where(key % 2 == 0).withColumn("word_count", F.lit(-1).cast("bigint"))
+    return target, source
+
+
+def _insert_only(p: Press) -> DataFrame:
+    """Target and merged rows together; matched rows keep their old word count."""
+    target, source = _merge_rows(p)
+    name = f"{_database(p)}.merged_articles"
+    with_month = tables.month_of("pub_date")
+    tables.write_table(
+        target.withColumn("part_month", with_month), name, "part_month", key="article_id"
+    )
+    for _ in range(2):  # the second merge finds every key present
+        tables.merge_into(
+            p.spark, name, source.withColumn("part_month", with_month), ["article_id"], "part_month"
+        )
+    return p.spark.table(name)
+
+
+def _insert_only_popular(p: Press) -> DataFrame:
+    rows = p.popular.select("snapshot_date", "id", "asset_id")
+    target = rows.where(F.col("id") % 3 == 0)
+    source = rows.where(F.col("id") % 2 == 0).withColumn("asset_id", F.lit(-1).cast("bigint"))
+    name = f"{_database(p)}.merged_popular"
+    tables.write_table(target, name, "snapshot_date")
+    tables.merge_into(p.spark, name, source, ["snapshot_date", "id"], "snapshot_date")
+    return p.spark.table(name)
+
+
+def _database(p: Press) -> str:
+    name = f"news_models_{p.mark}"
+    tables.create_database(p.spark, name, f"{p.root}/db/models")
+    return name
+
+
+def _upserted(p: Press) -> DataFrame:
+    """Odd-keyed articles first; then all of the second half, moved by a year and with new counts."""
+    rows = p.archive.select("article_id", "pub_date", "word_count")
+    key = _key()
+    name = f"{_database(p)}.upserted_articles"
+
+    def dated(df: DataFrame) -> DataFrame:
+        return df.withColumn("part_month", tables.month_of("pub_date"))
+
+    first = dated(rows.where(key % 2 == 1))
+    tables.write_table(first, name, "part_month", ["pub_date"], "article_id")
+    changed = rows.where(key % 4 == 1).select(
+        "article_id",
+        F.add_months("pub_date", 12).alias("pub_date"),
+        F.lit(-1).cast("bigint").alias("word_count"),
+    )
+    tables.upsert(p.spark, name, dated(changed), ["article_id"], "part_month")
+    return p.spark.table(name)
+
+
+def _incremental(p: Press) -> DataFrame:
+    """The article fact built in two runs: articles up to 1998, then what is dated later.
+
+    Between the runs some older articles arrive; the date filter leaves them out.
+    """
+    name = f"{_database(p)}.incremental_fct"
+    key = _key()
+    early = (F.year("pub_date") <= 1998) & (key % 5 != 0)
+
+    def build(stg: DataFrame) -> DataFrame:
+        return core.fct_articles(stg).withColumn("part_month", tables.month_of("pub_date"))
+
+    stg = stg_archive_articles(p.archive)
+    for part, fresh in ((stg.where(early), True), (stg, False)):
+        tables.run_incremental(
+            p.spark, name, part, build, ["article_id"], "pub_date", "part_month",
+            ["section_name"], full_refresh=fresh, lookback_days=3,
+        )
+    return p.spark.table(name).select(
+        "article_id", "pub_date", "word_count", "author_count", "keyword_count", "part_month"
+    )
+
+
+def _clustered(p: Press) -> DataFrame:
+    """Two months read from the partitioned and clustered article table."""
+    import datetime as dt
+
+    name = f"{_database(p)}.clustered_articles"
+    rows = p.archive.select("article_id", "pub_date", "section_name", "news_desk", "word_count")
+    tables.write_table(
+        rows.withColumn("part_month", tables.month_of("pub_date")),
+        name,
+        "part_month",
+        ["pub_date", "section_name", "news_desk"],
+        "article_id",
+    )
+    return tables.in_months(
+        p.spark.table(name), "pub_date", dt.date(1997, 3, 10), dt.date(1997, 4, 20)
+    )
+
+
+def _backfilled(p: Press) -> tuple[load.Targets, DataFrame]:
+    to = _targets(p, "backfill")
+    report = load.backfill(p.spark, to)
+    return to, report
+
+
+def _loaded(p: Press) -> DataFrame:
+    """The archive table after two backfills; the second one finds every file noted."""
+    to, _ = _backfilled(p)
+    load.backfill(p.spark, to)
+    return _readable(p.spark.table(to.archive))
+
+
+def _loaded_popular(p: Press) -> DataFrame:
+    to, _ = _backfilled(p)
+    return _readable_popular(p.spark.table(to.popular))
+
+
+def _manifest(p: Press) -> DataFrame:
+    """Feeds and folders in the manifest after a backfill, each file once."""
+    to, _ = _backfilled(p)
+    path = F.concat(F.lit("/"), F.col("path"))
+    once = p.spark.table(to.manifest).groupBy("source", "path").agg(F.count(F.lit(1)).alias("n"))
+    return (
+        once.select(
+            "source",
+            files.path_year(path).alias("year"),
+            files.path_month(path).alias("month"),
+            files.path_snapshot_date(path).alias("snapshot_date"),
+            F.col("n").alias("times_noted"),
+        )
+        .distinct()
+    )
+
+
+def _streamed(p: Press) -> DataFrame:
+    """The archive table after a stream has taken all files, and again with a new checkpoint."""
+    to = _targets(p, "stream")
+    for run in ("first", "second"):
+        query = start_loading(
+            p.spark, to, ARCHIVE_SLIM, f"{p.root}/stream/{p.fresh()}-{run}", available_now=True
+        )
+        query.awaitTermination()
+    return _readable(p.spark.table(to.archive))
+
+
+def _streamed_popular(p: Press) -> DataFrame:
+    to = _targets(p, "stream")
+    query = start_loading(
+        p.spark, to, POPULAR_SLIM, f"{p.root}/stream/{p.fresh()}", available_now=True
+    )
+    query.awaitTermination()
+    return _readable_popular(p.spark.table(to.popular))
+
 
-MODELS: dict[str, Callable[[Press], DataFrame]] = {}
+MODELS: dict[str, Callable[[Press], DataFrame]] = {
+    "s1_s4_raw_archive_scan": lambda p: _docs(p).where(F.col(schemas.CORRUPT).isNull()).select(
+        F.col("_id").alias("article_id"), "year", "month", "word_count"
+    ),
+    "s2_raw_popular_scan": lambda p: _results(p).select("snapshot_date", "id", "asset_id"),
+    "s3_s8_feed_folders": _feed_folders,
+    "s5_popular_file_dates": _popular_files,
+    "s6_slim_archive_scan": lambda p: _readable(records.slim_archive(p.spark, _slim_archive(p))),
+    "s7_slim_popular_scan": lambda p: _readable_popular(
+        records.slim_popular(p.spark, _slim_popular(p))
+    ),
+    "s9_streamed_archive": _streamed,
+    "s9_streamed_popular": _streamed_popular,
+    "s10_months_left": _months_left,
+    "t1_slim_articles": lambda p: _readable(shaping.accepted_articles(_checked(p))),
+    "t2_slim_popular": lambda p: _readable_popular(shaping.accepted_popular(_checked_popular(p))),
+    "t3_media_counts": lambda p: shaping.slim_articles(
+        _docs(p).where(F.col(schemas.CORRUPT).isNull())
+    ).select("article_id", _counts("multimedia_count_by_type").alias("media")),
+    "t5_rejected_articles": lambda p: shaping.rejected(_checked(p))
+    .groupBy(shaping.REASON)
+    .agg(F.count(F.lit(1)).alias("records")),
+    "t5_rejected_popular": lambda p: shaping.rejected(_checked_popular(p)).select(
+        "id", "snapshot_date", shaping.REASON
+    ),
+    "t7_archive_rows": lambda p: shaping.archive_rows(
+        shaping.accepted_articles(_checked(p))
+    ).select("article_id", "pub_date", "word_count"),
+    "k1_k2_slim_months": _skipped_then_written,
+    "k2_overwritten_days": _overwritten,
+    "k3_k6_loaded_archive": _loaded,
+    "k5_k7_loaded_popular": _loaded_popular,
+    "k6_insert_only_merge": _insert_only,
+    "k7_insert_only_merge_popular": _insert_only_popular,
+    "k8_k9_manifest": _manifest,
+    "k11_clustered_months": _clustered,
+    "k14_upsert": _upserted,
+    "k15_incremental_fct": _incremental,
+}

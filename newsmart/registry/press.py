@@ -7,7 +7,6 @@ back, the way a warehouse keeps its models as tables; a query then reads what it
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
 import uuid
 from collections.abc import Callable
 from functools import cached_property
@@ -30,9 +29,21 @@ class Press:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        mark = hashlib.md5(self.sf_dir.encode()).hexdigest()[:8]
-        self.root = f"{shared_dir(spark)}/newsmart/{uuid.uuid4().hex[:12]}-{mark}"
+        self.mark = uuid.uuid4().hex[:12]
+        self.root = f"{shared_dir(spark)}/newsmart/{self.mark}"
         self._saved: dict[str, DataFrame] = {}
+        self._written: set[str] = set()
+
+    def fresh(self) -> str:
+        """A name not used before, for a stream's checkpoint folder."""
+        return uuid.uuid4().hex[:12]
+
+    def once(self, name: str, folder: str, write: Callable[[], object]) -> str:
+        """The folder, after ``write`` has filled it on first use."""
+        if name not in self._written:
+            write()
+            self._written.add(name)
+        return folder
 
     def saved(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         """The named table, written on first use and read back with its known schema."""
