@@ -38,6 +38,15 @@ def in_months(df: DataFrame, column: str, first: dt.date, last: dt.date) -> Data
     return df.where(months & F.col(column).between(F.lit(first), F.lit(last)))
 
 
+def arranged(df: DataFrame, *order: str) -> DataFrame:
+    """Rows ranged and sorted by the given columns.
+
+    A partition folder then gets few files, and a folder with many rows several tasks. Ending the
+    order with a key keeps one large cluster value from filling a single task.
+    """
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def write_table(
     df: DataFrame,
     name: str,
@@ -46,14 +55,10 @@ def write_table(
     key: str | None = None,
     mode: str = "overwrite",
 ) -> None:
-    """Writes a table, partitioned and sorted so that file statistics can skip data.
-
-    Rows are ranged by partition, cluster columns and key: a large partition is spread over several
-    tasks and files, and the key keeps one large cluster value from ending up in one task.
-    """
-    order = [c for c in (partition, *cluster, key) if c]
-    if cluster:
-        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    """Writes a table; a partitioned one is arranged by partition, cluster columns and key, so that
+    file statistics can skip data."""
+    if partition:
+        df = arranged(df, *[c for c in (partition, *cluster, key) if c])
     writer = df.write.format("parquet").mode(mode)
     if partition:
         writer = writer.partitionBy(partition)
@@ -93,7 +98,7 @@ def merge_into(
 ) -> None:
     """Insert-only merge into a table by an append. Running it again adds nothing new."""
     fresh = insert_only(source, spark.table(name), keys, dedupe_source)
-    write_table(fresh, name, partition, mode="append")
+    write_table(fresh, name, partition, key=keys[-1], mode="append")
 
 
 def newer_than(df: DataFrame, target: DataFrame, column: str) -> DataFrame:
@@ -133,7 +138,8 @@ def upsert(
         here = here | F.col(partition).isNull()
     kept = without_keys(target.where(here), new, keys)
     path = f"{shared_dir(spark)}/newsmart/upsert-{uuid.uuid4().hex[:12]}"
-    kept.select(*columns).unionByName(new.select(*columns)).write.parquet(path)
+    both = kept.select(*columns).unionByName(new.select(*columns))
+    arranged(both, partition, keys[-1]).write.parquet(path)
     rows = spark.read.schema(target.schema).parquet(path)
     filled = {row[0] for row in rows.select(partition).distinct().collect()}
     rows.select(*columns).write.option("partitionOverwriteMode", "dynamic").insertInto(

@@ -18,15 +18,14 @@ COUNTS = ("author_count", "keyword_count", "major_keyword_count")
 
 
 def _own_counts(stg: DataFrame) -> DataFrame:
-    """Counts of each row's own arrays, as higher-order expressions."""
-    named = F.filter(
-        "byline_person", lambda p: p["firstname"].isNotNull() | p["lastname"].isNotNull()
-    )
-    major = F.filter("keywords", lambda k: k["major"] == "Y")
+    """Counts of each row's own arrays, from the struct fields that decide them."""
+    names = F.arrays_zip("byline_person.firstname", "byline_person.lastname")
+    named = F.filter(names, lambda p: p["firstname"].isNotNull() | p["lastname"].isNotNull())
+    major = F.filter("keywords.major", lambda m: m == "Y")
     return stg.withColumns(
         {
             "author_count": len0(named).cast("bigint"),
-            "keyword_count": len0("keywords").cast("bigint"),
+            "keyword_count": len0("keywords.major").cast("bigint"),
             "major_keyword_count": len0(major).cast("bigint"),
         }
     )
@@ -90,7 +89,7 @@ def dim_authors(stg: DataFrame) -> DataFrame:
 
 def dim_keywords(stg: DataFrame) -> DataFrame:
     """Distinct keyword (name, value) pairs with a surrogate key."""
-    keywords = known_values(keywords_flattened(stg))
+    keywords = known_values(keywords_flattened(stg, fields=("name", "value")))
     return _dimension(keywords, "keyword_key", ["keyword_name", "keyword_value"])
 
 

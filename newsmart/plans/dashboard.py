@@ -56,10 +56,12 @@ def by_people_and_topics(
 ) -> DataFrame:
     """Articles that have one of the chosen authors and one of the chosen keywords."""
     if chosen.authors:
-        named = authors_flattened(stg).where(F.col("author_full_name").isin(list(chosen.authors)))
+        named = authors_flattened(stg, qualifier=False).where(
+            F.col("author_full_name").isin(list(chosen.authors))
+        )
         articles = articles.join(named.select("article_id").distinct(), "article_id", "left_semi")
     if chosen.keywords:
-        tagged = keywords_flattened(stg).where(
+        tagged = keywords_flattened(stg, fields=["value"]).where(
             F.col("keyword_value").isin(list(chosen.keywords))
         )
         articles = articles.join(tagged.select("article_id").distinct(), "article_id", "left_semi")
@@ -101,7 +103,7 @@ def breakdown(articles: DataFrame) -> DataFrame:
 def top_keywords(staged: DataFrame, n: int = 10) -> DataFrame:
     """Keywords of the filtered staging rows by distinct articles."""
     return (
-        known_values(keywords_flattened(staged))
+        known_values(keywords_flattened(staged, fields=["value"]))
         .groupBy("keyword_value")
         .agg(F.countDistinct("article_id").alias("article_count"))
         .orderBy(F.desc("article_count"), "keyword_value")
@@ -112,7 +114,7 @@ def top_keywords(staged: DataFrame, n: int = 10) -> DataFrame:
 def top_authors(staged: DataFrame, n: int = 10) -> DataFrame:
     """Authors of the filtered staging rows by distinct articles."""
     return (
-        authors_flattened(staged)
+        authors_flattened(staged, qualifier=False)
         .groupBy("author_full_name")
         .agg(F.countDistinct("article_id").alias("article_count"))
         .orderBy(F.desc("article_count"), "author_full_name")

@@ -78,8 +78,9 @@ def _author_rows(stg: DataFrame, fct: DataFrame, unique_ids: bool) -> DataFrame:
     """Author rows with the article's fact rows folded in: how many, their words and keywords."""
     if unique_ids:
         return authors_flattened(
-            stg.withColumn("keyword_count", F.size("keywords").cast("bigint")),
+            stg.withColumn("keyword_count", F.size("keywords.rank").cast("bigint")),
             carry=("word_count", "keyword_count"),
+            qualifier=False,
         ).select(
             "*",
             F.lit(1).cast("bigint").alias("n"),
@@ -93,7 +94,7 @@ def _author_rows(stg: DataFrame, fct: DataFrame, unique_ids: bool) -> DataFrame:
         F.max("word_count").alias("longest"),
         F.sum("keyword_count").alias("keywords"),
     )
-    return authors_flattened(stg).join(per_id, "article_id")
+    return authors_flattened(stg, qualifier=False).join(per_id, "article_id")
 
 
 def agg_author_performance(
@@ -229,4 +230,5 @@ def keyword_trends_from_stats(stats: DataFrame) -> DataFrame:
 
 
 def agg_keyword_trends(keywords: DataFrame) -> DataFrame:
+    """Both steps in one plan, for small inputs."""
     return keyword_trends_from_stats(keyword_year_stats(keywords))

@@ -78,6 +78,15 @@ class Press:
     def keywords(self) -> DataFrame:
         return keywords_flattened(self.stg)
 
+    @property
+    def keyword_names(self) -> DataFrame:
+        """Flattened keywords without rank and major flag."""
+        return keywords_flattened(self.stg, fields=("name", "value"))
+
+    @property
+    def keyword_values(self) -> DataFrame:
+        return keywords_flattened(self.stg, fields=["value"])
+
     @property
     def authors(self) -> DataFrame:
         return authors_flattened(self.stg)
@@ -114,7 +123,7 @@ class Press:
 
     @property
     def keyword_stats(self) -> DataFrame:
-        return self.saved("keyword_year_stats", lambda: marts.keyword_year_stats(self.keywords))
+        return self.saved("keyword_year_stats", lambda: marts.keyword_year_stats(self.keyword_names))
 
     @property
     def trends(self) -> DataFrame:

@@ -188,7 +188,7 @@ MODELS: dict[str, Callable[[Press], DataFrame]] = {
     ),
     "a2_agg_author_performance_any_ids": lambda p: marts.agg_author_performance(p.stg, p.fct),
     "a3_agg_section_trends": lambda p: marts.agg_section_trends(p.fct),
-    "a4_keyword_year_stats": lambda p: marts.keyword_year_stats(p.keywords),
+    "a4_keyword_year_stats": lambda p: marts.keyword_year_stats(p.keyword_names),
     "a4_agg_keyword_trends": lambda p: marts.keyword_trends_from_stats(p.keyword_stats),
     # exploratory queries
     "q01_archive_profile": lambda p: explore.archive_profile(p.fct),
@@ -236,8 +236,8 @@ MODELS: dict[str, Callable[[Press], DataFrame]] = {
     "r01_snapshot_daily_summary": lambda p: rollups.snapshot_daily_summary(p.pop).withColumn(
         "sections_represented", list_text("sections_represented")
     ),
-    "r02_keyword_cooccurrence": lambda p: rollups.keyword_cooccurrence(p.keywords),
-    "r02_keyword_cooccurrence_3_articles": lambda p: rollups.keyword_cooccurrence(p.keywords, 3),
+    "r02_keyword_cooccurrence": lambda p: rollups.keyword_cooccurrence(p.keyword_values),
+    "r02_keyword_cooccurrence_3_articles": lambda p: rollups.keyword_cooccurrence(p.keyword_values, 3),
     "r03_keyword_spikes": lambda p: rollups.keyword_spikes(p.trends, 300.0, 3),
     "r04_top_keyword_values": lambda p: rollups.top_keyword_values(p.trends),
     "r05_trending_keywords": lambda p: rollups.trending_keywords(p.trends, AS_OF),
@@ -268,7 +268,7 @@ MODELS: dict[str, Callable[[Press], DataFrame]] = {
     "r21_popular_today": lambda p: rollups.popular_today(p.pop),
     "r22_facets_today": lambda p: rollups.facets_today(p.pop),
     "r23_compare_sections": lambda p: rollups.compare_sections(p.fct, FIRST, SECOND),
-    "r23_compare_keywords": lambda p: rollups.compare_keywords(p.keywords, FIRST, SECOND),
+    "r23_compare_keywords": lambda p: rollups.compare_keywords(p.keyword_values, FIRST, SECOND),
     "r23_compare_lengths": lambda p: rollups.compare_lengths(p.fct, FIRST, SECOND),
     "r23_section_change_by_decade": lambda p: rollups.section_change_by_decade(p.sections),
     "r24_metadata_completeness": lambda p: rollups.metadata_completeness(p.fct),
