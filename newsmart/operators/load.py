@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 
 from newsmart import schemas
 from newsmart.operators import shaping
-from newsmart.operators.tables import create_database, merge_into, month_of, write_table
+from newsmart.operators.tables import (
+    create_database,
+    current,
+    merge_into,
+    month_of,
+    write_table,
+)
 from newsmart.session import shared_dir
 from newsmart.sources import files, records
 from newsmart.sources.files import ARCHIVE_SLIM, POPULAR_SLIM
@@ -72,7 +78,7 @@ def _whole_files(staged: DataFrame, manifest: DataFrame) -> DataFrame:
 
 def _note(spark: SparkSession, to: Targets, feed: str, loaded: DataFrame) -> None:
     """Adds one manifest row per loaded file that is not in there yet."""
-    done = spark.table(to.manifest).select("path")
+    done = current(spark, to.manifest).select("path")
     rows = loaded.join(done, "path", "left_anti").select(
         F.lit(feed).alias("source"), "path", F.current_timestamp().alias("loaded_at")
     )
@@ -94,7 +100,7 @@ def load_records(
     else:
         checked = shaping.checked_popular(slim.where(F.col("snapshot_date").isNotNull()))
     staged = _staged(spark, checked, to)
-    whole = _whole_files(staged, spark.table(to.manifest))
+    whole = _whole_files(staged, current(spark, to.manifest))
     if feed == ARCHIVE_SLIM:
         rows = shaping.archive_rows(shaping.accepted_articles(whole))
         rows = rows.withColumn("part_month", month_of("pub_date"))
@@ -110,11 +116,11 @@ def load_records(
 def pending_files(spark: SparkSession, to: Targets) -> DataFrame:
     """Files of both feeds below the landing folder with their status."""
     routed = files.route(files.list_files(spark, to.landing), to.landing)
-    return files.file_status(routed, spark.table(to.manifest))
+    return files.file_status(routed, current(spark, to.manifest))
 
 
 def backfill(spark: SparkSession, to: Targets) -> DataFrame:
-    """Loads all files that are not in the manifest, one job per feed.
+    """Loads all files that are not in the manifest, one job per feed. Files of no bytes are not seen.
 
     Returns files per feed and outcome: loaded, skipped (loaded before), no snapshot date, error.
     """
@@ -127,7 +133,7 @@ def backfill(spark: SparkSession, to: Targets) -> DataFrame:
         if paths:
             listed = todo.select(F.col("object_path").alias("path"))
             load_records(spark, to, feed, read(spark, paths), listed)
-    done = spark.table(to.manifest).select(F.col("path").alias("object_path")).distinct()
+    done = current(spark, to.manifest).select(F.col("path").alias("object_path")).distinct()
     tried = before.where(F.col("status") == "pending")
     outcome = (
         tried.join(done, "object_path", "left_semi")

@@ -23,6 +23,13 @@ def layer_table(spark: SparkSession, layer: str, table: str, prefix: str = "") -
     return spark.table(f"{layer_name(layer, prefix)}.{table}")
 
 
+def current(spark: SparkSession, name: str) -> DataFrame:
+    """The table as it is now. A stream writes from a session of its own, so the file listing this
+    session remembers may be old."""
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def create_database(spark: SparkSession, name: str, location: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{location}'")
 
@@ -97,7 +104,7 @@ def merge_into(
     dedupe_source: bool = False,
 ) -> None:
     """Insert-only merge into a table by an append. Running it again adds nothing new."""
-    fresh = insert_only(source, spark.table(name), keys, dedupe_source)
+    fresh = insert_only(source, current(spark, name), keys, dedupe_source)
     write_table(fresh, name, partition, key=keys[-1], mode="append")
 
 
@@ -123,7 +130,7 @@ def upsert(
     contents are saved beside the table first, because a plan cannot overwrite what it reads; a
     partition that loses its last row is dropped.
     """
-    target = spark.table(name)
+    target = current(spark, name)
     columns = target.columns
     replaced = target.join(new.select(*keys).distinct(), list(keys), "left_semi")
     touched = [
@@ -171,5 +178,5 @@ def run_incremental(
     if full_refresh or not spark.catalog.tableExists(name):
         write_table(build(source), name, partition, cluster, keys[-1])
         return
-    fresh = newer_than(source, spark.table(name), date)
+    fresh = newer_than(source, current(spark, name), date)
     upsert(spark, name, build(fresh), keys, partition)

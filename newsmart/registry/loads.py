@@ -309,7 +309,7 @@ def _insert_only(p: Press) -> DataFrame:
         tables.merge_into(
             p.spark, name, source.withColumn("part_month", with_month), ["article_id"], "part_month"
         )
-    return p.spark.table(name)
+    return tables.current(p.spark, name)
 
 
 def _insert_only_popular(p: Press) -> DataFrame:
@@ -319,7 +319,7 @@ def _insert_only_popular(p: Press) -> DataFrame:
     name = f"{_database(p)}.merged_popular"
     tables.write_table(target, name, "snapshot_date")
     tables.merge_into(p.spark, name, source, ["snapshot_date", "id"], "snapshot_date")
-    return p.spark.table(name)
+    return tables.current(p.spark, name)
 
 
 def _database(p: Press) -> str:
@@ -345,7 +345,7 @@ def _upserted(p: Press) -> DataFrame:
         F.lit(-1).cast("bigint").alias("word_count"),
     )
     tables.upsert(p.spark, name, dated(changed), ["article_id"], "part_month")
-    return p.spark.table(name)
+    return tables.current(p.spark, name)
 
 
 def _incremental(p: Press) -> DataFrame:
@@ -366,7 +366,7 @@ def _incremental(p: Press) -> DataFrame:
             p.spark, name, part, build, ["article_id"], "pub_date", "part_month",
             ["section_name"], full_refresh=fresh, lookback_days=3,
         )
-    return p.spark.table(name).select(
+    return tables.current(p.spark, name).select(
         "article_id", "pub_date", "word_count", "author_count", "keyword_count", "part_month"
     )
 
@@ -385,7 +385,7 @@ def _clustered(p: Press) -> DataFrame:
         "article_id",
     )
     return tables.in_months(
-        p.spark.table(name), "pub_date", dt.date(1997, 3, 10), dt.date(1997, 4, 20)
+        tables.current(p.spark, name), "pub_date", dt.date(1997, 3, 10), dt.date(1997, 4, 20)
     )
 
 
@@ -399,19 +399,19 @@ def _loaded(p: Press) -> DataFrame:
     """The archive table after two backfills; the second one finds every file noted."""
     to, _ = _backfilled(p)
     load.backfill(p.spark, to)
-    return _readable(p.spark.table(to.archive))
+    return _readable(tables.current(p.spark, to.archive))
 
 
 def _loaded_popular(p: Press) -> DataFrame:
     to, _ = _backfilled(p)
-    return _readable_popular(p.spark.table(to.popular))
+    return _readable_popular(tables.current(p.spark, to.popular))
 
 
 def _manifest(p: Press) -> DataFrame:
     """Feeds and folders in the manifest after a backfill, each file once."""
     to, _ = _backfilled(p)
     path = F.concat(F.lit("/"), F.col("path"))
-    once = p.spark.table(to.manifest).groupBy("source", "path").agg(F.count(F.lit(1)).alias("n"))
+    once = tables.current(p.spark, to.manifest).groupBy("source", "path").agg(F.count(F.lit(1)).alias("n"))
     return (
         once.select(
             "source",
@@ -432,7 +432,7 @@ def _streamed(p: Press) -> DataFrame:
             p.spark, to, ARCHIVE_SLIM, f"{p.root}/stream/{p.fresh()}-{run}", available_now=True
         )
         query.awaitTermination()
-    return _readable(p.spark.table(to.archive))
+    return _readable(tables.current(p.spark, to.archive))
 
 
 def _streamed_popular(p: Press) -> DataFrame:
@@ -441,7 +441,7 @@ def _streamed_popular(p: Press) -> DataFrame:
         p.spark, to, POPULAR_SLIM, f"{p.root}/stream/{p.fresh()}", available_now=True
     )
     query.awaitTermination()
-    return _readable_popular(p.spark.table(to.popular))
+    return _readable_popular(tables.current(p.spark, to.popular))
 
 
 MODELS: dict[str, Callable[[Press], DataFrame]] = {
