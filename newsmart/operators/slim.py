@@ -10,17 +10,17 @@ from pyspark.sql.utils import AnalysisException
 
 from newsmart import schemas
 from newsmart.operators import shaping
+from newsmart.operators.tables import by_folder
 from newsmart.sources import files, records
 
 
-def write_slim(slim: DataFrame, folder: str, by: list[str], key: str, overwrite: bool) -> None:
+def write_slim(slim: DataFrame, folder: str, by: list[str], overwrite: bool) -> None:
     """JSON lines in one folder per value of ``by``; null fields are written out.
 
-    Rows are ranged by folder and key, so a folder gets few files and a big folder many tasks.
     ``overwrite`` replaces only the folders that get rows.
     """
     (
-        slim.repartitionByRange(*by, key)
+        by_folder(slim, *by)
         .write.partitionBy(*by)
         .mode("overwrite" if overwrite else "append")
         .option("partitionOverwriteMode", "dynamic")
@@ -69,7 +69,7 @@ def transform_archive(
     docs = records.raw_archive(spark, paths, multiline)
     checked = shaping.checked_articles(shaping.slim_articles(docs))
     rows = shaping.accepted_articles(checked).select(*schemas.SLIM_ARCHIVE, "year", "month")
-    write_slim(rows, slim, ["year", "month"], "article_id", overwrite)
+    write_slim(rows, slim, ["year", "month"], overwrite)
     return shaping.rejected(checked)
 
 
@@ -84,5 +84,5 @@ def transform_popular(
     docs = records.raw_popular(spark, paths, multiline)
     checked = shaping.checked_popular(shaping.slim_popular(docs))
     rows = shaping.accepted_popular(checked).select(*schemas.SLIM_POPULAR, "snapshot_date")
-    write_slim(rows, slim, ["snapshot_date"], "id", overwrite)
+    write_slim(rows, slim, ["snapshot_date"], overwrite)
     return shaping.rejected(checked)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from newsmart.session import shared_dir
 
+# Database names of the layers.
 LAYERS = {"core": "dbt_core", "analytics": "dbt_analytics", "staging": "dbt_staging"}
 
 
@@ -45,13 +46,12 @@ def in_months(df: DataFrame, column: str, first: dt.date, last: dt.date) -> Data
     return df.where(months & F.col(column).between(F.lit(first), F.lit(last)))
 
 
-def arranged(df: DataFrame, *order: str) -> DataFrame:
-    """Rows ranged and sorted by the given columns.
+def by_folder(df: DataFrame, *folders: str) -> DataFrame:
+    """Rows brought together by output folder, so that a folder gets few files.
 
-    A partition folder then gets few files, and a folder with many rows several tasks. Ending the
-    order with a key keeps one large cluster value from filling a single task.
+    The rebalance is sized at run time: small folders share a task, a large one is split over many.
     """
-    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return df.hint("rebalance", *folders)
 
 
 def write_table(
@@ -62,10 +62,16 @@ def write_table(
     key: str | None = None,
     mode: str = "overwrite",
 ) -> None:
-    """Writes a table; a partitioned one is arranged by partition, cluster columns and key, so that
-    file statistics can skip data."""
-    if partition:
-        df = arranged(df, *[c for c in (partition, *cluster, key) if c])
+    """Writes a table, optionally partitioned and clustered.
+
+    A clustered table is ranged and sorted by partition, cluster columns and key, so that file
+    statistics can skip data; the key at the end keeps one large cluster value from filling a task.
+    """
+    if cluster:
+        order = [c for c in (partition, *cluster, key) if c]
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    elif partition:
+        df = by_folder(df, partition)
     writer = df.write.format("parquet").mode(mode)
     if partition:
         writer = writer.partitionBy(partition)
@@ -105,7 +111,7 @@ def merge_into(
 ) -> None:
     """Insert-only merge into a table by an append. Running it again adds nothing new."""
     fresh = insert_only(source, current(spark, name), keys, dedupe_source)
-    write_table(fresh, name, partition, key=keys[-1], mode="append")
+    write_table(fresh, name, partition, mode="append")
 
 
 def newer_than(df: DataFrame, target: DataFrame, column: str) -> DataFrame:
@@ -145,16 +151,17 @@ def upsert(
         here = here | F.col(partition).isNull()
     kept = without_keys(target.where(here), new, keys)
     path = f"{shared_dir(spark)}/newsmart/upsert-{uuid.uuid4().hex[:12]}"
-    both = kept.select(*columns).unionByName(new.select(*columns))
-    arranged(both, partition, keys[-1]).write.parquet(path)
-    rows = spark.read.schema(target.schema).parquet(path)
+    kept.select(*columns).unionByName(new.select(*columns)).write.parquet(path)
+    # The overwrite mode of a catalog table is a session setting, so the write has its own session.
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    rows = session.read.schema(target.schema).parquet(path)
     filled = {row[0] for row in rows.select(partition).distinct().collect()}
-    rows.select(*columns).write.option("partitionOverwriteMode", "dynamic").insertInto(
-        name, overwrite=True
-    )
+    by_folder(rows.select(*columns), partition).write.insertInto(name, overwrite=True)
     for value in set(touched) - filled:
         shown = "null" if value is None else f"'{value}'"
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition} = {shown})")
+        session.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition} = {shown})")
+    spark.catalog.refreshTable(name)
 
 
 def run_incremental(

@@ -118,7 +118,7 @@ BODIES: dict[str, str] = {
     "s9_streamed_popular": "SELECT * FROM slim_results",
     "s10_months_left": """
       SELECT DISTINCT year, month,
-             CASE WHEN month % 2 = 0 THEN 'loaded' ELSE 'pending' END AS status
+             CASE WHEN year < 1998 THEN 'loaded' ELSE 'pending' END AS status
       FROM slim_docs""",
     "t1_slim_articles": SLIM,
     "t2_slim_popular": "SELECT * FROM slim_results",
@@ -139,12 +139,13 @@ BODIES: dict[str, str] = {
     "k3_k6_loaded_archive": LOADED,
     "k5_k7_loaded_popular": "SELECT * FROM slim_results",
     "k6_insert_only_merge": f"""
-      SELECT article_id, pub_date, CASE WHEN okey % 3 = 0 THEN word_count ELSE -1 END AS word_count,
-             {PART}
-      FROM src WHERE okey % 3 = 0 OR okey % 2 = 0""",
+      SELECT article_id, pub_date, {PART},
+             CASE WHEN pub_date < DATE '1998-01-01' THEN word_count ELSE -1 END AS word_count
+      FROM src""",
     "k7_insert_only_merge_popular": """
-      SELECT snapshot_date, id, CASE WHEN id % 3 = 0 THEN event_id ELSE -1 END AS asset_id
-      FROM raw_results WHERE id % 3 = 0 OR id % 2 = 0""",
+      SELECT snapshot_date, id,
+             CASE WHEN snapshot_date <= DATE '2024-01-15' THEN event_id ELSE -1 END AS asset_id
+      FROM raw_results""",
     "k8_k9_manifest": """
       SELECT 'archive_slim' AS source, year, month, CAST(NULL AS DATE) AS snapshot_date,
              CAST(1 AS BIGINT) AS times_noted
@@ -163,13 +164,13 @@ BODIES: dict[str, str] = {
     "k14_upsert": f"""
       SELECT article_id, pub_date, word_count, {PART}
       FROM (SELECT article_id,
-                   CASE WHEN okey % 4 = 1 THEN CAST(pub_date + INTERVAL 12 MONTH AS DATE)
-                        ELSE pub_date END AS pub_date,
-                   CASE WHEN okey % 4 = 1 THEN -1 ELSE word_count END AS word_count
-            FROM src WHERE okey % 2 = 1)""",
+                   CASE WHEN pub_date >= DATE '1998-01-01' THEN -1 ELSE word_count END AS word_count,
+                   CASE WHEN pub_date >= DATE '1998-01-01'
+                        THEN CAST(pub_date + INTERVAL 12 MONTH AS DATE) ELSE pub_date END AS pub_date
+            FROM src)""",
     "k15_incremental_fct": f"""
       SELECT article_id, pub_date, word_count, author_count, keyword_count, {PART}
       FROM fct
-      WHERE pub_date > (SELECT max(pub_date) FROM art WHERE pub_year <= 1998 AND okey % 5 <> 0)
-         OR (pub_year <= 1998 AND CAST(article_id[2:] AS BIGINT) % 5 <> 0)""",
+      WHERE abstract IS NOT NULL
+         OR pub_date > (SELECT max(pub_date) FROM art WHERE pub_year <= 1998 AND abstract IS NOT NULL)""",
 }

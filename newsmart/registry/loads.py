@@ -74,14 +74,10 @@ def _raw_archive(p: Press) -> str:
             .otherwise(raw(F.col("word_count")))
         )
         month = F.lpad(F.month("pub_date").cast("string"), 2, "0")
-        (
-            p.archive.select(F.year("pub_date").alias("year"), month.alias("month"), key.alias("k"),
-                             text.alias("value"))
-            .repartitionByRange("year", "month", "k")
-            .drop("k")
-            .write.partitionBy("year", "month")
-            .text(folder)
-        )
+        lines = p.archive.select(
+            F.year("pub_date").alias("year"), month.alias("month"), text.alias("value")
+        )
+        tables.by_folder(lines, "year", "month").write.partitionBy("year", "month").text(folder)
 
     return p.once("archive_raw", folder, write)
 
@@ -107,13 +103,8 @@ def _raw_popular(p: Press) -> str:
         text = F.when(F.col("asset_id") % 37 == 0, raw(F.lit("none"))).otherwise(
             raw(F.col("asset_id"))
         )
-        (
-            p.popular.select("snapshot_date", "id", text.alias("value"))
-            .repartitionByRange("snapshot_date", "id")
-            .drop("id")
-            .write.partitionBy("snapshot_date")
-            .text(folder)
-        )
+        lines = p.popular.select("snapshot_date", text.alias("value"))
+        tables.by_folder(lines, "snapshot_date").write.partitionBy("snapshot_date").text(folder)
 
     return p.once("most_popular_raw", folder, write)
 
@@ -224,17 +215,17 @@ def _feed_folders(p: Press) -> DataFrame:
     )
 
 
-def _manifest_of_even_months(p: Press) -> DataFrame:
+def _manifest_of_early_years(p: Press) -> DataFrame:
     path = F.col("object_path")
     routed = files.route(files.list_files(p.spark, _landing(p)), _landing(p))
-    return routed.where(files.path_month(path) % 2 == 0).select(
+    return routed.where(files.path_year(path) < 1998).select(
         F.col("feed").alias("source"), path.alias("path"), F.current_timestamp().alias("loaded_at")
     )
 
 
 def _file_status(p: Press) -> DataFrame:
     routed = files.route(files.list_files(p.spark, _landing(p)), _landing(p))
-    return files.file_status(routed, _manifest_of_even_months(p))
+    return files.file_status(routed, _manifest_of_early_years(p))
 
 
 def _months_left(p: Press) -> DataFrame:
@@ -288,37 +279,29 @@ def _overwritten(p: Press) -> DataFrame:
 # --- merges and loads ----------------------------------------------------------------------------
 
 
-def _merge_rows(p: Press) -> tuple[DataFrame, DataFrame]:
-    """A target of every third key and a source of even keys with a changed word count."""
-    rows = p.archive.select("article_id", "pub_date", "word_count")
-    key = _key()
-    target = rows.where(key % 3 == 0)
-    source = rows.where(key % 2 == 0).withColumn("word_count", F.lit(-1).cast("bigint"))
-    return target, source
-
-
 def _insert_only(p: Press) -> DataFrame:
-    """Target and merged rows together; matched rows keep their old word count."""
-    target, source = _merge_rows(p)
-    name = f"{_database(p)}.merged_articles"
-    with_month = tables.month_of("pub_date")
-    tables.write_table(
-        target.withColumn("part_month", with_month), name, "part_month", key="article_id"
+    """All articles, again with other word counts, merged into those dated before 1998.
+
+    Articles that were there keep their word count.
+    """
+    rows = p.archive.select("article_id", "pub_date", "word_count").withColumn(
+        "part_month", tables.month_of("pub_date")
     )
-    for _ in range(2):  # the second merge finds every key present
-        tables.merge_into(
-            p.spark, name, source.withColumn("part_month", with_month), ["article_id"], "part_month"
-        )
+    name = f"{_database(p)}.merged_articles"
+    tables.write_table(rows.where("pub_date < '1998-01-01'"), name, "part_month")
+    again = rows.withColumn("word_count", F.lit(-1).cast("bigint"))
+    for _ in range(2):  # the second merge finds every id present
+        tables.merge_into(p.spark, name, again, ["article_id"], "part_month")
     return tables.current(p.spark, name)
 
 
 def _insert_only_popular(p: Press) -> DataFrame:
+    """All snapshots, again with other asset ids, merged into those up to the middle of the month."""
     rows = p.popular.select("snapshot_date", "id", "asset_id")
-    target = rows.where(F.col("id") % 3 == 0)
-    source = rows.where(F.col("id") % 2 == 0).withColumn("asset_id", F.lit(-1).cast("bigint"))
     name = f"{_database(p)}.merged_popular"
-    tables.write_table(target, name, "snapshot_date")
-    tables.merge_into(p.spark, name, source, ["snapshot_date", "id"], "snapshot_date")
+    tables.write_table(rows.where("snapshot_date <= '2024-01-15'"), name, "snapshot_date")
+    again = rows.withColumn("asset_id", F.lit(-1).cast("bigint"))
+    tables.merge_into(p.spark, name, again, ["snapshot_date", "id"], "snapshot_date")
     return tables.current(p.spark, name)
 
 
@@ -329,33 +312,30 @@ def _database(p: Press) -> str:
 
 
 def _upserted(p: Press) -> DataFrame:
-    """Odd-keyed articles first; then all of the second half, moved by a year and with new counts."""
+    """All articles; those since 1998 then come again, a year later and with other word counts."""
     rows = p.archive.select("article_id", "pub_date", "word_count")
-    key = _key()
     name = f"{_database(p)}.upserted_articles"
 
     def dated(df: DataFrame) -> DataFrame:
         return df.withColumn("part_month", tables.month_of("pub_date"))
 
-    first = dated(rows.where(key % 2 == 1))
-    tables.write_table(first, name, "part_month", ["pub_date"], "article_id")
-    changed = rows.where(key % 4 == 1).select(
+    tables.write_table(dated(rows), name, "part_month")
+    moved = rows.where("pub_date >= '1998-01-01'").select(
         "article_id",
         F.add_months("pub_date", 12).alias("pub_date"),
         F.lit(-1).cast("bigint").alias("word_count"),
     )
-    tables.upsert(p.spark, name, dated(changed), ["article_id"], "part_month")
+    tables.upsert(p.spark, name, dated(moved), ["article_id"], "part_month")
     return tables.current(p.spark, name)
 
 
 def _incremental(p: Press) -> DataFrame:
     """The article fact built in two runs: articles up to 1998, then what is dated later.
 
-    Between the runs some older articles arrive; the date filter leaves them out.
+    Older articles without an abstract arrive between the runs; the date filter leaves them out.
     """
     name = f"{_database(p)}.incremental_fct"
-    key = _key()
-    early = (F.year("pub_date") <= 1998) & (key % 5 != 0)
+    early = (F.year("pub_date") <= 1998) & F.col("abstract").isNotNull()
 
     def build(stg: DataFrame) -> DataFrame:
         return core.fct_articles(stg).withColumn("part_month", tables.month_of("pub_date"))

@@ -811,20 +811,20 @@ BODIES: dict[str, str] = {
        GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10)""",
     "f1_display_texts": """
       SELECT pub_month, format('{:,}', total_word_count) AS words_text,
-             format('{:.2f}', avg_keywords_per_article) AS keywords_text,
+             format('{:,.2f}', avg_keywords_per_article) AS keywords_text,
              format('{:.1f}%', pct_with_authors) AS authors_text,
              CASE WHEN month(pub_month) = 1 THEN 'N/A' ELSE format('{:,}', total_articles) END
                AS articles_text
       FROM by_month""",
     "v1_v2_declared_checks": _check_rows(),
-    "v1_repeated_headline_dates": """
+    "v1_repeated_days": """
       SELECT pub_date AS value, count(*) AS n_records FROM art GROUP BY 1 HAVING count(*) > 1""",
     "v2_missing_abstracts": "SELECT article_id FROM art WHERE abstract IS NULL",
     "v3_source_not_empty": "SELECT * FROM (SELECT count(*) AS total_rows FROM orders) WHERE total_rows = 0",
     "v4_same_grain": """
       SELECT count(*) AS source_rows, count(*) AS staging_rows, count(*) - count(*) AS difference
       FROM orders HAVING count(*) <> (SELECT count(*) FROM art)""",
-    "v4_grain_of_dated_rows": """
+    "v4_grain_of_rows_with_media": """
       SELECT count(*) AS source_rows, count(*) FILTER (has_multimedia) AS staging_rows,
              count(*) FILTER (NOT has_multimedia) AS difference
       FROM art HAVING count(*) FILTER (NOT has_multimedia) > 0""",

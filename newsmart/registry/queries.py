@@ -298,13 +298,13 @@ MODELS: dict[str, Callable[[Press], DataFrame]] = {
     "f1_display_texts": _display,
     # checks
     "v1_v2_declared_checks": _declared_checks,
-    "v1_repeated_headline_dates": lambda p: checks.unique_violations(p.stg, "pub_date"),
+    "v1_repeated_days": lambda p: checks.unique_violations(p.stg, "pub_date"),
     "v2_missing_abstracts": lambda p: checks.null_violations(p.stg, "abstract").select(
         "article_id"
     ),
     "v3_source_not_empty": lambda p: checks.empty_violations(p.archive),
     "v4_same_grain": lambda p: checks.grain_violations(p.archive, p.stg),
-    "v4_grain_of_dated_rows": lambda p: checks.grain_violations(
+    "v4_grain_of_rows_with_media": lambda p: checks.grain_violations(
         p.archive, p.stg.where("has_multimedia")
     ),
 }

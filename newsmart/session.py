@@ -10,14 +10,13 @@ _local_dirs: dict[str, str] = {}
 
 
 def build_session(app: str = "newsmart", master: str | None = None, **conf: str) -> SparkSession:
-    """Session with the settings the models rely on: UTC, AQE with skew handling, dynamic overwrite."""
+    """Session with the settings the models are meant for: UTC and AQE with skew handling."""
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     if master:
         builder = builder.master(master)
