@@ -9,6 +9,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsmart.schemas import Fields, struct_type
 from newsmart.session import shared_dir
 
 # Database names of the layers.
@@ -78,6 +79,24 @@ def write_table(
     writer.saveAsTable(name)
 
 
+def materialize(df: DataFrame, name: str, kind: str) -> DataFrame:
+    """A model as its layer keeps it: ``table``, ``view`` (of this session) or ``inline``."""
+    if kind == "table":
+        write_table(df, name)
+        return current(df.sparkSession, name)
+    if kind == "view":
+        df.createOrReplaceTempView(name)
+        return df.sparkSession.table(name)
+    if kind == "inline":
+        return df
+    raise ValueError(f"unknown kind {kind}")
+
+
+def declared(df: DataFrame, fields: Fields) -> DataFrame:
+    """The declared columns in declared order and type; a missing or unfit column is an error."""
+    return df.to(struct_type(fields))
+
+
 def without_keys(rows: DataFrame, present: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose keys are not in ``present``. A null key matches nothing and stays."""
     return rows.join(present.select(*keys).distinct(), list(keys), "left_anti")

@@ -83,6 +83,28 @@ BASE: dict[str, str] = {
                string_agg(facet_value, '|' ORDER BY i) FILTER (facet_type = 'geo_facet') AS geo
         FROM ufacet GROUP BY 1, 2) f ON f.snapshot_date = r.snapshot_date AND f.id = r.id
       WHERE event_id % 37 <> 0""",
+    # popularity rows of the loaded table
+    "popular_src": """
+      SELECT p.snapshot_date, p.article_id AS id, p.uri, p.url, p.asset_id,
+             CASE WHEN p.article_id % 4 <> 0 THEN 'Press' END AS source,
+             CASE WHEN p.article_id % 31 = 30 THEN '2023-13-45'
+                  ELSE strftime(p.published_date, '%Y-%m-%d') END AS published_date,
+             p.updated_at AS updated,
+             CASE WHEN p.article_id % 9 = 0 THEN ' ' ELSE p.section END AS section,
+             CASE WHEN p.article_id % 2 = 0 THEN '' ELSE p.subsection END AS subsection,
+             ' By user ' || p.article_id AS byline, p.article_type AS type,
+             p.title || '  ' AS title, p.abstract, p.adx_keywords, p.media_count_by_type,
+             coalesce(string_agg(facet_value, '|' ORDER BY i)
+                      FILTER (facet_type = 'des_facet'), '') AS des_facet,
+             coalesce(string_agg(facet_value, '|' ORDER BY i)
+                      FILTER (facet_type = 'org_facet'), '') AS org_facet,
+             coalesce(string_agg(facet_value, '|' ORDER BY i)
+                      FILTER (facet_type = 'per_facet'), '') AS per_facet,
+             coalesce(string_agg(facet_value, '|' ORDER BY i)
+                      FILTER (facet_type = 'geo_facet'), '') AS geo_facet
+      FROM spop p LEFT JOIN ufacet u
+        ON u.snapshot_date = p.snapshot_date AND u.article_id = p.article_id
+      GROUP BY ALL""",
     # articles of the loaded table, uncleaned
     "src": """
       SELECT o_orderkey AS okey, 'a' || o_orderkey AS article_id,
@@ -120,6 +142,9 @@ BODIES: dict[str, str] = {
       SELECT DISTINCT year, month,
              CASE WHEN year < 1998 THEN 'loaded' ELSE 'pending' END AS status
       FROM slim_docs""",
+    "s11_declared_source": "SELECT * FROM popular_src",
+    "k13_s12_layers": "SELECT * FROM by_month",
+    "k16_full_refresh": "SELECT article_id, pub_date, keyword_count FROM fct",
     "t1_slim_articles": SLIM,
     "t2_slim_popular": "SELECT * FROM slim_results",
     "t3_media_counts": """

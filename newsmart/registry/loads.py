@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from newsmart import schemas
 from newsmart.operators import load, shaping, slim, tables
 from newsmart.operators.staging import stg_archive_articles
-from newsmart.plans import core
+from newsmart.plans import core, marts
 from newsmart.registry.press import Press
 from newsmart.sources import files, records
 from newsmart.sources.files import ARCHIVE_SLIM, POPULAR_SLIM
@@ -369,6 +369,44 @@ def _clustered(p: Press) -> DataFrame:
     )
 
 
+def _full_refresh(p: Press) -> DataFrame:
+    """The article fact built from a part, then rebuilt from everything by a full refresh."""
+    name = f"{_database(p)}.refreshed_fct"
+
+    def build(stg: DataFrame) -> DataFrame:
+        return core.fct_articles(stg, p.unique_ids).withColumn(
+            "part_month", tables.month_of("pub_date")
+        )
+
+    for part in (p.stg.where("pub_year = 1999"), p.stg):
+        tables.run_incremental(
+            p.spark, name, part, build, ["article_id"], "pub_date", "part_month", full_refresh=True
+        )
+    return tables.current(p.spark, name).select("article_id", "pub_date", "keyword_count")
+
+
+def _layers(p: Press) -> DataFrame:
+    """Staging as a view, the fact and the monthly mart as tables of their layers."""
+    prefix = f"news_{p.mark}_"
+    for layer in tables.LAYERS:
+        database = tables.layer_name(layer, prefix)
+        tables.create_database(p.spark, database, f"{p.root}/db/{database}")
+    stg = tables.materialize(p.stg, f"stg_articles_{p.mark}", "view")
+    core_db, marts_db = (tables.layer_name(layer, prefix) for layer in ("core", "analytics"))
+    fct = tables.materialize(
+        core.fct_articles(stg, p.unique_ids), f"{core_db}.fct_articles", "table"
+    )
+    months = tables.materialize(marts.agg_articles_by_month(fct), "agg_articles_by_month", "inline")
+    tables.materialize(months, f"{marts_db}.agg_articles_by_month", "table")
+    return tables.layer_table(p.spark, "analytics", "agg_articles_by_month", prefix)
+
+
+def _declared_source(p: Press) -> DataFrame:
+    """The loaded popularity source with its columns as declared, whatever order they are stored in."""
+    stored = p.popular.select(*reversed(p.popular.columns), F.lit("extra").alias("not_declared"))
+    return _readable_popular(tables.declared(stored, schemas.POPULAR_ARTICLES))
+
+
 def _backfilled(p: Press) -> tuple[load.Targets, DataFrame]:
     to = _targets(p, "backfill")
     report = load.backfill(p.spark, to)
@@ -438,6 +476,7 @@ MODELS: dict[str, Callable[[Press], DataFrame]] = {
     "s9_streamed_archive": _streamed,
     "s9_streamed_popular": _streamed_popular,
     "s10_months_left": _months_left,
+    "s11_declared_source": _declared_source,
     "t1_slim_articles": lambda p: _readable(shaping.accepted_articles(_checked(p))),
     "t2_slim_popular": lambda p: _readable_popular(shaping.accepted_popular(_checked_popular(p))),
     "t3_media_counts": lambda p: shaping.slim_articles(
@@ -460,6 +499,8 @@ MODELS: dict[str, Callable[[Press], DataFrame]] = {
     "k7_insert_only_merge_popular": _insert_only_popular,
     "k8_k9_manifest": _manifest,
     "k11_clustered_months": _clustered,
+    "k13_s12_layers": _layers,
     "k14_upsert": _upserted,
     "k15_incremental_fct": _incremental,
+    "k16_full_refresh": _full_refresh,
 }

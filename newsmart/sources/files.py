@@ -27,6 +27,12 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def read_path() -> Column:
+    """Path of the file a record was read from, spelled the way a listing spells it."""
+    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return F.url_decode(encoded)
+
+
 def below(path: Column | str, root: str) -> Column:
     """Path relative to ``root``; the scheme in front of either does not matter."""
     path = F.col(path) if isinstance(path, str) else path

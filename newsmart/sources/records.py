@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from newsmart import schemas
 from newsmart.schemas import CORRUPT, Fields, ddl
-from newsmart.sources.files import DAY_PATTERN, path_month, path_snapshot_date, path_year
+from newsmart.sources.files import DAY_PATTERN, path_month, path_snapshot_date, path_year, read_path
 
 Paths = str | list[str]
 
@@ -19,7 +19,7 @@ def _json(spark: SparkSession, paths: Paths, fields: Fields, multiline: bool) ->
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", "true")
         .json(paths)
-        .select("*", F.col("_metadata.file_path").alias("file_path"))
+        .select("*", read_path().alias("file_path"))
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from newsmart import schemas
 from newsmart.operators.load import Targets, load_records
 from newsmart.schemas import CORRUPT, Fields, ddl
-from newsmart.sources.files import ARCHIVE_SLIM, POPULAR_SLIM, path_snapshot_date
+from newsmart.sources.files import ARCHIVE_SLIM, POPULAR_SLIM, path_snapshot_date, read_path
 
 
 def _stream(spark: SparkSession, folder: str, fields: Fields, files_per_batch: int) -> DataFrame:
@@ -19,7 +19,7 @@ def _stream(spark: SparkSession, folder: str, fields: Fields, files_per_batch: i
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", str(files_per_batch))
         .json(folder)
-        .select("*", F.col("_metadata.file_path").alias("file_path"))
+        .select("*", read_path().alias("file_path"))
     )
 
 

@@ -285,6 +285,18 @@ def test_backfill(spark, tmp_path, targets):
     assert len(manifest) == len(set(manifest)) == 7
 
 
+def test_odd_folder_names(spark, tmp_path):
+    root = tmp_path / "in a+b%c=ü"
+    name = f"db{next(_names)}"
+    to = load.create_targets(spark, name, str(tmp_path / name), str(root))
+    put_archive(root, "2020/05.ndjson", article("a"))
+    put_archive(root, "2020/06.ndjson", article("b", word_count="x"))
+    for _ in range(2):
+        load.backfill(spark, to)
+    assert rows(tables.current(spark, to.archive), "article_id") == [("a",)]
+    assert rows(tables.current(spark, to.manifest), "path") == [("archive_slim/2020/05.ndjson",)]
+
+
 def test_replay_without_manifest_adds_nothing(spark, tmp_path, targets):
     path = put_archive(tmp_path / "in", "2020/05.ndjson", article("a"), article("b"))
     slim_rows = records.slim_archive(spark, str(path))
