@@ -37,7 +37,7 @@ def clean_dim(c: Column | str) -> Column:
 
 def len0(c: Column | str) -> Column:
     """Array length with null counted as empty."""
-    return F.coalesce(F.size(_col(c)), F.lit(0))
+    return F.coalesce(F.array_size(_col(c)), F.lit(0))
 
 
 def ratio(a: Column, b: Column) -> Column:

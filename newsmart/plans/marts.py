@@ -78,7 +78,7 @@ def _author_rows(stg: DataFrame, fct: DataFrame, unique_ids: bool) -> DataFrame:
     """Author rows with the article's fact rows folded in: how many, their words and keywords."""
     if unique_ids:
         return authors_flattened(
-            stg.withColumn("keyword_count", F.size("keywords.rank").cast("bigint")),
+            stg.withColumn("keyword_count", F.array_size("keywords.rank").cast("bigint")),
             carry=("word_count", "keyword_count"),
             qualifier=False,
         ).select(

@@ -264,7 +264,7 @@ def _skipped_then_written(p: Press) -> DataFrame:
 
 def _overwritten(p: Press) -> DataFrame:
     """Articles per slim day after a first run and an overwriting one."""
-    folder = f"{p.root}/landing/again/{POPULAR_SLIM}"
+    folder = f"{p.root}/landing/again-{p.fresh()}/{POPULAR_SLIM}"
     for _ in range(2):
         slim.transform_popular(
             p.spark, _raw_popular(p), folder, overwrite=True, multiline=False
@@ -287,7 +287,7 @@ def _insert_only(p: Press) -> DataFrame:
     rows = p.archive.select("article_id", "pub_date", "word_count").withColumn(
         "part_month", tables.month_of("pub_date")
     )
-    name = f"{_database(p)}.merged_articles"
+    name = _new_table(p, "merged_articles")
     tables.write_table(rows.where("pub_date < '1998-01-01'"), name, "part_month")
     again = rows.withColumn("word_count", F.lit(-1).cast("bigint"))
     for _ in range(2):  # the second merge finds every id present
@@ -298,23 +298,24 @@ def _insert_only(p: Press) -> DataFrame:
 def _insert_only_popular(p: Press) -> DataFrame:
     """All snapshots, again with other asset ids, merged into those up to the middle of the month."""
     rows = p.popular.select("snapshot_date", "id", "asset_id")
-    name = f"{_database(p)}.merged_popular"
+    name = _new_table(p, "merged_popular")
     tables.write_table(rows.where("snapshot_date <= '2024-01-15'"), name, "snapshot_date")
     again = rows.withColumn("asset_id", F.lit(-1).cast("bigint"))
     tables.merge_into(p.spark, name, again, ["snapshot_date", "id"], "snapshot_date")
     return tables.current(p.spark, name)
 
 
-def _database(p: Press) -> str:
-    name = f"news_models_{p.mark}"
-    tables.create_database(p.spark, name, f"{p.root}/db/models")
-    return name
+def _new_table(p: Press, name: str) -> str:
+    """A table name not used before: a result handed out earlier keeps its files."""
+    database = f"news_models_{p.mark}"
+    tables.create_database(p.spark, database, f"{p.root}/db/models")
+    return f"{database}.{name}_{p.fresh()}"
 
 
 def _upserted(p: Press) -> DataFrame:
     """All articles; those since 1998 then come again, a year later and with other word counts."""
     rows = p.archive.select("article_id", "pub_date", "word_count")
-    name = f"{_database(p)}.upserted_articles"
+    name = _new_table(p, "upserted_articles")
 
     def dated(df: DataFrame) -> DataFrame:
         return df.withColumn("part_month", tables.month_of("pub_date"))
@@ -334,7 +335,7 @@ def _incremental(p: Press) -> DataFrame:
 
     Older articles without an abstract arrive between the runs; the date filter leaves them out.
     """
-    name = f"{_database(p)}.incremental_fct"
+    name = _new_table(p, "incremental_fct")
     early = (F.year("pub_date") <= 1998) & F.col("abstract").isNotNull()
 
     def build(stg: DataFrame) -> DataFrame:
@@ -355,7 +356,7 @@ def _clustered(p: Press) -> DataFrame:
     """Two months read from the partitioned and clustered article table."""
     import datetime as dt
 
-    name = f"{_database(p)}.clustered_articles"
+    name = _new_table(p, "clustered_articles")
     rows = p.archive.select("article_id", "pub_date", "section_name", "news_desk", "word_count")
     tables.write_table(
         rows.withColumn("part_month", tables.month_of("pub_date")),
@@ -371,7 +372,7 @@ def _clustered(p: Press) -> DataFrame:
 
 def _full_refresh(p: Press) -> DataFrame:
     """The article fact built from a part, then rebuilt from everything by a full refresh."""
-    name = f"{_database(p)}.refreshed_fct"
+    name = _new_table(p, "refreshed_fct")
 
     def build(stg: DataFrame) -> DataFrame:
         return core.fct_articles(stg, p.unique_ids).withColumn(
@@ -387,7 +388,7 @@ def _full_refresh(p: Press) -> DataFrame:
 
 def _layers(p: Press) -> DataFrame:
     """Staging as a view, the fact and the monthly mart as tables of their layers."""
-    prefix = f"news_{p.mark}_"
+    prefix = f"news_{p.mark}_{p.fresh()}_"
     for layer in tables.LAYERS:
         database = tables.layer_name(layer, prefix)
         tables.create_database(p.spark, database, f"{p.root}/db/{database}")

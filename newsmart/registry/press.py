@@ -35,7 +35,7 @@ class Press:
         self._written: set[str] = set()
 
     def fresh(self) -> str:
-        """A name not used before, for a stream's checkpoint folder."""
+        """A name part not used before."""
         return uuid.uuid4().hex[:12]
 
     def once(self, name: str, folder: str, write: Callable[[], object]) -> str:
