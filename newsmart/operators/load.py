@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsmart import schemas
+from newsmart.functions.exprs import label, n_rows
 from newsmart.operators import shaping
 from newsmart.operators.tables import (
     create_database,
     current,
     merge_into,
     month_of,
+    scratch,
     write_table,
 )
-from newsmart.session import shared_dir
 from newsmart.sources import files, records
 from newsmart.sources.files import ARCHIVE_SLIM, POPULAR_SLIM
 
@@ -61,14 +61,6 @@ def _object_path(to: Targets) -> Column:
     return files.below("file_path", to.landing)
 
 
-def _staged(spark: SparkSession, checked: DataFrame, to: Targets) -> DataFrame:
-    """Checked records saved as columns, so that the JSON text is parsed once per load."""
-    path = f"{shared_dir(spark)}/newsmart/stage-{uuid.uuid4().hex[:12]}"
-    checked = checked.withColumn("file_path", _object_path(to)).drop(schemas.CORRUPT)
-    checked.write.parquet(path)
-    return spark.read.schema(checked.schema).parquet(path)
-
-
 def _whole_files(staged: DataFrame, manifest: DataFrame) -> DataFrame:
     """Records of files that are not in the manifest and hold no rejected record."""
     broken = shaping.rejected(staged).select("file_path").distinct()
@@ -99,18 +91,21 @@ def load_records(
         checked = shaping.checked_articles(slim)
     else:
         checked = shaping.checked_popular(slim.where(F.col("snapshot_date").isNotNull()))
-    staged = _staged(spark, checked, to)
-    whole = _whole_files(staged, current(spark, to.manifest))
-    if feed == ARCHIVE_SLIM:
-        rows = shaping.archive_rows(shaping.accepted_articles(whole))
-        rows = rows.withColumn("part_month", month_of("pub_date"))
-        merge_into(spark, to.archive, rows, ["article_id"], "part_month")
-    else:
-        rows = shaping.popular_rows(shaping.accepted_popular(whole))
-        merge_into(spark, to.popular, rows, ["snapshot_date", "id"], "snapshot_date")
-    seen = listed if listed is not None else staged.select(F.col("file_path").alias("path"))
-    broken = shaping.rejected(staged).select(F.col("file_path").alias("path")).distinct()
-    _note(spark, to, feed, seen.distinct().join(broken, "path", "left_anti"))
+    checked = checked.withColumn("file_path", _object_path(to)).drop(schemas.CORRUPT)
+    # Saved as columns, the JSON text is parsed once for the check, the merge and the manifest.
+    with scratch(checked) as saved:
+        staged = spark.table(saved)
+        whole = _whole_files(staged, current(spark, to.manifest))
+        if feed == ARCHIVE_SLIM:
+            rows = shaping.archive_rows(shaping.accepted_articles(whole))
+            rows = rows.withColumn("part_month", month_of("pub_date"))
+            merge_into(spark, to.archive, rows, ["article_id"], "part_month")
+        else:
+            rows = shaping.popular_rows(shaping.accepted_popular(whole))
+            merge_into(spark, to.popular, rows, ["snapshot_date", "id"], "snapshot_date")
+        seen = listed if listed is not None else staged.select(F.col("file_path").alias("path"))
+        broken = shaping.rejected(staged).select(F.col("file_path").alias("path")).distinct()
+        _note(spark, to, feed, seen.distinct().join(broken, "path", "left_anti"))
 
 
 def pending_files(spark: SparkSession, to: Targets) -> DataFrame:
@@ -124,28 +119,34 @@ def backfill(spark: SparkSession, to: Targets) -> DataFrame:
 
     Returns files per feed and outcome: loaded, skipped (loaded before), no snapshot date, error.
     """
-    path = f"{shared_dir(spark)}/newsmart/listing-{uuid.uuid4().hex[:12]}"
-    pending_files(spark, to).write.parquet(path)
-    before = spark.read.parquet(path)
-    for feed, read in ((ARCHIVE_SLIM, records.slim_archive), (POPULAR_SLIM, records.slim_popular)):
-        todo = before.where((F.col("feed") == feed) & (F.col("status") == "pending"))
-        paths = [row["path"] for row in todo.select("path").collect()]
-        if paths:
-            listed = todo.select(F.col("object_path").alias("path"))
-            load_records(spark, to, feed, read(spark, paths), listed)
-    done = current(spark, to.manifest).select(F.col("path").alias("object_path")).distinct()
-    tried = before.where(F.col("status") == "pending")
-    outcome = (
-        tried.join(done, "object_path", "left_semi")
-        .withColumn("outcome", F.lit("loaded"))
-        .unionByName(
-            tried.join(done, "object_path", "left_anti").withColumn("outcome", F.lit("error"))
-        )
-        .unionByName(
-            before.where(F.col("status") != "pending").withColumn(
-                "outcome",
-                F.when(F.col("status") == "loaded", "skipped").otherwise(F.col("status")),
-            )
-        )
+    with scratch(pending_files(spark, to)) as saved:
+        before = spark.table(saved)
+        for feed, read in (
+            (ARCHIVE_SLIM, records.slim_archive), (POPULAR_SLIM, records.slim_popular)
+        ):
+            todo = before.where((F.col("feed") == feed) & (F.col("status") == "pending"))
+            paths = [row["path"] for row in todo.select("path").collect()]
+            if paths:
+                listed = todo.select(F.col("object_path").alias("path"))
+                load_records(spark, to, feed, read(spark, paths), listed)
+        counts = _outcomes(before, current(spark, to.manifest)).collect()
+    return spark.createDataFrame(counts, "feed string, outcome string, files bigint")
+
+
+def _outcomes(before: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Files per feed and outcome: what was pending and is noted now was loaded."""
+    done = manifest.select(F.col("path").alias("object_path"), F.lit(True).alias("done")).distinct()
+    status = F.col("status")
+    outcome = label(
+        [
+            (status == "loaded", "skipped"),
+            (status != "pending", "no snapshot date"),
+            (F.col("done"), "loaded"),
+        ],
+        "error",
+    )
+    return (
+        before.join(done, "object_path", "left")
+        .groupBy("feed", outcome.alias("outcome"))
+        .agg(n_rows().alias("files"))
     )
-    return outcome.groupBy("feed", "outcome").agg(F.count(F.lit(1)).alias("files"))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 from newsmart.schemas import Fields, struct_type
 from newsmart.session import shared_dir
 
+SCRATCH = "newsmart_scratch"
+
 # Database names of the layers.
 LAYERS = {"core": "dbt_core", "analytics": "dbt_analytics", "staging": "dbt_staging"}
 
@@ -36,6 +39,23 @@ def create_database(spark: SparkSession, name: str, location: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{location}'")
 
 
+@contextmanager
+def scratch(df: DataFrame) -> Iterator[str]:
+    """Name of a table that holds ``df`` while the block runs.
+
+    It lies in the shared folder, so what follows does not depend on the executors that wrote it,
+    and is dropped with its files at the end.
+    """
+    spark = df.sparkSession
+    create_database(spark, SCRATCH, f"{shared_dir(spark)}/newsmart/scratch")
+    name = f"{SCRATCH}.t_{uuid.uuid4().hex}"
+    try:
+        df.write.format("parquet").saveAsTable(name)
+        yield name
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def month_of(date: Column | str) -> Column:
     """Month partition value, such as ``2001-08``; null for no date."""
     return F.date_format(date, "yyyy-MM")
@@ -169,14 +189,14 @@ def upsert(
     if None in touched:
         here = here | F.col(partition).isNull()
     kept = without_keys(target.where(here), new, keys)
-    path = f"{shared_dir(spark)}/newsmart/upsert-{uuid.uuid4().hex[:12]}"
-    kept.select(*columns).unionByName(new.select(*columns)).write.parquet(path)
+    both = kept.select(*columns).unionByName(new.select(*columns))
     # The overwrite mode of a catalog table is a session setting, so the write has its own session.
     session = spark.newSession()
     session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    rows = session.read.schema(target.schema).parquet(path)
-    filled = {row[0] for row in rows.select(partition).distinct().collect()}
-    by_folder(rows.select(*columns), partition).write.insertInto(name, overwrite=True)
+    with scratch(both) as saved:
+        rows = session.table(saved).select(*columns)
+        filled = {row[0] for row in rows.select(partition).distinct().collect()}
+        by_folder(rows, partition).write.insertInto(name, overwrite=True)
     for value in set(touched) - filled:
         shown = "null" if value is None else f"'{value}'"
         session.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition} = {shown})")

@@ -283,6 +283,7 @@ def test_backfill(spark, tmp_path, targets):
     assert not [r for r in found if r[1] == 7]
     manifest = rows(tables.current(spark, targets.manifest), "source", "path")
     assert len(manifest) == len(set(manifest)) == 7
+    assert spark.catalog.listTables(tables.SCRATCH) == []  # nothing staged is left behind
 
 
 def test_odd_folder_names(spark, tmp_path):
