@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,22 +70,36 @@ NOT_NULL = (
 
 
 def check_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """Number of violations of every declared check on the given tables."""
-    report = None
-    for kind, pairs, check in (
-        ("unique", UNIQUE, unique_violations),
-        ("not_null", NOT_NULL, null_violations),
-    ):
-        for table, column in pairs:
-            if table not in tables:
-                continue
-            row = check(tables[table], column).agg(
-                F.lit(kind).alias("check_kind"),
-                F.lit(table).alias("table_name"),
-                F.lit(column).alias("column_name"),
-                F.count(F.lit(1)).alias("violations"),
+    """Number of violations of every declared check on the given tables.
+
+    All columns of a table that must not be null are counted in one pass.
+    """
+    parts = []
+    for table, df in tables.items():
+        required = [column for name, column in NOT_NULL if name == table]
+        if required:
+            counts = F.array(
+                *[
+                    F.struct(
+                        F.lit("not_null").alias("check_kind"),
+                        F.lit(table).alias("table_name"),
+                        F.lit(column).alias("column_name"),
+                        F.count_if(F.col(column).isNull()).alias("violations"),
+                    )
+                    for column in required
+                ]
             )
-            report = row if report is None else report.unionByName(row)
-    if report is None:
+            parts.append(df.agg(counts.alias("c")).select(F.inline("c")))
+        for name, column in UNIQUE:
+            if name == table:
+                parts.append(
+                    unique_violations(df, column).agg(
+                        F.lit("unique").alias("check_kind"),
+                        F.lit(table).alias("table_name"),
+                        F.lit(column).alias("column_name"),
+                        F.count(F.lit(1)).alias("violations"),
+                    )
+                )
+    if not parts:
         raise ValueError("none of the declared tables was given")
-    return report
+    return reduce(DataFrame.unionByName, parts)
