@@ -7,17 +7,29 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import bpe, decontam, quality
+from newsmart.llm import bpe, decontam, langid, line_runs, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(_table(spark, sf_dir, "documents"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_runs.line_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -27,7 +39,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    chosen = (op5_bpe, op8_quality_rules, op10_decontamination)
+    chosen = (op3_language_id, op4_line_dedup, op5_bpe, op7_toxicity, op8_quality_rules, op10_decontamination)
     return {f.__name__: f for f in chosen}
 
 
@@ -54,8 +66,24 @@ ids AS (
 """
 
 
+_LINE_KEYS = r"""
+WITH line AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+  FROM documents),
+keyed AS (
+  SELECT doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM line),
+often AS (
+  SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5)
+"""
+
+
 def llm_sql() -> dict[str, str]:
     return {
+        "op4_line_dedup": _LINE_KEYS
+        + """SELECT doc_id, count(*) AS n_lines, count(*) FILTER (keeper IS NOT NULL AND doc_id < keeper) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (keeper IS NULL OR doc_id >= keeper), '')) AS kept_sha256
+FROM keyed LEFT JOIN often USING (k) GROUP BY doc_id""",
         "op10_decontamination": _ITEM_WORDS
         + """SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
