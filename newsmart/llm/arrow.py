@@ -55,8 +55,16 @@ class Stage:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        """df written as Parquet and read back, so that what follows doesn't depend on its lineage."""
-        schema = df.schema
-        df.write.parquet(self.path(name))
+    def save(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+        """df written as Parquet and read back, so that what follows doesn't depend on its lineage.
+
+        The shuffle files of the job are given up once the table is there.
+        """
+        schema, setting = df.schema, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        before = self.spark.conf.get(setting, "false")
+        self.spark.conf.set(setting, "true")
+        try:
+            df.write.option("compression", codec).parquet(self.path(name))
+        finally:
+            self.spark.conf.set(setting, before)
         return self.spark.read.schema(schema).parquet(self.path(name))

@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import bpe, decontam, langid, line_runs, quality, toxicity
+from newsmart.llm import bpe, decontam, langid, line_runs, near_dup, quality, suffix_repeats, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_repeats.repeat_digests(_table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(_table(spark, sf_dir, "documents"))
 
@@ -34,12 +38,19 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    chosen = (op3_language_id, op4_line_dedup, op5_bpe, op7_toxicity, op8_quality_rules, op10_decontamination)
+    chosen = (
+        op1_repeated_strings, op3_language_id, op4_line_dedup, op5_bpe, op7_toxicity, op8_quality_rules, op9_near_duplicates,
+        op10_decontamination,
+    )
     return {f.__name__: f for f in chosen}
 
 
@@ -78,8 +89,29 @@ often AS (
 """
 
 
+_NEAR = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) >= 3 THEN w[i : i + 2] ELSE w END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM doc WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT a, b FROM common JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT a AS doc_id, a AS root FROM edge UNION SELECT edge.b, reach.root FROM reach JOIN edge ON edge.a = reach.doc_id),
+least AS (SELECT doc_id, min(root) AS root FROM reach GROUP BY doc_id)
+"""
+
+
 def llm_sql() -> dict[str, str]:
     return {
+        "op9_near_duplicates": _NEAR
+        + """SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(root, doc_id) AS component_id, coalesce(root, doc_id) = doc_id AS kept
+FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN least USING (doc_id)""",
         "op4_line_dedup": _LINE_KEYS
         + """SELECT doc_id, count(*) AS n_lines, count(*) FILTER (keeper IS NOT NULL AND doc_id < keeper) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (keeper IS NULL OR doc_id >= keeper), '')) AS kept_sha256
