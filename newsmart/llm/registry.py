@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import bpe, decontam, langid, line_runs, near_dup, quality, suffix_repeats, toxicity
+from newsmart.llm import bpe, decontam, langid, line_runs, near_dup, pii, quality, suffix_repeats, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_repeats.repeat_digests(_table(spark, sf_dir, "documents"))
 
 
+def op2_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonyms(_table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(_table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     chosen = (
-        op1_repeated_strings, op3_language_id, op4_line_dedup, op5_bpe, op7_toxicity, op8_quality_rules, op9_near_duplicates,
+        op1_repeated_strings, op2_private_data, op3_language_id, op4_line_dedup, op5_bpe, op7_toxicity, op8_quality_rules, op9_near_duplicates,
         op10_decontamination,
     )
     return {f.__name__: f for f in chosen}
