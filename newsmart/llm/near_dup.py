@@ -262,8 +262,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def one_of_each_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The documents without near copies of documents with smaller ids, with the columns they had."""
-    gone = linked_documents(docs, doc_id, text, words, percent).where(~F.col("kept")).select(F.col("id").alias("gone")).distinct()
+    """The documents without near copies of documents with smaller ids, with the columns they had. Rows without id stay."""
     (name,) = unused(docs, "gone")
-    gone = gone.toDF(name)
-    return docs.join(gone, F.col(doc_id).cast("bigint").eqNullSafe(F.col(name)), "left_anti")
+    gone = linked_documents(docs, doc_id, text, words, percent).where("id IS NOT NULL AND NOT kept")
+    gone = gone.select(F.col("id").alias(name)).distinct()
+    return docs.join(gone, F.col(doc_id).cast("bigint") == F.col(name), "left_anti")

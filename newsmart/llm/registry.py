@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import bpe, decontam, langid, line_runs, near_dup, pii, quality, suffix_repeats, toxicity
+from newsmart.llm import bpe, decontam, langid, licenses, line_runs, near_dup, pii, quality, suffix_repeats, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(_table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -52,8 +56,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     chosen = (
-        op1_repeated_strings, op2_private_data, op3_language_id, op4_line_dedup, op5_bpe, op7_toxicity, op8_quality_rules, op9_near_duplicates,
-        op10_decontamination,
+        op1_repeated_strings, op2_private_data, op3_language_id, op4_line_dedup, op5_bpe, op6_licenses, op7_toxicity, op8_quality_rules,
+        op9_near_duplicates, op10_decontamination,
     )
     return {f.__name__: f for f in chosen}
 
