@@ -268,6 +268,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str)
     chance = lambda y: min(1.0, SAMPLE[y] / max(1, found.get(y, 0)))
     place = F.pmod(F.xxhash64(F.col("i").cast("string")), F.lit(1 << 20)) / (1 << 20)
     marks = marks.where(((F.col("y") == 1) & (place < chance(1))) | ((F.col("y") == 0) & (place < chance(0))))
+    marks = F.broadcast(marks.limit(2 * sum(SAMPLE.values())))  # so many small rows at most
     rows = docs.select(F.col(doc_id).alias("i"), F.col(text).cast("string").alias("t")).where("t IS NOT NULL").where(F.octet_length("t") <= MOST_BYTES)
     chosen = rows.join(marks, "i").select("t", "y").orderBy(F.xxhash64("t"), "y").limit(2 * sum(SAMPLE.values())).collect()
     return [r.t.encode() for r in chosen], np.array([r.y for r in chosen], dtype=np.int64)
