@@ -90,9 +90,14 @@ def label(rules: list[tuple[Column, str]], default: str | None = None) -> Column
 
 
 def coerce_long(text: Column) -> Column:
-    """Integer-valued text to bigint; anything else to null."""
-    number = trim_ws(text).try_cast("decimal(38,10)")
-    return F.when(number == F.floor(number), number.try_cast("bigint"))
+    """Integer-valued text to bigint; anything else to null. A fraction counts however small it is."""
+    value = trim_ws(text)
+    whole = F.regexp_extract(value, r"^([+-]?\d+)(?:\.0*)?$", 1)
+    scaled = value.try_cast("double")  # with an exponent
+    exact = (scaled == F.floor(scaled)) & (F.abs(scaled) < 2**53)
+    return F.when(whole != "", whole.try_cast("bigint")).when(
+        value.rlike(r"^[+-]?(?:\d+\.?\d*|\.\d+)[eE][+-]?\d+$") & exact, scaled.try_cast("bigint")
+    )
 
 
 def not_integer(text: Column) -> Column:

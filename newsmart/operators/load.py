@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,6 +42,18 @@ class Targets:
     def manifest(self) -> str:
         return f"{self.database}.load_manifest"
 
+    @property
+    def refused(self) -> str:
+        return f"{self.database}.refused_files"
+
+
+class BackfillError(RuntimeError):
+    """A backfill that left files out. ``counts`` has (feed, outcome, files)."""
+
+    def __init__(self, counts: list, causes: list[Exception]) -> None:
+        super().__init__(f"files were left out: {counts}; errors: {[str(c)[:300] for c in causes]}")
+        self.counts, self.causes = counts, causes
+
 
 def create_targets(spark: SparkSession, database: str, location: str, landing: str) -> Targets:
     """Database and empty tables: archive by month, popularity by day, manifest."""
@@ -50,6 +63,7 @@ def create_targets(spark: SparkSession, database: str, location: str, landing: s
         (to.archive, {**schemas.ARCHIVE_ARTICLES, "part_month": "string"}, "part_month"),
         (to.popular, schemas.POPULAR_ARTICLES, "snapshot_date"),
         (to.manifest, schemas.LOAD_MANIFEST, None),
+        (to.refused, schemas.REFUSED_FILES, None),
     ):
         if not spark.catalog.tableExists(name):
             empty = spark.createDataFrame([], schemas.struct_type(fields))
@@ -77,25 +91,51 @@ def _note(spark: SparkSession, to: Targets, feed: str, loaded: DataFrame) -> Non
     write_table(rows, to.manifest, mode="append")
 
 
+def _refuse(spark: SparkSession, to: Targets, feed: str, reasons: DataFrame) -> None:
+    """Notes (path, reason) of files that were not taken, each pair once."""
+    there = current(spark, to.refused).select("path", "reason")
+    rows = reasons.select("path", "reason").distinct().join(there, ["path", "reason"], "left_anti")
+    rows = rows.select(
+        F.lit(feed).alias("source"), "path", "reason", F.current_timestamp().alias("refused_at")
+    )
+    write_table(rows, to.refused, mode="append")
+
+
 def load_records(
-    spark: SparkSession, to: Targets, feed: str, slim: DataFrame, listed: DataFrame | None = None
+    spark: SparkSession,
+    to: Targets,
+    feed: str,
+    slim: DataFrame,
+    listed: DataFrame | None = None,
+    keyless: bool = True,
 ) -> None:
     """Loads slim records of one feed.
 
-    A file with a record that does not fit is left out as a whole and not noted, so it is tried
-    again. The merge comes before the manifest: after a stop in between, the next run merges the
-    same files again, which adds nothing but rows without a key. ``listed`` names the files read,
-    so that files without records are noted as well.
+    A file with a record that does not fit is left out as a whole and not noted as loaded, so it is
+    tried again; it stands in the table of refused files with the reason, as does a popularity file
+    without a date. The merge comes before the manifest: after a stop in between, the next run merges
+    the same files again, which adds nothing but rows without a key. ``keyless=False``, as in a stream,
+    leaves those out, and notes that. ``listed`` names the files read, so that files without records
+    are noted as well.
     """
+    path = _object_path(to).alias("path")
     if feed == ARCHIVE_SLIM:
-        checked = shaping.checked_articles(slim)
+        checked, key = shaping.checked_articles(slim), "article_id"
     else:
-        checked = shaping.checked_popular(slim.where(F.col("snapshot_date").isNotNull()))
+        undated = slim.where(F.col("snapshot_date").isNull())
+        _refuse(spark, to, feed, undated.select(path, F.lit("no snapshot date").alias("reason")))
+        checked, key = shaping.checked_popular(slim.where(F.col("snapshot_date").isNotNull())), "id"
     checked = checked.withColumn("file_path", _object_path(to)).drop(schemas.CORRUPT)
     # Saved as columns, the JSON text is parsed once for the check, the merge and the manifest.
     with scratch(checked) as saved:
         staged = spark.table(saved)
+        reasons = shaping.rejected(staged).select(F.col("file_path").alias("path"), F.col(shaping.REASON).alias("reason"))
+        _refuse(spark, to, feed, reasons)
         whole = _whole_files(staged, current(spark, to.manifest))
+        if not keyless:
+            without = whole.where(F.col(key).isNull()).select(F.col("file_path").alias("path"))
+            _refuse(spark, to, feed, without.withColumn("reason", F.lit("records without a key")))
+            whole = whole.where(F.col(key).isNotNull())
         if feed == ARCHIVE_SLIM:
             rows = shaping.archive_rows(shaping.accepted_articles(whole))
             rows = rows.withColumn("part_month", month_of("pub_date"))
@@ -104,8 +144,7 @@ def load_records(
             rows = shaping.popular_rows(shaping.accepted_popular(whole))
             merge_into(spark, to.popular, rows, ["snapshot_date", "id"], "snapshot_date")
         seen = listed if listed is not None else staged.select(F.col("file_path").alias("path"))
-        broken = shaping.rejected(staged).select(F.col("file_path").alias("path")).distinct()
-        _note(spark, to, feed, seen.distinct().join(broken, "path", "left_anti"))
+        _note(spark, to, feed, seen.distinct().join(reasons.select("path").distinct(), "path", "left_anti"))
 
 
 def pending_files(spark: SparkSession, to: Targets) -> DataFrame:
@@ -114,22 +153,47 @@ def pending_files(spark: SparkSession, to: Targets) -> DataFrame:
     return files.file_status(routed, current(spark, to.manifest))
 
 
-def backfill(spark: SparkSession, to: Targets) -> DataFrame:
-    """Loads all files that are not in the manifest, one job per feed. Files of no bytes are not seen.
+#: Files that are read, and whose paths are on the driver, at once.
+FILES_AT_ONCE = 5_000
+
+
+def _chunks(todo: DataFrame) -> Iterator[list[tuple[str, str]]]:
+    chunk: list[tuple[str, str]] = []
+    for row in todo.select("path", "object_path").toLocalIterator():
+        chunk.append((row["path"], row["object_path"]))
+        if len(chunk) >= FILES_AT_ONCE:
+            yield chunk
+            chunk = []
+    if chunk:
+        yield chunk
+
+
+def backfill(spark: SparkSession, to: Targets, strict: bool = True) -> DataFrame:
+    """Loads all files that are not in the manifest, some thousand at a time. Files of no bytes are not seen.
 
-    Returns files per feed and outcome: loaded, skipped (loaded before), no snapshot date, error.
+    Returns files per feed and outcome: loaded, skipped (loaded before), no snapshot date, error. An
+    error in one feed does not keep the other from being loaded. When a file was left out, it raises
+    BackfillError at the end; ``strict=False`` only counts it.
     """
+    causes: list[Exception] = []
     with scratch(pending_files(spark, to)) as saved:
         before = spark.table(saved)
+        undated = before.where(F.col("status") == "no snapshot date")
+        reasons = undated.select(F.col("object_path").alias("path"), F.lit("no snapshot date").alias("reason"))
+        _refuse(spark, to, POPULAR_SLIM, reasons)
         for feed, read in (
             (ARCHIVE_SLIM, records.slim_archive), (POPULAR_SLIM, records.slim_popular)
         ):
             todo = before.where((F.col("feed") == feed) & (F.col("status") == "pending"))
-            paths = [row["path"] for row in todo.select("path").collect()]
-            if paths:
-                listed = todo.select(F.col("object_path").alias("path"))
-                load_records(spark, to, feed, read(spark, paths), listed)
+            try:
+                for chunk in _chunks(todo):
+                    listed = spark.createDataFrame([(p,) for _, p in chunk], "path string")
+                    load_records(spark, to, feed, read(spark, [p for p, _ in chunk]), listed)
+            except Exception as cause:  # the other feed is loaded all the same
+                causes.append(cause)
         counts = _outcomes(before, current(spark, to.manifest)).collect()
+    if strict and (causes or any(row["outcome"] in ("error", "no snapshot date") for row in counts)):
+        raise BackfillError([tuple(row) for row in counts], causes)
     return spark.createDataFrame(counts, "feed string, outcome string, files bigint")
 
 

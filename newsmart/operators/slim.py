@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql.utils import AnalysisException
 
 from newsmart import schemas
 from newsmart.operators import shaping
-from newsmart.operators.tables import by_folder
+from newsmart.operators.tables import by_folder, scratch
 from newsmart.sources import files, records
 
 
@@ -36,23 +36,74 @@ def _listed(spark: SparkSession, folder: str) -> DataFrame:
         return spark.createDataFrame([], "path string, length bigint, modified timestamp")
 
 
-def pending_paths(
-    spark: SparkSession, raw: str, slim: str, from_path: dict[str, Callable], overwrite: bool
-) -> list[str]:
-    """Raw files whose folder values have no slim output yet; with ``overwrite``, all of them.
+#: Raw files whose paths are on the driver at once.
+FILES_AT_ONCE = 5_000
+
+
+def _values(files_found: DataFrame, root: str, from_path: dict[str, Callable]) -> DataFrame:
+    path = files.below("path", root)
+    return files_found.select("path", *[make(path).alias(name) for name, make in from_path.items()])
+
+
+def done_folder(slim: str) -> str:
+    """Where the folder values that were worked off are noted, beside the slim files."""
+    return f"{slim.rstrip('/')}-done"
+
+
+def _done(spark: SparkSession, slim: str, from_path: dict[str, Callable]) -> DataFrame:
+    """Folder values that have slim files or were noted: a month without any accepted record has no files."""
+    names = list(from_path)
+    there = _values(_listed(spark, slim), slim, from_path).select(*names)
+    noted = _values(_listed(spark, done_folder(slim)), done_folder(slim), from_path)
+    return there.unionByName(noted.select(*names)).distinct()
 
-    Only file names are gathered, as a read needs them.
-    """
-    path = F.col("path")
-    found = files.list_files(spark, raw).select(
-        "path", *[make(path).alias(name) for name, make in from_path.items()]
-    )
-    if not overwrite:
-        done = _listed(spark, slim).select(
-            *[make(path).alias(name) for name, make in from_path.items()]
-        )
-        found = found.join(done.distinct(), list(from_path), "left_anti")
-    return [row["path"] for row in found.select("path").collect()]
+
+def pending_files(
+    spark: SparkSession, raw: str, slim: str, from_path: dict[str, Callable], overwrite: bool
+) -> DataFrame:
+    """Raw files and their folder values, without those worked off; with ``overwrite``, all of them."""
+    found = _values(files.list_files(spark, raw), raw, from_path)
+    return found if overwrite else found.join(_done(spark, slim, from_path), list(from_path), "left_anti")
+
+
+def _in_chunks(todo: DataFrame, names: list[str]) -> Iterator[list[str]]:
+    """Paths of whole output folders, FILES_AT_ONCE or as many as a folder has. todo is sorted by the names."""
+    chunk: list[str] = []
+    folder = None
+    for row in todo.select("path", *names).toLocalIterator():
+        own = tuple(row[1:])
+        if len(chunk) >= FILES_AT_ONCE and own != folder:
+            yield chunk
+            chunk = []
+        chunk.append(row["path"])
+        folder = own
+    if chunk:
+        yield chunk
+
+
+def _transform(
+    spark: SparkSession,
+    raw: str,
+    slim: str,
+    from_path: dict[str, Callable],
+    checked: Callable[[list[str]], DataFrame],
+    accepted: Callable[[DataFrame], DataFrame],
+    overwrite: bool,
+) -> DataFrame | None:
+    """Slim files of all pending raw files, some thousand at a time; returns the rejected records."""
+    refused = None
+    with scratch(pending_files(spark, raw, slim, from_path, overwrite)) as saved:
+        # sorted, so that files of one output folder are worked off together
+        todo = spark.table(saved).orderBy(*from_path, "path")
+        for paths in _in_chunks(todo, list(from_path)):
+            rows = checked(paths)
+            write_slim(accepted(rows), slim, list(from_path), overwrite)
+            bad = shaping.rejected(rows)
+            refused = bad if refused is None else refused.unionByName(bad)
+        if refused is not None:
+            noted = spark.table(saved).select(*from_path, F.col("path").alias("value")).distinct()
+            by_folder(noted, *from_path).write.partitionBy(*from_path).mode("append").text(done_folder(slim))
+    return refused
 
 
 def transform_archive(
@@ -60,29 +111,31 @@ def transform_archive(
 ) -> DataFrame | None:
     """Writes the slim months that are missing and returns the rejected records of that run.
 
-    Returns None when there is nothing to do.
+    Returns None when there is nothing to do. A month without accepted records is done as well.
     """
+
+    def checked(paths: list[str]) -> DataFrame:
+        docs = records.raw_archive(spark, paths, multiline, raw)
+        return shaping.checked_articles(shaping.slim_articles(docs))
+
+    def accepted(rows: DataFrame) -> DataFrame:
+        return shaping.accepted_articles(rows).select(*schemas.SLIM_ARCHIVE, "year", "month")
+
     from_path = {"year": files.path_year, "month": files.path_month}
-    paths = pending_paths(spark, raw, slim, from_path, overwrite)
-    if not paths:
-        return None
-    docs = records.raw_archive(spark, paths, multiline)
-    checked = shaping.checked_articles(shaping.slim_articles(docs))
-    rows = shaping.accepted_articles(checked).select(*schemas.SLIM_ARCHIVE, "year", "month")
-    write_slim(rows, slim, ["year", "month"], overwrite)
-    return shaping.rejected(checked)
+    return _transform(spark, raw, slim, from_path, checked, accepted, overwrite)
 
 
 def transform_popular(
     spark: SparkSession, raw: str, slim: str, overwrite: bool = False, multiline: bool = True
 ) -> DataFrame | None:
     """Writes the slim days that are missing and returns the rejected records of that run."""
+
+    def checked(paths: list[str]) -> DataFrame:
+        docs = records.raw_popular(spark, paths, multiline, raw)
+        return shaping.checked_popular(shaping.slim_popular(docs))
+
+    def accepted(rows: DataFrame) -> DataFrame:
+        return shaping.accepted_popular(rows).select(*schemas.SLIM_POPULAR, "snapshot_date")
+
     from_path = {"snapshot_date": lambda p: files.path_snapshot_date(p, files.DAY_PATTERN)}
-    paths = pending_paths(spark, raw, slim, from_path, overwrite)
-    if not paths:
-        return None
-    docs = records.raw_popular(spark, paths, multiline)
-    checked = shaping.checked_popular(shaping.slim_popular(docs))
-    rows = shaping.accepted_popular(checked).select(*schemas.SLIM_POPULAR, "snapshot_date")
-    write_slim(rows, slim, ["snapshot_date"], overwrite)
-    return shaping.rejected(checked)
+    return _transform(spark, raw, slim, from_path, checked, accepted, overwrite)

@@ -119,7 +119,7 @@ def declared(df: DataFrame, fields: Fields) -> DataFrame:
 
 def without_keys(rows: DataFrame, present: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose keys are not in ``present``. A null key matches nothing and stays."""
-    return rows.join(present.select(*keys).distinct(), list(keys), "left_anti")
+    return rows.join(present.select(*keys), list(keys), "left_anti")
 
 
 def insert_only(
@@ -148,8 +148,16 @@ def merge_into(
     partition: str | None = None,
     dedupe_source: bool = False,
 ) -> None:
-    """Insert-only merge into a table by an append. Running it again adds nothing new."""
-    fresh = insert_only(source, current(spark, name), keys, dedupe_source)
+    """Insert-only merge into a table by an append. Running it again adds nothing new.
+
+    Where the partition column is one of the keys, only the partitions that the source has rows for
+    are read. Their values come to the driver: one for each day or month of the source.
+    """
+    target = current(spark, name)
+    if partition in keys:
+        values = [row[0] for row in source.select(partition).distinct().collect()]
+        target = target.where(F.col(partition).isin([v for v in values if v is not None]))
+    fresh = insert_only(source, target, keys, dedupe_source)
     write_table(fresh, name, partition, mode="append")
 
 
@@ -171,38 +179,50 @@ def upsert(
 ) -> None:
     """Replaces rows with the same keys and adds the others, rewriting only touched partitions.
 
-    Touched are the partitions of the new rows and those that hold a row to be replaced. Their new
-    contents are saved beside the table first, because a plan cannot overwrite what it reads; a
-    partition that loses its last row is dropped.
+    The new rows are saved first, so that their source is evaluated once. Touched are their partitions
+    and those that hold a row to be replaced, found in one pass over the target's keys; the values come
+    to the driver, one for each month or day. New contents are saved beside the table, because a plan
+    cannot overwrite what it reads. A partition that loses its last row is dropped before the others are
+    overwritten: after a stop in between, the table has no newer rows than before, and the same call, or
+    the next incremental run, brings it to the same end.
     """
     target = current(spark, name)
     columns = target.columns
-    replaced = target.join(new.select(*keys).distinct(), list(keys), "left_semi")
-    touched = [
-        row[0]
-        for row in new.select(partition)
-        .unionByName(replaced.select(partition))
-        .distinct()
-        .collect()
-    ]
-    here = F.col(partition).isin([v for v in touched if v is not None])
-    if None in touched:
-        here = here | F.col(partition).isNull()
-    kept = without_keys(target.where(here), new, keys)
-    both = kept.select(*columns).unionByName(new.select(*columns))
     # The overwrite mode of a catalog table is a session setting, so the write has its own session.
     session = spark.newSession()
     session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    with scratch(both) as saved:
-        rows = session.table(saved).select(*columns)
-        filled = {row[0] for row in rows.select(partition).distinct().collect()}
-        by_folder(rows, partition).write.insertInto(name, overwrite=True)
-    for value in set(touched) - filled:
-        shown = "null" if value is None else f"'{value}'"
-        session.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition} = {shown})")
+    with scratch(new.select(*columns)) as staged:
+        rows = spark.table(staged)
+        replaced = target.select(partition, *[k for k in keys if k != partition])
+        replaced = replaced.join(rows.select(*keys), list(keys), "left_semi")
+        incoming = {row[0] for row in rows.select(partition).distinct().collect()}
+        touched = incoming | {row[0] for row in replaced.select(partition).distinct().collect()}
+        if not touched:
+            return
+        here = F.col(partition).isin([v for v in touched if v is not None])
+        if None in touched:
+            here = here | F.col(partition).isNull()
+        kept = without_keys(target.where(here), rows, keys)
+        with scratch(kept.select(*columns).unionByName(rows)) as saved:
+            filled = {row[0] for row in spark.table(saved).select(partition).distinct().collect()}
+            for value in touched - filled:
+                _drop_partition(session, name, partition, value)
+            _overwrite_partitions(session, saved, name, columns, partition)
     spark.catalog.refreshTable(name)
 
 
+def _drop_partition(session: SparkSession, name: str, partition: str, value: object) -> None:
+    shown = "null" if value is None else f"'{value}'"
+    session.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition} = {shown})")
+
+
+def _overwrite_partitions(
+    session: SparkSession, saved: str, name: str, columns: list[str], partition: str
+) -> None:
+    rows = session.table(saved).select(*columns)
+    by_folder(rows, partition).write.insertInto(name, overwrite=True)
+
+
 def run_incremental(
     spark: SparkSession,
     name: str,
@@ -217,12 +237,14 @@ def run_incremental(
 ) -> None:
     """One run of an incremental model.
 
-    The first run and a full refresh write everything. Later runs take only source rows dated after
-    the table's newest date, build them and upsert them by key. ``lookback_days`` is accepted and
-    has no effect. ``build`` must give rows with the partition column.
+    The first run and a full refresh write everything. Later runs take only rows dated after the
+    table's newest date and upsert them by key. ``build`` is given all of the source, so that counts per
+    key take in rows on either side of that date; the date filter is put on its result and goes down to
+    the source where the model allows. ``lookback_days`` is accepted and has no effect. ``build`` must
+    give rows with the date and the partition column.
     """
     if full_refresh or not spark.catalog.tableExists(name):
         write_table(build(source), name, partition, cluster, keys[-1])
         return
-    fresh = newer_than(source, current(spark, name), date)
-    upsert(spark, name, build(fresh), keys, partition)
+    fresh = newer_than(build(source), current(spark, name), date)
+    upsert(spark, name, fresh, keys, partition)

@@ -107,23 +107,39 @@ def agg_author_performance(
     fact is summed per id before the join, so no pairs are formed. With ``unique_ids`` there is no
     join at all.
     """
-    careers = (
+    author = ["author_full_name", "firstname", "lastname"]
+    # Per author and article first: a distinct count of articles becomes a count, and an author with
+    # very many rows is spread over the tasks. Years and sections of an author are small sets.
+    articles = (
         _author_rows(stg, fct, unique_ids)
-        .groupBy("author_full_name", "firstname", "lastname")
+        .groupBy(*author, "article_id")
         .agg(
-            F.countDistinct("article_id").alias("total_articles"),
-            F.min("pub_date").alias("first_article_date"),
-            F.max("pub_date").alias("last_article_date"),
-            F.countDistinct("pub_year").alias("years_active"),
-            F.min("pub_year").alias("first_year"),
-            F.max("pub_year").alias("last_year"),
+            F.min("pub_date").alias("first_date"),
+            F.max("pub_date").alias("last_date"),
+            F.collect_set("pub_year").alias("years"),
+            F.collect_set("section_name").alias("sections"),
             F.sum("n").alias("n"),
-            F.sum("words").alias("total_words_written"),
-            F.max("longest").alias("longest_article_words"),
-            F.countDistinct("section_name").alias("sections_written_for"),
+            F.sum("words").alias("words"),
+            F.max("longest").alias("longest"),
             F.sum("keywords").alias("keywords"),
         )
     )
+    years = F.array_distinct(F.flatten(F.collect_set("years")))
+    careers = articles.groupBy(*author).agg(
+        F.count("article_id").alias("total_articles"),
+        F.min("first_date").alias("first_article_date"),
+        F.max("last_date").alias("last_article_date"),
+        F.size(years).cast("bigint").alias("years_active"),
+        F.array_min(years).alias("first_year"),
+        F.array_max(years).alias("last_year"),
+        F.sum("n").alias("n"),
+        F.sum("words").alias("total_words_written"),
+        F.max("longest").alias("longest_article_words"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("sections")))).cast("bigint").alias(
+            "sections_written_for"
+        ),
+        F.sum("keywords").alias("keywords"),
+    )
     return careers.select(
         "author_full_name",
         "firstname",

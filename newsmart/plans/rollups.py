@@ -162,24 +162,26 @@ def section_popularity_bias(fct: DataFrame, pop: DataFrame) -> DataFrame:
 
 
 def keyword_cooccurrence(
-    keywords: DataFrame, min_articles: int = 1, block: int = 1000
+    keywords: DataFrame, min_articles: int = 2, block: int = 1000
 ) -> DataFrame:
     """Pairs of keyword values on the same article (first value smaller) with their article count.
 
+    At least two articles are asked for, as every pair of a single article would be listed otherwise.
     Blank values take part like any other; only nulls drop out. Values are made distinct per article
     first, so pairs are counted without a distinct. A value on fewer than ``min_articles`` articles
     cannot be in a result pair and is left out before pairing, which changes nothing in the result.
     An article with more than ``block`` values is cut: its left rows go to one of several salts and
     its right rows are repeated for each, so one article's pairs are formed by many tasks.
     """
+    if min_articles < 2:
+        raise ValueError("min_articles must be 2 or more")
     values = (
         keywords.where(F.col("keyword_value").isNotNull())
         .select("article_id", F.col("keyword_value").alias("value"))
         .distinct()
     )
-    if min_articles > 1:
-        frequent = values.groupBy("value").agg(n_rows().alias("n")).where(F.col("n") >= min_articles)
-        values = values.join(frequent, "value", "left_semi")
+    frequent = values.groupBy("value").agg(n_rows().alias("n")).where(F.col("n") >= min_articles)
+    values = values.join(frequent, "value", "left_semi")
     sizes = values.groupBy("article_id").agg(
         F.ceil(n_rows() / F.lit(block)).cast("int").alias("salts")
     )
@@ -302,12 +304,19 @@ def keyword_weights(trends: DataFrame) -> DataFrame:
     ).orderBy(F.desc("article_count"), "keyword_value")
 
 
-def declining_keywords(trends: DataFrame, as_of: dt.date, n: int = 30) -> DataFrame:
-    """Last full year's keywords that lost most articles, with their rank change."""
+def _first(ordered: DataFrame, n: int | None) -> DataFrame:
+    return ordered if n is None else ordered.limit(n)
+
+
+def declining_keywords(trends: DataFrame, as_of: dt.date, n: int | None = None) -> DataFrame:
+    """Last full year's keywords that lost articles, with their rank change; with ``n`` the first ones."""
     return (
-        trends.where((F.col("pub_year") == as_of.year - 1) & (F.col("yoy_change") < 0))
-        .orderBy("yoy_change", *KEYWORD_TIES)
-        .limit(n)
+        _first(
+            trends.where((F.col("pub_year") == as_of.year - 1) & (F.col("yoy_change") < 0)).orderBy(
+                "yoy_change", *KEYWORD_TIES
+            ),
+            n,
+        )
         .select(
             "keyword_value",
             "keyword_name",
@@ -380,15 +389,12 @@ def growing_and_declining_sections(
     )
 
 
-def section_year_matrix(sections: DataFrame, years: list[int]) -> DataFrame:
-    """One row per section, one column per year. The years are given, so no extra job finds them."""
-    columns = [
-        F.sum(F.when(F.col("pub_year") == y, F.col("article_count"))).alias(f"y{y}") for y in years
-    ]
+def section_year_matrix(sections: DataFrame) -> DataFrame:
+    """Articles of every section in every year that it has any, desks added up."""
     return (
-        sections.groupBy("section_name")
-        .agg(*[F.coalesce(c, F.lit(0)).alias(f"y{y}") for c, y in zip(columns, years)])
-        .orderBy("section_name")
+        sections.groupBy("section_name", "pub_year")
+        .agg(F.sum("article_count").alias("article_count"))
+        .orderBy("section_name", "pub_year")
     )
 
 
@@ -616,9 +622,9 @@ def compare_sections(fct: DataFrame, first: Period, second: Period) -> DataFrame
 
 
 def compare_keywords(
-    keywords: DataFrame, first: Period, second: Period, n: int = 50
+    keywords: DataFrame, first: Period, second: Period, n: int | None = None
 ) -> DataFrame:
-    """Keyword values with the largest change in distinct articles between two periods."""
+    """Keyword values by their change in distinct articles between two periods; with ``n`` the first ones."""
     in_first, in_second = _inside(first), _inside(second)
     per_article = (
         known_values(keywords)
@@ -626,13 +632,12 @@ def compare_keywords(
         .groupBy("keyword_value", "article_id")
         .agg(F.bool_or(in_first).alias("a"), F.bool_or(in_second).alias("b"))
     )
-    return (
+    changes = (
         per_article.groupBy("keyword_value")
         .agg(F.count_if("a").alias("first_count"), F.count_if("b").alias("second_count"))
         .withColumn("change", F.col("second_count") - F.col("first_count"))
-        .orderBy(F.desc(F.abs("change")), "keyword_value")
-        .limit(n)
     )
+    return _first(changes.orderBy(F.desc(F.abs("change")), "keyword_value"), n)
 
 
 def compare_lengths(fct: DataFrame, first: Period, second: Period) -> DataFrame:

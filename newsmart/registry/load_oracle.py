@@ -23,6 +23,7 @@ BASE: dict[str, str] = {
              CAST(month(o_orderdate) AS INTEGER) AS month,
              CASE WHEN o_orderkey % 41 = 0 THEN '12x' WHEN o_orderkey % 43 = 0 THEN '12.5'
                   WHEN o_orderkey % 47 = 0 THEN '120.0'
+                  WHEN o_orderkey % 59 = 0 THEN '12.00000000001'
                   WHEN o_orderkey % 13 <> 0 THEN CAST(CAST(floor(o_totalprice) AS BIGINT) % 5000 AS VARCHAR)
              END AS words_text,
              CASE WHEN o_orderkey % 17 = 0 THEN '  ' WHEN o_orderkey % 19 = 0 THEN NULL
@@ -50,12 +51,12 @@ BASE: dict[str, str] = {
              coalesce({_texts('raw_docs')}, '') AS keywords,
              coalesce({PERSON_TEXT}, '') AS byline_person,
              CASE WHEN okey % 10 <> 0 THEN media_text END AS multimedia_count_by_type
-      FROM raw_docs WHERE okey % 41 <> 0 AND okey % 43 <> 0""",
+      FROM raw_docs WHERE NOT (okey % 41 = 0 OR okey % 43 = 0 OR (okey % 59 = 0 AND okey % 47 <> 0))""",
     "raw_results": """
-      SELECT CAST(e.ts AS DATE) AS snapshot_date, user_id AS id, event_id, e.ts, event_type,
-             CAST(regexp_extract(props, '"k": (\\d+)', 1) AS BIGINT) AS k
-      FROM events e
-      WHERE event_id IN (SELECT min(event_id) FROM events GROUP BY CAST(ts AS DATE), user_id)""",
+      SELECT CAST(ts AS DATE) AS snapshot_date, user_id AS id, max(event_id) AS event_id,
+             max(ts) AS ts, arg_max(event_type, event_id) AS event_type,
+             CAST(sum(CAST(regexp_extract(props, '"k": (\\d+)', 1) AS BIGINT)) AS BIGINT) AS k
+      FROM events GROUP BY CAST(ts AS DATE), user_id""",
     "slim_results": """
       SELECT r.snapshot_date, r.id, 'press://popular/' || r.id AS uri,
              'https://press.example/p/' || r.id AS url, event_id AS asset_id,
@@ -124,6 +125,32 @@ BODIES: dict[str, str] = {
       SELECT snapshot_date, CAST(id AS VARCHAR) AS id,
              CASE WHEN event_id % 37 = 0 THEN 'none' ELSE CAST(event_id AS VARCHAR) END AS asset_id
       FROM raw_results""",
+    "s1_raw_month_objects": """
+      SELECT 'a' || o_orderkey AS article_id, CAST(year(o_orderdate) AS INTEGER) AS year,
+             CAST(month(o_orderdate) AS INTEGER) AS month,
+             CASE WHEN o_orderkey % 13 <> 0
+                  THEN CAST(CAST(floor(o_totalprice) AS BIGINT) % 5000 AS VARCHAR) END AS word_count
+      FROM orders WHERE o_orderkey % 101 <> 0""",
+    "s2_raw_day_objects": """
+      SELECT snapshot_date, CAST(id AS VARCHAR) AS id, CAST(event_id AS VARCHAR) AS asset_id
+      FROM raw_results""",
+    "s9_refused_files": """
+      SELECT 'archive_slim' AS source, CAST(1995 AS INTEGER) AS year, CAST(2 AS INTEGER) AS month,
+             CAST(NULL AS DATE) AS snapshot_date, 'word_count is not an integer' AS reason,
+             CAST(1 AS BIGINT) AS files
+      WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderkey % 7 = 0 AND year(o_orderdate) = 1995
+                    AND month(o_orderdate) = 2)
+      UNION ALL
+      SELECT 'most_popular_slim', NULL, NULL, DATE '2024-01-02', 'asset_id is not an integer', 1
+      WHERE EXISTS (SELECT 1 FROM raw_results WHERE snapshot_date = DATE '2024-01-02')
+      UNION ALL SELECT 'most_popular_slim', NULL, NULL, NULL, 'no snapshot date', 1""",
+    "k12_backfill_outcomes": """
+      SELECT feed, CASE WHEN outcome = 'loaded' AND run = 2 THEN 'skipped' ELSE outcome END AS outcome,
+             CAST(1 AS BIGINT) AS files, CAST(run AS INTEGER) AS run
+      FROM (VALUES ('archive_slim', 'loaded'), ('archive_slim', 'error'),
+                   ('most_popular_slim', 'loaded'), ('most_popular_slim', 'error'),
+                   ('most_popular_slim', 'no snapshot date')) t(feed, outcome),
+           (VALUES (1), (2)) r(run)""",
     "s3_s8_feed_folders": """
       SELECT 'archive_slim' AS feed, year, month, CAST(NULL AS DATE) AS snapshot_date
       FROM slim_docs
@@ -154,7 +181,7 @@ BODIES: dict[str, str] = {
       FROM orders WHERE o_orderkey % 101 = 0
       UNION ALL
       SELECT 'word_count is not an integer', count(*) FROM raw_docs
-      WHERE okey % 41 = 0 OR okey % 43 = 0""",
+      WHERE okey % 41 = 0 OR okey % 43 = 0 OR (okey % 59 = 0 AND okey % 47 <> 0)""",
     "t5_rejected_popular": """
       SELECT CAST(id AS VARCHAR) AS id, snapshot_date, 'asset_id is not an integer' AS reject_reason
       FROM raw_results WHERE event_id % 37 = 0""",

@@ -71,6 +71,7 @@ def _raw_archive(p: Press) -> str:
             .when(key % 41 == 0, raw(F.lit("12x")))
             .when(key % 43 == 0, raw(F.lit(12.5)))
             .when(key % 47 == 0, raw(F.lit("120.0")))
+            .when(key % 59 == 0, raw(F.lit("12.00000000001")))
             .otherwise(raw(F.col("word_count")))
         )
         month = F.lpad(F.month("pub_date").cast("string"), 2, "0")
@@ -109,6 +110,41 @@ def _raw_popular(p: Press) -> str:
     return p.once("most_popular_raw", folder, write)
 
 
+def _raw_months(p: Press) -> str:
+    """One raw object a month with all its docs, below folders that look like a year and a month."""
+    folder = f"{p.root}/2024/12/months"
+
+    def write() -> None:
+        key = _key()
+        doc = F.struct(
+            F.col("article_id").alias("_id"), F.col("word_count").cast("string").alias("word_count")
+        )
+        docs = p.archive.where(key % 101 != 0).groupBy(
+            F.year("pub_date").alias("year"), F.month("pub_date").alias("month")
+        ).agg(F.collect_list(doc).alias("docs"))
+        value = F.to_json(F.struct(F.struct("docs").alias("response")))
+        tables.by_folder(docs, "year", "month").select("year", "month", value.alias("value")).write.partitionBy(
+            "year", "month"
+        ).text(folder)
+
+    return p.once("raw_months", folder, write)
+
+
+def _raw_days(p: Press) -> str:
+    """One raw object a day with all its results, below a folder that looks like a date."""
+    folder = f"{p.root}/2020-02-02/days"
+
+    def write() -> None:
+        doc = F.struct("id", "asset_id")
+        days = p.popular.groupBy("snapshot_date").agg(F.collect_list(doc).alias("results"))
+        value = F.to_json(F.struct("results", F.size("results").alias("num_results")))
+        tables.by_folder(days, "snapshot_date").select("snapshot_date", value.alias("value")).write.partitionBy(
+            "snapshot_date"
+        ).text(folder)
+
+    return p.once("raw_days", folder, write)
+
+
 def _slim_archive(p: Press) -> str:
     folder = f"{p.root}/landing/slim/{ARCHIVE_SLIM}"
     raw = _raw_archive(p)
@@ -409,11 +445,64 @@ def _declared_source(p: Press) -> DataFrame:
 
 
 def _backfilled(p: Press) -> tuple[load.Targets, DataFrame]:
-    to = _targets(p, "backfill")
+    to = _targets(p, f"backfill_{p.fresh()}")
     report = load.backfill(p.spark, to)
     return to, report
 
 
+def _spoiled_landing(p: Press) -> str:
+    """Slim files of two days and two months, one of each with a record that does not fit, and an undated file."""
+    folder = f"{p.root}/spoiled"
+
+    def write() -> None:
+        months = p.archive.where("pub_date < '1995-03-01'")
+        bad = F.when((F.month("pub_date") == 2) & (_key() % 7 == 0), "12x").otherwise(F.col("word_count").cast("string"))
+        rows = months.select(
+            "article_id", F.date_format("pub_date", "yyyy-MM-dd").alias("pub_date"), bad.alias("word_count"),
+            F.year("pub_date").alias("year"), F.month("pub_date").alias("month"),
+        )
+        rows.repartition(1).write.partitionBy("year", "month").json(f"{folder}/{ARCHIVE_SLIM}")
+        days = p.popular.where("snapshot_date <= '2024-01-02'")
+        bad = F.when(F.day("snapshot_date") == 2, "none").otherwise(F.col("asset_id").cast("string"))
+        rows = days.select("id", bad.alias("asset_id"), "snapshot_date")
+        rows.repartition(1).write.partitionBy("snapshot_date").json(f"{folder}/{POPULAR_SLIM}")
+        rows.drop("snapshot_date").repartition(1).write.json(f"{folder}/{POPULAR_SLIM}/undated")
+
+    p.once("spoiled", folder, write)
+    return folder
+
+
+def _spoiled_targets(p: Press, name: str) -> load.Targets:
+    fresh = p.fresh()
+    return load.create_targets(
+        p.spark, f"news_{name}_{p.mark}_{fresh}", f"{p.root}/db/{name}-{fresh}", _spoiled_landing(p)
+    )
+
+
+def _backfill_outcomes(p: Press) -> DataFrame:
+    """Files per feed and outcome of a first and a second backfill over a landing folder with bad files."""
+    to = _spoiled_targets(p, "outcomes")
+    first = load.backfill(p.spark, to, strict=False).withColumn("run", F.lit(1))
+    second = load.backfill(p.spark, to, strict=False).withColumn("run", F.lit(2))
+    return first.unionByName(second)
+
+
+def _refused_files(p: Press) -> DataFrame:
+    """What a stream refused, by feed, folder and reason."""
+    to = _spoiled_targets(p, "refused")
+    for feed in (ARCHIVE_SLIM, POPULAR_SLIM):
+        start_loading(p.spark, to, feed, f"{p.root}/stream/{p.fresh()}", available_now=True).awaitTermination()
+    path = F.col("path")
+    return (
+        tables.current(p.spark, to.refused)
+        .groupBy(
+            "source", files.path_year(path).alias("year"), files.path_month(path).alias("month"),
+            files.path_snapshot_date(path).alias("snapshot_date"), "reason",
+        )
+        .agg(F.count(F.lit(1)).alias("files"))
+    )
+
+
 def _loaded(p: Press) -> DataFrame:
     """The archive table after two backfills; the second one finds every file noted."""
     to, _ = _backfilled(p)
@@ -445,7 +534,7 @@ def _manifest(p: Press) -> DataFrame:
 
 def _streamed(p: Press) -> DataFrame:
     """The archive table after a stream has taken all files, and again with a new checkpoint."""
-    to = _targets(p, "stream")
+    to = _targets(p, f"stream_{p.fresh()}")
     for run in ("first", "second"):
         query = start_loading(
             p.spark, to, ARCHIVE_SLIM, f"{p.root}/stream/{p.fresh()}-{run}", available_now=True
@@ -455,7 +544,7 @@ def _streamed(p: Press) -> DataFrame:
 
 
 def _streamed_popular(p: Press) -> DataFrame:
-    to = _targets(p, "stream")
+    to = _targets(p, f"stream_{p.fresh()}")
     query = start_loading(
         p.spark, to, POPULAR_SLIM, f"{p.root}/stream/{p.fresh()}", available_now=True
     )
@@ -468,6 +557,14 @@ MODELS: dict[str, Callable[[Press], DataFrame]] = {
         F.col("_id").alias("article_id"), "year", "month", "word_count"
     ),
     "s2_raw_popular_scan": lambda p: _results(p).select("snapshot_date", "id", "asset_id"),
+    "s1_raw_month_objects": lambda p: records.raw_archive(p.spark, _raw_months(p)).select(
+        F.col("_id").alias("article_id"), "year", "month", "word_count"
+    ),
+    "s2_raw_day_objects": lambda p: records.raw_popular(p.spark, _raw_days(p)).select(
+        "snapshot_date", "id", "asset_id"
+    ),
+    "s9_refused_files": _refused_files,
+    "k12_backfill_outcomes": _backfill_outcomes,
     "s3_s8_feed_folders": _feed_folders,
     "s5_popular_file_dates": _popular_files,
     "s6_slim_archive_scan": lambda p: _readable(records.slim_archive(p.spark, _slim_archive(p))),

@@ -246,9 +246,7 @@ MODELS: dict[str, Callable[[Press], DataFrame]] = {
     "r07_growing_and_declining_sections": lambda p: rollups.growing_and_declining_sections(
         p.sections, AS_OF
     ),
-    "r08_section_year_matrix": lambda p: rollups.section_year_matrix(
-        p.sections, list(range(1995, 2002))
-    ),
+    "r08_section_year_matrix": lambda p: rollups.section_year_matrix(p.sections),
     "r09_rank_history": lambda p: rollups.rank_history(p.trends),
     "r10_top_keywords_per_year": lambda p: rollups.top_keywords_per_year(p.trends),
     "r11_keyword_momentum": lambda p: rollups.keyword_momentum(p.trends),

@@ -103,6 +103,11 @@ POPULAR_ARTICLES: Fields = {
 
 LOAD_MANIFEST: Fields = {"source": "string", "path": "string", "loaded_at": "timestamp"}
 
+# Files that were not taken, with the reason.
+REFUSED_FILES: Fields = {
+    "source": "string", "path": "string", "reason": "string", "refused_at": "timestamp"
+}
+
 # Slim records as read: the table columns with dates and integers still as text.
 SLIM_ARCHIVE: Fields = {
     **ARCHIVE_ARTICLES, "pub_date": "string", "word_count": "string", "keywords": KEYWORDS_TEXT

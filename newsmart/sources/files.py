@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,10 +13,11 @@ from newsmart.functions.exprs import label, n_rows
 ARCHIVE_SLIM = "archive_slim"
 POPULAR_SLIM = "most_popular_slim"
 
-# Folders may be plain values or carry the column name, as a partitioned write leaves them.
-MONTH_PATTERN = r"/(?:year=)?(\d{4})/(?:month=)?(\d{1,2})(?:/|\.)"
-DAY_PATTERN = r"/(?:snapshot_date=)?(\d{4}-\d{2}-\d{2})/"
-SNAPSHOT_PATTERN = POPULAR_SLIM + DAY_PATTERN
+# Folders may be plain values or carry the column name, as a partitioned write leaves them. Values are
+# taken from the folders right above a file, or from its name, so a path's beginning never counts.
+MONTH_PATTERN = r"(?:^|/)(?:year=)?(\d{4})/(?:month=)?(\d{1,2})(?:/[^/]+|\.[^/]+)$"
+DAY_PATTERN = r"(?:^|/)(?:snapshot_date=)?(\d{4}-\d{2}-\d{2})/[^/]+$"
+SNAPSHOT_PATTERN = r"(?:^|/)" + POPULAR_SLIM + r"/(?:snapshot_date=)?(\d{4}-\d{2}-\d{2})/[^/]+$"
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
@@ -33,14 +36,17 @@ def read_path() -> Column:
     return F.url_decode(encoded)
 
 
+def _without_scheme(path: str) -> str:
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.\-]*:(?://)?", "", path)
+
+
 def below(path: Column | str, root: str) -> Column:
-    """Path relative to ``root``; the scheme in front of either does not matter."""
+    """Path relative to ``root``, or the whole path if it lies elsewhere; schemes do not matter."""
     path = F.col(path) if isinstance(path, str) else path
-    folder = root.split("://", 1)[-1].rstrip("/") + "/"
-    if folder.startswith("file:"):
-        folder = folder[len("file:") :]
-    start = F.locate(folder, path)
-    return F.when(start > 0, F.substring(path, start + len(folder), F.length(path))).otherwise(path)
+    folder = _without_scheme(root).rstrip("/") + "/"
+    plain = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.\-]*:(?://)?", "")
+    inside = F.substring(plain, len(folder) + 1, 1 << 20)
+    return F.when(F.startswith(plain, F.lit(folder)), inside).otherwise(path)
 
 
 def path_year(path: Column) -> Column:
@@ -63,7 +69,9 @@ def route(files: DataFrame, root: str, prefix: str = "") -> DataFrame:
     """
     rel = below("path", root)
     if prefix:
-        rel = F.regexp_replace(rel, f"^{prefix}/?", "")
+        front = prefix.rstrip("/") + "/"
+        rest = F.substring(rel, len(front) + 1, 1 << 20)
+        rel = F.when(F.startswith(rel, F.lit(front)), rest).otherwise(rel)
     routed = files.withColumn("object_path", rel)
     feed = label(
         [

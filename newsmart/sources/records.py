@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsmart import schemas
 from newsmart.schemas import CORRUPT, Fields, ddl
-from newsmart.sources.files import DAY_PATTERN, path_month, path_snapshot_date, path_year, read_path
+from newsmart.sources.files import (
+    DAY_PATTERN,
+    below,
+    path_month,
+    path_snapshot_date,
+    path_year,
+    read_path,
+)
 
 Paths = str | list[str]
 
@@ -32,22 +39,33 @@ def _unpack(objects: DataFrame, docs: str) -> DataFrame:
     )
 
 
-def raw_archive(spark: SparkSession, paths: Paths, multiline: bool = True) -> DataFrame:
-    """Docs of raw archive months with the year and month of their path.
+def _below_root(paths: Paths, root: str | None) -> Column:
+    """Path of a record's file below the root: the folder read from, where none is named."""
+    root = root or (paths if isinstance(paths, str) else None)
+    return below("file_path", root) if root else F.col("file_path")
+
+
+def raw_archive(
+    spark: SparkSession, paths: Paths, multiline: bool = True, root: str | None = None
+) -> DataFrame:
+    """Docs of raw archive months with the year and month of their path below the root.
 
     ``multiline=False`` reads objects that stand on one line each; such files can be split.
     """
     objects = _json(spark, paths, schemas.RAW_ARCHIVE_FILE, multiline)
+    path = _below_root(paths, root)
     return _unpack(objects, "response.docs").withColumns(
-        {"year": path_year(F.col("file_path")), "month": path_month(F.col("file_path"))}
+        {"year": path_year(path), "month": path_month(path)}
     )
 
 
-def raw_popular(spark: SparkSession, paths: Paths, multiline: bool = True) -> DataFrame:
-    """Results of raw popularity snapshots with the date of their path."""
+def raw_popular(
+    spark: SparkSession, paths: Paths, multiline: bool = True, root: str | None = None
+) -> DataFrame:
+    """Results of raw popularity snapshots with the date of their path below the root."""
     objects = _json(spark, paths, schemas.RAW_POPULAR_FILE, multiline)
     return _unpack(objects, "results").withColumn(
-        "snapshot_date", path_snapshot_date(F.col("file_path"), DAY_PATTERN)
+        "snapshot_date", path_snapshot_date(_below_root(paths, root), DAY_PATTERN)
     )
 
 

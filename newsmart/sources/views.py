@@ -1,13 +1,11 @@
 """Article-shaped views of the order, line-item and event tables.
 
-An order becomes an article, its lines become keywords, authors and media; a user's first event of
-a day becomes a row of that day's popularity snapshot. Nulls and blanks are put in by key
-arithmetic so that the cleaning rules have work to do.
-
-Lines are reduced to distinct attribute combinations before they are gathered per order. The
-combinations come from small fixed domains (type, brand, name, line number, flag; author numbers
-below ``AUTHORS``), so the gathered arrays stay bounded even for an order that holds a large part
-of all lines.
+An order becomes an article, its lines become keywords, authors and media; a user's events of a day
+become a row of that day's popularity snapshot. Nulls, blanks and repeated entries are put in by key
+arithmetic so that the cleaning and counting rules have work to do.
+
+Lines are read and joined once. Their distinct keywords and suppliers are gathered per order and line
+status first, then per order, so that partial sums meet and not single lines.
 """
 
 from __future__ import annotations
@@ -17,9 +15,6 @@ from pyspark.sql import functions as F
 
 from newsmart.schemas import KEYWORDS, PERSONS, POPULAR_ARTICLES, struct_type
 
-AUTHORS = 10_000
-
-
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -28,46 +23,22 @@ def _every(key: Column, n: int, rest: int = 0) -> Column:
     return key % n == rest
 
 
-def _keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _keyword() -> Column:
     brand = F.col("p_brand")
     value = F.when(brand == "Brand#13", " ").when(
         brand != "Brand#7", F.concat_ws(" ", "p_brand", "p_name")
     )
-    lines = _read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag"
-    )
-    parts = _read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand", "p_name")
-    return (
-        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            "l_orderkey",
-            F.col("l_linenumber").cast("bigint").alias("rank"),
-            F.lower("p_type").alias("name"),
-            value.alias("value"),
-            F.when(F.col("l_returnflag") == "R", "Y").otherwise("N").alias("major"),
-        )
-        .distinct()
-        .groupBy("l_orderkey")
-        .agg(F.sort_array(F.collect_list(F.struct("rank", "name", "value", "major"))).alias("k"))
-        .select(
-            "l_orderkey",
-            F.transform(
-                "k",
-                lambda k: F.struct(
-                    k["name"].alias("name"),
-                    k["value"].alias("value"),
-                    k["rank"].alias("rank"),
-                    k["major"].alias("major"),
-                ),
-            ).alias("keywords"),
-        )
+    return F.struct(
+        F.col("l_linenumber").cast("bigint").alias("rank"),
+        F.lower("p_type").alias("name"),
+        value.alias("value"),
+        F.when(F.col("l_returnflag") == "R", "Y").otherwise("N").alias("major"),
     )
 
 
-def _persons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    number = F.col("number")
+def _person(number: Column) -> Column:
     text = number.cast("string")
-    person = F.struct(
+    return F.struct(
         F.when(~_every(number, 5), F.concat(F.lit("F"), (number % 10).cast("string"))).alias(
             "firstname"
         ),
@@ -77,29 +48,48 @@ def _persons(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_every(number, 3), F.concat(F.lit("M"), text)).alias("middlename"),
         F.lit(None).cast("string").alias("qualifier"),
     )
-    return (
-        _read(spark, sf_dir, "lineitem")
-        .where("l_linenumber <= 2")
-        .select("l_orderkey", (F.col("l_suppkey") % AUTHORS).alias("number"))
-        .distinct()
-        .groupBy("l_orderkey")
-        .agg(F.sort_array(F.collect_list(person)).alias("byline_person"))
-    )
 
 
-def _media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entry = F.struct("l_linestatus", "n")
-    return (
-        _read(spark, sf_dir, "lineitem")
+def _some_twice(entries: Column, chosen) -> Column:
+    """The entries in order, the chosen ones two times."""
+    return F.sort_array(F.concat(entries, F.filter(entries, chosen)))
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keywords, persons and media counts of each order, from one pass over the lines."""
+    lines = _read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"
+    )
+    parts = _read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand", "p_name")
+    by_status = (
+        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
         .groupBy("l_orderkey", "l_linestatus")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("l_orderkey")
         .agg(
-            F.map_from_entries(F.sort_array(F.collect_list(entry))).alias(
-                "multimedia_count_by_type"
-            )
+            F.count(F.lit(1)).alias("n"),
+            F.collect_set(F.when(F.col("p_partkey").isNotNull(), _keyword())).alias("k"),
+            F.collect_set("l_suppkey").alias("s"),
         )
     )
+    entry = F.struct("l_linestatus", "n")
+    by_order = by_status.groupBy("l_orderkey").agg(
+        F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("media"),
+        F.array_distinct(F.flatten(F.collect_list("k"))).alias("k"),
+        F.array_distinct(F.flatten(F.collect_list("s"))).alias("s"),
+    )
+    return by_order.select(
+        F.col("l_orderkey").alias("o_orderkey"),
+        F.transform(
+            _some_twice(F.col("k"), lambda k: k["rank"] % 4 == 0),
+            lambda k: F.struct(
+                k["name"].alias("name"), k["value"].alias("value"), k["rank"].alias("rank"),
+                k["major"].alias("major"),
+            ),
+        ).alias("keywords"),
+        F.sort_array(F.transform(_some_twice(F.col("s"), lambda n: n % 6 == 1), _person)).alias(
+            "byline_person"
+        ),
+        F.col("media").alias("multimedia_count_by_type"),
+    )
 
 
 def archive_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,9 +129,7 @@ def archive_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _read(spark, sf_dir, "orders")
     customers = _read(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
-    for part in (_keywords, _persons, _media):
-        rows = part(spark, sf_dir).withColumnRenamed("l_orderkey", "o_orderkey")
-        joined = joined.join(rows, "o_orderkey", "left")
+    joined = joined.join(_lines(spark, sf_dir), "o_orderkey", "left")
     return joined.select(*[c.alias(n) for n, c in columns.items()])
 
 
@@ -156,15 +144,20 @@ def _facet(user: Column, k: Column, modulus: int, shift: int) -> Column:
 
 
 def popular_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First event of each user and day as one snapshot row, in the loaded-table schema."""
+    """All events of a user and day as one snapshot row, in the loaded-table schema.
+
+    The newest event gives the section, the number in the events' properties is summed up.
+    """
+    number = F.regexp_extract("props", r'"k": (\d+)', 1).cast("bigint")
     first = (
         _read(spark, sf_dir, "events")
         .groupBy(F.to_date("ts").alias("snapshot_date"), "user_id")
-        .agg(F.min(F.struct("event_id", "ts", "event_type", "props")).alias("e"))
-        .select("snapshot_date", "user_id", "e.*")
-    )
-    user, event = F.col("user_id"), F.col("event_id")
-    k = F.regexp_extract("props", r'"k": (\d+)', 1).cast("bigint")
+        .agg(
+            F.max("event_id").alias("event_id"), F.max("ts").alias("ts"),
+            F.max_by("event_type", "event_id").alias("event_type"), F.sum(number).alias("k"),
+        )
+    )
+    user, event, k = F.col("user_id"), F.col("event_id"), F.col("k")
     age = (user * 7 % 500).cast("int")
     published = F.when(_every(user, 31, 30), "2023-13-45").otherwise(
         F.date_format(F.date_sub("snapshot_date", age), "yyyy-MM-dd")

@@ -258,14 +258,20 @@ def test_backfill(spark, tmp_path, targets):
     put_popular(root, "2026-02-19", {"id": 1, "title": "t"}, {"id": 2})
     put_popular(root, "2026-02-20", {"id": 1, "title": "t2"})
     put_popular(root, "today", {"id": 9})
-    first = load.backfill(spark, targets)
+    with pytest.raises(load.BackfillError) as failed:
+        load.backfill(spark, targets)
     # A file with a record that does not fit is left out whole; a blank file counts as loaded.
-    assert _outcome(first) == {
+    assert {(f, o): n for f, o, n in failed.value.counts} == {
         (ARCHIVE_SLIM, "loaded"): 3,
         (ARCHIVE_SLIM, "error"): 2,
         (POPULAR_SLIM, "loaded"): 2,
         (POPULAR_SLIM, "no snapshot date"): 1,
     }
+    assert rows(tables.current(spark, targets.refused), "source", "path", "reason") == [
+        (ARCHIVE_SLIM, "archive_slim/2020/07.ndjson", "word_count is not an integer"),
+        (ARCHIVE_SLIM, "archive_slim/2020/08.ndjson", "malformed json"),
+        (POPULAR_SLIM, "most_popular_slim/today/viewed_30.ndjson", "no snapshot date"),
+    ]
     archive = tables.current(spark, targets.archive)
     ids = [r["article_id"] for r in archive.select("article_id").collect()]
     # Two files of one run share the source of the merge, so a repeated id comes in twice.
@@ -275,7 +281,7 @@ def test_backfill(spark, tmp_path, targets):
     ]
     put_archive(root, "2020/07.ndjson", article("d"), article("good", word_count="12"))
     put_archive(root, "2020/10.ndjson", article("a", word_count=7), article("f"))
-    second = load.backfill(spark, targets)
+    second = load.backfill(spark, targets, strict=False)
     assert _outcome(second)[ARCHIVE_SLIM, "loaded"] == 2
     assert _outcome(second)[ARCHIVE_SLIM, "skipped"] == 3
     found = rows(tables.current(spark, targets.archive), "article_id", "word_count", "part_month")
@@ -293,7 +299,7 @@ def test_odd_folder_names(spark, tmp_path):
     put_archive(root, "2020/05.ndjson", article("a"))
     put_archive(root, "2020/06.ndjson", article("b", word_count="x"))
     for _ in range(2):
-        load.backfill(spark, to)
+        load.backfill(spark, to, strict=False)
     assert rows(tables.current(spark, to.archive), "article_id") == [("a",)]
     assert rows(tables.current(spark, to.manifest), "path") == [("archive_slim/2020/05.ndjson",)]
 
@@ -349,3 +355,127 @@ def test_popular_stream(spark, tmp_path, targets):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_an_error_in_one_feed_does_not_stop_the_other(spark, tmp_path, targets, monkeypatch):
+    put_archive(tmp_path / "in", "2020/05.ndjson", article("a"))
+    put_popular(tmp_path / "in", "2026-02-19", {"id": 1})
+
+    def broken(*_):
+        raise OSError("no such disk")
+
+    monkeypatch.setattr(records, "slim_archive", broken)
+    with pytest.raises(load.BackfillError, match="no such disk") as failed:
+        load.backfill(spark, targets)
+    assert (POPULAR_SLIM, "loaded", 1) in failed.value.counts
+    assert (ARCHIVE_SLIM, "error", 1) in failed.value.counts
+    assert tables.current(spark, targets.popular).count() == 1
+
+
+def test_a_few_files_at_once_load_the_same(spark, tmp_path, targets, monkeypatch):
+    monkeypatch.setattr(load, "FILES_AT_ONCE", 2)
+    for m in range(1, 6):
+        put_archive(tmp_path / "in", f"2020/{m:02d}.ndjson", article(f"m{m}"))
+    assert _outcome(load.backfill(spark, targets)) == {(ARCHIVE_SLIM, "loaded"): 5}
+    assert tables.current(spark, targets.archive).count() == 5
+
+
+def test_stream_notes_what_it_refuses_and_replays_add_nothing(spark, tmp_path, targets):
+    put_archive(tmp_path / "in", "2020/05.ndjson", article("a"), article(None))
+    put_archive(tmp_path / "in", "2020/06.ndjson", article("b", word_count="1.00000000000001"))
+    put_popular(tmp_path / "in", "latest", {"id": 1})
+    for turn in range(2):
+        for feed in (ARCHIVE_SLIM, POPULAR_SLIM):
+            _stream(spark, targets, feed, tmp_path / f"checkpoint-{turn}-{feed}")
+        tables.write_table(
+            spark.createDataFrame([], schemas.struct_type(schemas.LOAD_MANIFEST)), targets.manifest
+        )
+    assert rows(tables.current(spark, targets.archive), "article_id") == [("a",)]
+    assert rows(tables.current(spark, targets.refused), "path", "reason") == [
+        ("archive_slim/2020/05.ndjson", "records without a key"),
+        ("archive_slim/2020/06.ndjson", "word_count is not an integer"),
+        ("most_popular_slim/latest/viewed_30.ndjson", "no snapshot date"),
+    ]
+
+
+# --- paths, slim months, merges and upserts ------------------------------------------------------
+
+
+def test_values_come_from_below_the_root(spark, tmp_path):
+    root = tmp_path / "2024" / "12" / "2020-02-02" / "raw"
+    put(root / "1999" / "05.json", {"response": {"docs": [{"_id": "a"}, {"_id": "b"}]}})
+    put(root / "notes.json", {"response": {"docs": [{"_id": "c"}]}})
+    put(tmp_path / "2020-03-03" / "days" / "2021-01-05" / "viewed_30.json", {"results": [{"id": 1}, {"id": 2}]})
+    found = records.raw_archive(spark, str(root))
+    assert rows(found, "_id", "year", "month") == [("a", 1999, 5), ("b", 1999, 5), ("c", None, None)]
+    days = records.raw_popular(spark, str(tmp_path / "2020-03-03" / "days"))
+    assert rows(days, "id", "snapshot_date") == [("1", D(2021, 1, 5)), ("2", D(2021, 1, 5))]
+
+
+def test_below_knows_where_the_root_is(spark):
+    paths = ["file:///a/b/c/x", "file:/a/b/a/b/y", "s3://bucket/in/z", "/elsewhere/a/b/x"]
+    df = spark.createDataFrame([(p,) for p in paths], "path string")
+    assert [r[0] for r in df.select(files.below("path", "/a/b")).collect()] == ["c/x", "a/b/y", *paths[2:]]
+    assert df.select(files.below("path", "s3://bucket/in/")).collect()[2][0] == "z"
+
+
+def test_a_month_without_accepted_records_is_done(spark, tmp_path, monkeypatch):
+    raw, out = tmp_path / "raw", str(tmp_path / "slim")
+    put(raw / "2020" / "01.json", {"response": {"docs": []}})
+    put(raw / "2020" / "02.json", {"response": {"docs": [{"_id": "a", "word_count": "x"}]}})
+    put(raw / "2020" / "03.json", {"response": {"docs": [{"_id": "b"}]}})
+    monkeypatch.setattr(slim, "FILES_AT_ONCE", 2)
+    assert slim.transform_archive(spark, str(raw), out).count() == 1
+    assert slim.transform_archive(spark, str(raw), out) is None
+    put(raw / "2020" / "04.json", {"response": {"docs": [{"_id": "c"}]}})
+    slim.transform_archive(spark, str(raw), out)
+    assert rows(records.slim_archive(spark, out), "article_id") == [("b",), ("c",)]
+    slim.transform_archive(spark, str(raw), out, overwrite=True)
+    assert rows(records.slim_archive(spark, out), "article_id") == [("b",), ("c",)]
+
+
+def test_merge_reads_only_the_partitions_of_the_source(spark, database):
+    name = f"{database}.days"
+    old = spark.createDataFrame([(D(2020, 1, d), d, "old") for d in range(1, 20)], "snapshot_date date, id long, v string")
+    tables.write_table(old, name, "snapshot_date")
+    source = spark.createDataFrame([(D(2020, 1, 3), 3, "new"), (D(2020, 1, 3), 99, "new")], old.schema)
+    days = [r[0] for r in source.select("snapshot_date").distinct().collect()]
+    target = spark.table(name).where(F.col("snapshot_date").isin(days))
+    plan = tables.insert_only(source, target, ["snapshot_date", "id"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(snapshot_date" in plan and "2020-01-03" in plan
+    tables.merge_into(spark, name, source, ["snapshot_date", "id"], "snapshot_date")
+    got = rows(tables.current(spark, name).where("v = 'new' or id = 3"), "id", "v")
+    assert got == [(3, "old"), (99, "new")]
+
+
+def test_a_stopped_upsert_can_be_repeated(spark, database, monkeypatch):
+    name = f"{database}.moved"
+    old = spark.createDataFrame([("a", 1, "2020-01"), ("b", 1, "2020-02"), ("c", 1, "2020-02")], "id string, v int, part_month string")
+    tables.write_table(old, name, "part_month")
+    new = spark.createDataFrame([("a", 2, "2020-03"), ("b", 2, "2020-03")], old.schema)
+
+    def stop(*_):
+        raise OSError("stopped")
+
+    real = tables._overwrite_partitions
+    monkeypatch.setattr(tables, "_overwrite_partitions", stop)
+    with pytest.raises(OSError):
+        tables.upsert(spark, name, new, ["id"], "part_month")
+    monkeypatch.setattr(tables, "_overwrite_partitions", real)
+    tables.upsert(spark, name, new, ["id"], "part_month")
+    assert rows(tables.current(spark, name), "id", "v", "part_month") == [
+        ("a", 2, "2020-03"), ("b", 2, "2020-03"), ("c", 1, "2020-02")
+    ]
+
+
+def test_incremental_counts_take_in_rows_on_both_sides(spark, database):
+    name = f"{database}.counted"
+    source = spark.createDataFrame([("a", D(2020, 1, 1)), ("a", D(2020, 2, 1)), ("b", D(2020, 2, 1))], "id string, day date")
+
+    def build(df):
+        n = df.groupBy("id").agg(F.count("*").alias("n"))
+        return df.join(n, "id").withColumn("part_month", tables.month_of("day"))
+
+    for part in (source.where("day < '2020-02-01'"), source):
+        tables.run_incremental(spark, name, part, build, ["id"], "day", "part_month")
+    assert rows(tables.current(spark, name), "id", "n") == [("a", 2), ("b", 1)]

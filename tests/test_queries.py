@@ -44,7 +44,7 @@ def test_spread_row_number_equals_a_plain_window(spark, digits):
 # --- co-occurrence -------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize(("least", "block"), [(1, 1000), (1, 3), (2, 3), (3, 1)])
+@pytest.mark.parametrize(("least", "block"), [(2, 1000), (2, 3), (3, 3), (3, 1)])
 def test_cooccurrence_equals_brute_force(articles, least, block):
     rng = random.Random(3)
     topics = [f"t{i}" for i in range(12)] + [" ", None]
@@ -70,7 +70,7 @@ def test_cooccurrence_equals_brute_force(articles, least, block):
 def test_cooccurrence_of_one_crowded_article(articles):
     values = [f"v{i:03d}" for i in range(60)]
     stg = stg_archive_articles(
-        articles({"article_id": "1", "keywords": [keyword(v) for v in values]})
+        articles(*[{"article_id": i, "keywords": [keyword(v) for v in values]} for i in "12"])
     )
     found = rollups.keyword_cooccurrence(keywords_flattened(stg), block=7)
     assert found.count() == 60 * 59 // 2
