@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsmart.functions.exprs import month_start, n_rows
 from newsmart.operators.flatten import authors_flattened, keywords_flattened, known_values
 from newsmart.plans.explore import mean
+from newsmart.session import shared_dir
 
 
 @dataclass(frozen=True)
@@ -123,5 +124,10 @@ def top_authors(staged: DataFrame, n: int = 10) -> DataFrame:
 
 
 def kept(result: DataFrame) -> DataFrame:
-    """A result several views read again. The caller unpersists it when its time is over."""
-    return result.persist(StorageLevel.MEMORY_AND_DISK)
+    """A result that several views read again, as a table in the shared folder.
+
+    It does not hang on the executors that made it. The caller removes its folder when its time is over.
+    """
+    path = f"{shared_dir(result.sparkSession)}/newsmart/kept/{uuid.uuid4().hex[:12]}"
+    result.write.parquet(path)
+    return result.sparkSession.read.schema(result.schema).parquet(path)

@@ -801,6 +801,10 @@ BODIES: dict[str, str] = {
         f"SELECT '{c}' AS dimension, {c} AS member, count(*) AS article_count FROM picked GROUP BY 2"
         for c in ("section_name", "news_desk", "type_of_material")
     ),
+    "d7_kept_breakdown": " UNION ALL ".join(
+        f"SELECT '{c}' AS dimension, {c} AS member, count(*) AS article_count FROM picked GROUP BY 2"
+        for c in ("section_name", "news_desk", "type_of_material")
+    ),
     "d6_top_lists": """
       (SELECT keyword_value AS member, count(DISTINCT article_id) AS article_count,
               'keyword' AS list

@@ -293,6 +293,7 @@ MODELS: dict[str, Callable[[Press], DataFrame]] = {
     "d4_articles_by_month": lambda p: dashboard.articles_by_month(_filtered(p, CHOSEN)),
     "d5_breakdown": lambda p: dashboard.breakdown(_filtered(p, CHOSEN)),
     "d6_top_lists": _top_lists,
+    "d7_kept_breakdown": lambda p: dashboard.breakdown(dashboard.kept(_filtered(p, CHOSEN))),
     "f1_display_texts": _display,
     # checks
     "v1_v2_declared_checks": _declared_checks,

@@ -311,3 +311,9 @@ def test_other_checks(articles):
     ]
     with pytest.raises(ValueError):
         checks.check_report({})
+
+
+def test_author_mart_needs_no_expand(articles):
+    stg = stg_archive_articles(articles({"article_id": "1", "byline_person": [person("A", "B")]}))
+    plan = marts.agg_author_performance(stg, core.fct_articles(stg))._jdf.queryExecution().executedPlan()
+    assert "Expand" not in plan.toString()
