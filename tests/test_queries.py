@@ -379,7 +379,7 @@ def test_filters(articles):
     assert rows(dashboard.top_authors(staged), "author_full_name") == [("Ann  Lee",)]
     assert dashboard.breakdown(dashboard.filtered(fct, stg, every, today)).count() == 4
     kept = dashboard.kept(fct)
-    assert kept.schema == fct.schema and rows(kept, "article_id") == rows(fct, "article_id")
+    assert kept.dtypes == fct.dtypes and rows(kept, "article_id") == rows(fct, "article_id")
     assert "Scan parquet" in kept._jdf.queryExecution().executedPlan().toString().replace("FileScan", "Scan")
 
 
