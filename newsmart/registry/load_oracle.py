@@ -169,6 +169,9 @@ BODIES: dict[str, str] = {
       SELECT DISTINCT year, month,
              CASE WHEN year < 1998 THEN 'loaded' ELSE 'pending' END AS status
       FROM slim_docs""",
+    "s10_files_by_status": """
+      SELECT * FROM (VALUES ('archive_slim', 'pending', CAST(2 AS BIGINT)), ('most_popular_slim', 'pending', 2),
+                            ('most_popular_slim', 'no snapshot date', 1)) t(feed, status, files)""",
     "s11_declared_source": "SELECT * FROM popular_src",
     "k13_s12_layers": "SELECT * FROM by_month",
     "k16_full_refresh": "SELECT article_id, pub_date, keyword_count FROM fct",

@@ -487,6 +487,10 @@ def _backfill_outcomes(p: Press) -> DataFrame:
     return first.unionByName(second)
 
 
+def _no_manifest(p: Press) -> DataFrame:
+    return p.spark.createDataFrame([], schemas.struct_type(schemas.LOAD_MANIFEST))
+
+
 def _refused_files(p: Press) -> DataFrame:
     """What a stream refused, by feed, folder and reason."""
     to = _spoiled_targets(p, "refused")
@@ -574,6 +578,12 @@ MODELS: dict[str, Callable[[Press], DataFrame]] = {
     "s9_streamed_archive": _streamed,
     "s9_streamed_popular": _streamed_popular,
     "s10_months_left": _months_left,
+    "s10_files_by_status": lambda p: files.status_counts(
+        files.file_status(
+            files.route(files.list_files(p.spark, _spoiled_landing(p)), _spoiled_landing(p)),
+            _no_manifest(p),
+        )
+    ),
     "s11_declared_source": _declared_source,
     "t1_slim_articles": lambda p: _readable(shaping.accepted_articles(_checked(p))),
     "t2_slim_popular": lambda p: _readable_popular(shaping.accepted_popular(_checked_popular(p))),

@@ -826,6 +826,9 @@ BODIES: dict[str, str] = {
       SELECT pub_date AS value, count(*) AS n_records FROM art GROUP BY 1 HAVING count(*) > 1""",
     "v2_missing_abstracts": "SELECT article_id FROM art WHERE abstract IS NULL",
     "v3_source_not_empty": "SELECT * FROM (SELECT count(*) AS total_rows FROM orders) WHERE total_rows = 0",
+    "v3_source_without_early_articles": """
+      SELECT * FROM (SELECT count(*) AS total_rows FROM orders WHERE o_orderdate < DATE '1990-01-01')
+      WHERE total_rows = 0""",
     "v4_same_grain": """
       SELECT count(*) AS source_rows, count(*) AS staging_rows, count(*) - count(*) AS difference
       FROM orders HAVING count(*) <> (SELECT count(*) FROM art)""",

@@ -302,6 +302,9 @@ MODELS: dict[str, Callable[[Press], DataFrame]] = {
         "article_id"
     ),
     "v3_source_not_empty": lambda p: checks.empty_violations(p.archive),
+    "v3_source_without_early_articles": lambda p: checks.empty_violations(
+        p.archive.where("pub_date < '1990-01-01'")
+    ),
     "v4_same_grain": lambda p: checks.grain_violations(p.archive, p.stg),
     "v4_grain_of_rows_with_media": lambda p: checks.grain_violations(
         p.archive, p.stg.where("has_multimedia")
