@@ -5,19 +5,40 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from newsmart.session import shared_dir
 
 
+#: Bytes of text that a task works on at once; a longer text is a slice of its own.
+SLICE_BYTES = 4 << 20
+
+
+def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """The batch's rows in order, in parts of about SLICE_BYTES of the column."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0)
+    ends = np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        done = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, done + SLICE_BYTES, side="right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+    if not batch.num_rows:
+        yield batch
+
+
 def add_columns(
     df: DataFrame, text: str, fields: list[T.StructField], compute: Callable[[pa.RecordBatch], list[pa.Array]]
 ) -> DataFrame:
     """df with the fields appended; compute gets a batch and returns one array for each field.
 
-    A column of df that has the name of a field is replaced. `text` is only checked to be there.
+    A column of df that has the name of a field is replaced. Spark's batches are taken in slices of about
+    SLICE_BYTES of `text`, so that what a task makes of them stays small.
     """
     df[text]
     names = {f.name.lower() for f in fields}
@@ -25,11 +46,13 @@ def add_columns(
     schema = T.StructType([df.schema[c] for c in kept] + fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = [batch.schema.get_field_index(c) for c in kept]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in at] + list(compute(batch)), names=kept + [f.name for f in fields]
-            )
+        for whole in batches:
+            at = [whole.schema.get_field_index(c) for c in kept]
+            for batch in slices(whole, text):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(i) for i in at] + list(compute(batch)), names=kept + [f.name for f in fields]
+                )
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
