@@ -5,9 +5,9 @@ A document's set is its distinct word shingles, hashed. Its sketch are the lowes
 1. Documents with equal sets are one class, known by a 128-bit digest; the rest works on class
    representatives (the smallest id of each).
 2. Inverted lists of the LISTED lowest values give candidates. As two sets above the threshold share most
-   of these values, each set goes only into the lists of its PREFIX rarest ones: to miss a link, at least
-   LISTED - PREFIX + 1 of the union's LISTED lowest values would have to lie outside the intersection
-   (of 24 values 16 or more, where each does with a chance of 0.15 at most: below 1e-7). Sets of LISTED
+   of these values, each set goes only into the lists of its PREFIX rarest ones: to miss a link, PREFIX or
+   more of the union's LISTED lowest values would have to lie outside the intersection (16 of 24, where
+   each does with a chance of 0.15 at a similarity of 0.85: below 1e-7; at 0.8 below 1e-6). Sets of LISTED
    shingles or fewer are listed by exact prefix filtering. Values that are common to many documents are
    so left to documents that have nothing rarer.
 3. Lists that lead to the same smallest id are one group, so that a group of near copies is compared once,
@@ -241,7 +241,7 @@ def linked_documents(
     pairs = stage.save(_blocks(groups), "blocks")
     wanted = pairs.select("id").distinct()
     texts = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
-    sets = stage.save(_full_sets(texts.join(wanted, "id", "left_semi"), words).where(F.size("shingles") > 0), "sets")
+    sets = stage.save(_full_sets(texts.join(wanted.hint("merge"), "id", "left_semi"), words).where(F.size("shingles") > 0), "sets")
     edges = stage.save(_edges(pairs.join(sets, "id"), percent), "links")
     members = all_sets.drop("low").join(classes.select(*digest, "rep"), digest, "left")
     # an id that is given to several rows joins the classes of all of them
