@@ -2,8 +2,8 @@
 
 A text is cut into pieces by the vocabulary's pattern. Within a piece, a segment tree over the ranks of
 neighbouring pairs has the lowest rank, and the leftmost of equals, at its root. Each merge updates the
-ranks beside it in logarithmic time; it ends when no pair has a rank. Pieces met before are looked up in a
-table of bounded size that lives as long as the Python worker.
+ranks beside it in logarithmic time; it ends when no pair has a rank. Pieces met before are looked up in
+tables of bounded size that live as long as the Python worker.
 
 The vocabulary file is read on the driver and broadcast; its size is bounded by MOST_VOCABULARY_BYTES.
 Null is the empty text. Texts are encoded row by row and whole.
@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import struct
 import sys
 import types
 
@@ -27,8 +28,8 @@ from pyspark.sql import types as T
 from newsmart.llm.arrow import add_columns
 
 MOST_VOCABULARY_BYTES = 64 << 20
-#: Pieces kept in a worker's table before it starts anew.
-MOST_PIECES = 250_000
+#: Pieces kept in a worker's younger table; when it is full it becomes the older one, which is given up.
+MOST_PIECES = 150_000
 _NONE = 1 << 62
 
 #: Fixed value: the cutting pattern of the published byte-level vocabulary.
@@ -68,9 +69,10 @@ class Vocabulary:
         """The ids of one piece."""
         ids = [self.singles[b] for b in piece]
         n = len(ids)
-        if n < 2:
-            return ids
         pairs = self.pairs
+        if n < 3:
+            hit = pairs.get((ids[0], ids[1])) if n == 2 else None
+            return [hit[1]] if hit else ids
         width = 1 << (n - 2).bit_length()  # leaves: the pair that begins at each place
         # a node holds rank * width + place, so that the least is the leftmost of the lowest rank
         tree = [_NONE] * (2 * width)
@@ -119,23 +121,31 @@ class Vocabulary:
 
 
 class Coder:
-    """Encodes and decodes with a vocabulary; packed maps a piece to its ids as little-endian 32-bit integers."""
+    """Encodes and decodes with a vocabulary.
+
+    The tables map a piece to its ids as little-endian 32-bit integers. Pieces found in the older table
+    go on into the younger one, so that common pieces stay when rare ones are given up.
+    """
 
     def __init__(self, source: str) -> None:
         self.vocabulary = Vocabulary(source)
         self.pieces = regex.compile(PIECES)
-        self.packed: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _missing(self, piece: str) -> bytes:
-        out = np.array(self.vocabulary.merge(piece.encode()), dtype="<u4").tobytes()
+        out = self.young.get(piece) or self.old.get(piece)
+        if out is None:
+            ids = self.vocabulary.merge(piece.encode())
+            out = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= 64:
-            if len(self.packed) >= MOST_PIECES:
-                self.packed.clear()
-            self.packed[piece] = out
+            if len(self.young) >= MOST_PIECES:
+                self.old, self.young = self.young, {}
+            self.young[piece] = out
         return out
 
     def _ordinary(self, text: str) -> bytes:
-        get, missing = self.packed.get, self._missing
+        get, missing = self.young.get, self._missing
         return b"".join([get(p) or missing(p) for p in self.pieces.findall(text)])
 
     def encode(self, text: str) -> bytes:

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once inside a task; a longer single text is handled alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _P = 0x9E3779B97F4A7C15 | 1
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
