@@ -4,9 +4,14 @@ Every document gets counts over its whole text. A rule compares a rate with a cu
 class of document length). Cutoffs come from labelled documents: for each rule and stratum the cutoffs
 are tested from the laxest to the strictest, each by an exact (Clopper-Pearson) upper bound on the rate
 of good documents that the cutoff rejects, and the last one that passes before the first failure is used.
-The order is fixed beforehand, so one level holds for a whole sequence; the level is divided by the number
-of sequences (Bonferroni). With probability 1 - DELTA every rule in every stratum rejects no more than
-ALPHA of good documents. A rule without enough labels rejects nothing.
+The order is fixed beforehand, so one level holds for a whole sequence; the risk is divided among the
+sequences, and one that passes to its end hands its share to those still open (Holm, as a graph). A stratum
+with too few labels to certify anything is pooled with its neighbours until there are enough; which strata
+form a pool depends on the numbers of labels only. If all strata together don't suffice for an even share,
+the first rule is tested with the whole risk and the next after it. With probability 1 - DELTA every rule
+rejects no more than ALPHA of the good documents of every stratum tested by itself and of every pool; in a
+pooled stratum it also rejects no more than ALPHA of the stratum's own good labels. A rule in a stratum
+without labels, or without enough labels in all strata together, rejects nothing; `cutoff_report` tells.
 
 Null and empty texts have no words and fail the base rule. Documents are judged row by row; labels without
 id or grade are ignored, and a document with labels of both kinds counts as bad.
@@ -14,7 +19,9 @@ id or grade are ignored, and a document with labels of both kinds counts as bad.
 
 from __future__ import annotations
 
+import logging
 import math
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -147,6 +154,7 @@ def _beta_cdf(a: float, b: float, x: float) -> float:
     return front * total / a
 
 
+@cache
 def upper_bound(k: int, n: int, risk: float) -> float:
     """The exact upper bound on a rate after k of n, wrong with probability `risk` at most."""
     if k >= n:
@@ -161,22 +169,63 @@ def upper_bound(k: int, n: int, risk: float) -> float:
     return high
 
 
+def labels_needed(risk: float, alpha: float = ALPHA) -> int:
+    """The fewest good labels by which a cutoff that rejects none of them can be certified."""
+    return math.ceil(math.log(risk) / math.log1p(-alpha) - 1e-9)
+
+
+def _pool(n: list[int], s: int, least: int) -> tuple[int, int]:
+    """The strata from a to b (without b) around s that hold `least` labels together, or all of them."""
+    a, b = s, s + 1
+    while sum(n[a:b]) < least and b - a < len(n):
+        left, right = n[a - 1] if a else -1, n[b] if b < len(n) else -1
+        a, b = (a - 1, b) if left > right else (a, b + 1)
+    return a, b
+
+
+def _good(table: list[tuple[str, int, int, int]]) -> dict[str, np.ndarray]:
+    """Good documents of each rule by stratum and step."""
+    good = {rule: np.zeros((len(STRATA), GRID + 1), np.int64) for rule in rates_names()}
+    for rule, s, step, n in table:
+        good[rule][s, step] += n
+    return good
+
+
+def pools(table: list[tuple[str, int, int, int]], alpha: float = ALPHA, delta: float = DELTA) -> dict[tuple[str, int], tuple[int, int]]:
+    """(rule, stratum) to the strata whose labels are tested for it; a stratum without labels has none."""
+    good = _good(table)
+    least = labels_needed(delta / (len(good) * len(STRATA)), alpha)
+    n = {rule: [int(x) for x in held.sum(axis=1)] for rule, held in good.items()}
+    return {(rule, s): _pool(n[rule], s, least) for rule in good for s in range(len(STRATA)) if n[rule][s]}
+
+
 def choose_cutoffs(table: list[tuple[str, int, int, int]], alpha: float = ALPHA, delta: float = DELTA) -> dict[tuple[str, int], int]:
     """(rule, stratum) to the step above which documents are rejected. table: rule, stratum, step, good documents there."""
-    names = list(rates_names())
-    good: dict[tuple[str, int], np.ndarray] = {(r, s): np.zeros(GRID + 1, np.int64) for r in names for s in range(len(STRATA))}
-    for rule, s, step, n in table:
-        good[rule, s][step] += n
-    risk = delta / len(good)
-    out = {}
-    for key, held in good.items():
-        n, above, cut = int(held.sum()), 0, GRID
-        for step in range(GRID, 0, -1):  # rejecting what lies at `step` or higher
-            above += int(held[step])
-            if not n or upper_bound(above, n, risk) > alpha:
-                break
-            cut = step - 1
-        out[key] = cut
+    good, pool_of = _good(table), pools(table, alpha, delta)
+    # for each sequence, a rule in a pool, the good documents at each step or higher
+    above = {(rule, ab): np.cumsum(good[rule][slice(*ab)].sum(axis=0)[::-1])[::-1] for (rule, _), ab in pool_of.items()}
+    cut = dict.fromkeys(above, GRID)
+    share = {q: delta / len(above) for q in above}
+    if above and max(int(x[0]) for x in above.values()) < labels_needed(delta / len(above), alpha):
+        share = {q: delta * (i == 0) for i, q in enumerate(above)}
+    waiting = list(above)
+    while waiting:
+        q = waiting.pop(0)
+        # rejecting what lies at step cut or higher
+        while share[q] and cut[q] and upper_bound(int(above[q][cut[q]]), int(above[q][0]), share[q]) <= alpha:
+            cut[q] -= 1
+        to = [x for x in above if cut[x]]
+        if not cut[q] and to:
+            if share[q] == delta:  # the whole risk goes on as a whole
+                to = to[:1]
+            for x in to:
+                share[x] += share[q] / len(to)
+            share[q], waiting = 0.0, to
+    out = {(rule, s): GRID for rule in good for s in range(len(STRATA))}
+    for (rule, s), ab in pool_of.items():
+        own = np.cumsum(good[rule][s][::-1])[::-1]
+        # own[c + 1] documents lie above the cutoff c
+        out[rule, s] = next((c for c in range(cut[rule, ab], GRID) if own[c + 1] <= alpha * own[0]), GRID)
     return out
 
 
@@ -184,8 +233,8 @@ def rates_names() -> tuple[str, ...]:
     return ("symbols", "dup_lines", "repeats", "short_words", "long_words")
 
 
-def learn_cutoffs(counted: DataFrame, labels: DataFrame, doc_id: str = "doc_id", grade: str = "quality", alpha: float = ALPHA, delta: float = DELTA) -> dict[tuple[str, int], int]:
-    """Cutoffs from all labelled documents that pass the base rule."""
+def label_table(counted: DataFrame, labels: DataFrame, doc_id: str = "doc_id", grade: str = "quality") -> list[tuple[str, int, int, int]]:
+    """(rule, stratum, step, good documents there), of all labelled documents that pass the base rule."""
     good = labels.where(F.col(doc_id).isNotNull() & F.col(grade).isNotNull()).groupBy(F.col(doc_id).alias("label_id")).agg(F.min(grade).alias("grade"))
     pairs = F.array(*[F.struct(F.lit(name).alias("rule"), step.alias("step")) for name, step in _steps().items()])
     rows = (
@@ -193,7 +242,28 @@ def learn_cutoffs(counted: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
         .join(good.where("grade = 1"), "label_id")
         .groupBy("p.rule", "stratum", "p.step").count()
     )
-    return choose_cutoffs([(r[0], r[1], r[2], r[3]) for r in rows.collect()], alpha, delta)  # strata x rules x steps rows
+    return [(r[0], r[1], r[2], r[3]) for r in rows.collect()]  # strata x rules x steps rows
+
+
+def learn_cutoffs(counted: DataFrame, labels: DataFrame, doc_id: str = "doc_id", grade: str = "quality", alpha: float = ALPHA, delta: float = DELTA) -> dict[tuple[str, int], int]:
+    """Cutoffs from all labelled documents that pass the base rule."""
+    table = label_table(counted, labels, doc_id, grade)
+    cutoffs = choose_cutoffs(table, alpha, delta)
+    for row in cutoff_report(table, cutoffs, alpha, delta):
+        logging.getLogger(__name__).log(
+            logging.INFO if row[-1] else logging.WARNING, "rule %s, stratum %d: %d good labels, tested on %d, cutoff %.3f, active: %s", *row
+        )
+    return cutoffs
+
+
+def cutoff_report(table: list[tuple[str, int, int, int]], cutoffs: dict[tuple[str, int], int], alpha: float = ALPHA, delta: float = DELTA) -> list[tuple[str, int, int, int, float, bool]]:
+    """(rule, stratum, good labels, those of the strata it was tested on, cutoff as a rate, whether it can reject anything)."""
+    pool_of = pools(table, alpha, delta)
+    n = {rule: held.sum(axis=1) for rule, held in _good(table).items()}
+    return [
+        (rule, s, int(n[rule][s]), int(n[rule][slice(*pool_of.get((rule, s), (0, 0)))].sum()), cut / GRID, cut < GRID)
+        for (rule, s), cut in cutoffs.items()
+    ]
 
 
 def verdict(cutoffs: dict[tuple[str, int], int]) -> Column:

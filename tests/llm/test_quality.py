@@ -55,6 +55,44 @@ def test_cutoffs_stop_at_the_first_failure():
     assert cut["symbols", 1] == quality.GRID  # no labels: nothing is rejected
 
 
+def labelled(*n, steps=None):
+    """n[s] good documents in stratum s, at step 0 of the rules but for what `steps` says."""
+    steps = steps or {}
+    return [(rule, s, steps.get(rule, 0), m) for rule in quality.rates_names() for s, m in enumerate(n) if m]
+
+
+def test_strata_with_few_labels_are_pooled():
+    table = labelled(739, 1408, 824, 272, steps={"long_words": 30})
+    assert quality.labels_needed(quality.DELTA / 20) == 1196
+    cut = quality.choose_cutoffs(table)
+    for s in range(4):
+        assert cut["symbols", s] == 0 and cut["long_words", s] == 30
+    tested = {s: n for rule, s, _, n, _, active in quality.cutoff_report(table, cut) if rule == "symbols" and active}
+    assert tested == {0: 739 + 1408, 1: 1408, 2: 824 + 1408, 3: 1408 + 824 + 272}
+
+
+def test_a_pooled_stratum_keeps_the_bound_on_its_own_labels():
+    table = [("symbols", 0, 0, 5000), ("symbols", 1, 0, 95), ("symbols", 1, 40, 5)]
+    assert quality.upper_bound(5, 5100, quality.DELTA / 2) < quality.ALPHA  # the pool alone would allow it
+    cut = quality.choose_cutoffs(table)
+    assert cut["symbols", 0] == 0 and cut["symbols", 1] == 40
+
+
+def test_finished_sequences_hand_their_risk_on():
+    table = [("symbols", 0, 0, 5000), ("repeats", 0, 0, 4990), ("repeats", 0, 9, 14)]
+    half, whole = (quality.upper_bound(14, 5004, risk) for risk in (quality.DELTA / 2, quality.DELTA))
+    assert whole < half
+    alpha = (half + whole) / 2
+    assert quality.choose_cutoffs(table, alpha)["repeats", 0] == 0
+
+
+def test_too_few_labels_for_an_even_share_go_to_the_first_rules():
+    assert quality.labels_needed(quality.DELTA) == 598 and quality.labels_needed(quality.DELTA / 5) == 919
+    cut = quality.choose_cutoffs(labelled(200, 200, 200, 100, steps={"dup_lines": 7}))
+    assert all(cut["symbols", s] == 0 and cut["dup_lines", s] == 7 and cut["repeats", s] == quality.GRID for s in range(4))
+    assert set(quality.choose_cutoffs(labelled(77, 139, 85, 26)).values()) == {quality.GRID}  # no bound of 0.5 % can be had
+
+
 def test_rules_reject_junk_and_keep_good_documents(spark):
     r = random.Random(2)
     words = ["".join(r.choice("abcdefghijklm") for _ in range(r.randint(2, 9))) for _ in range(500)]
