@@ -6,14 +6,17 @@ different ones. A network works on a domain of left * right values: the halves t
 modulo their size, by a keyed digest of the other. Every shift can be undone, so it is a permutation for
 any two sizes.
 
-  card    13 to 19 digits with a right check digit; the check digit is made anew
+  card    13 to 19 digits with a right check digit, unbroken or in groups; the check digit is made anew
   phone   North American numbers with country code or separators; area and exchange from 200 to 999
   ip      four numbers up to 255
   ssn     three, two and four digits with dashes, without the area, group and serial numbers never given out
   date    yyyy-mm-dd, dd.mm.yyyy, mm/dd/yyyy that exist, from 1800 to 2199, permuted as days; the three
           ways of writing a date have one pseudonym
 
-Separators stay as they are. E-mail addresses, access keys and the values of passwords and tokens have no
+Separators stay as they are. Groups of digits that stand side by side can be a card and its code, several cards,
+or no card: a run of groups ends where another value begins, a group of 13 digits or more is judged by itself, and
+within a run cards are looked for at every group, in the usual groupings first, then in groups of four digits
+or more, and last over the whole run. What follows password= or token = " is a secret, whatever it looks like. E-mail addresses, access keys and the values of passwords and tokens have no
 such format: their letters and digits are replaced by others from a keyed digest, length for length.
 
 Only column expressions are used. Texts are cut at the matches of one pattern, and put together again with
@@ -22,6 +25,8 @@ the pseudonyms. Null stays null, and a text without matches stays as it is. Docu
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,17 +37,30 @@ KEY = "example key"
 KINDS = ("email", "secret", "ip", "phone", "card", "ssn", "date")
 
 #: The patterns of each kind.
+_VALUES = r"(?<=password=)[^\s\"']{6,200}|(?<=token = \")[0-9A-Za-z]{16,200}(?=\")"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+\-]{1,64}@(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24}",
-    "secret": r"AKIA[0-9A-Z]{16}|(?<=password=)[^\s\"']{6,200}|(?<=token = \")[0-9A-Za-z]{16,200}(?=\")",
+    "secret": rf"{_VALUES}|AKIA[0-9A-Z]{{16}}",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
     "phone": r"(?<![\d+])(?:\+?1[ .\-]?)?(?:\([2-9]\d\d\) ?|[2-9]\d\d[ .\-])[2-9]\d\d[ .\-]\d{4}(?!\d)",
-    "card": r"(?<!\d)\d(?:[ \-]?\d){12,18}(?!\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "date": r"(?<!\d)(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?!\d)",
 }
-ANY = "|".join(PATTERNS[k] for k in KINDS)
+#: From one group of digits to the next, unless another value or a group that is judged by itself begins there.
+_NEXT = rf"[ \-](?!{'|'.join(PATTERNS[k] for k in ('email', 'ip', 'phone', 'ssn', 'date'))}|\d{{13}})"
+PATTERNS["card"] = (
+    r"(?<!\d)\d{13,19}(?!\d)"
+    rf"|(?<!\d)(?=(?:\d(?:{_NEXT}(?=\d))?){{13}})\d{{1,12}}+(?!\d)(?:{_NEXT}\d{{1,12}}+(?!\d))*+"
+)
+_OTHERS = "|".join([PATTERNS["email"], *[PATTERNS[k] for k in ("secret", "ip", "phone", "ssn", "date", "card")]])
+ANY = f"{_VALUES}|{_OTHERS}"
+#: The same with the values after password= and token = in a group.
+_MARKED = f"({_VALUES})|{_OTHERS}"
+#: The usual groupings of a card, the most groups that are tried elsewhere, and numbers of digits, the likeliest first.
+_GROUPINGS = ("4-4-4-4", "4-6-5", "4-6-4", "4-4-4-4-3")
+_GROUPS = 5
+_LENGTHS = (16, 15, 19, 14, 13, 18, 17)
 _DIGITS, _LETTERS = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 #: Days from 1800-01-01 to 2199-12-31, and their split.
 _DAYS = (27, 5411)
@@ -97,7 +115,7 @@ def luhn_sum(digits: Column) -> Column:
     )
 
 
-def _card(m: Column, key: str) -> tuple[Column, Column]:
+def _card(m: Column, key: str) -> Column:
     digits = _digits(m)
     head = F.substr(digits, F.lit(1), F.char_length(digits) - 1)
     out = F.lit(None).cast("string")
@@ -106,7 +124,77 @@ def _card(m: Column, key: str) -> tuple[Column, Column]:
         new = F.lpad(feistel(head.cast("bigint"), 10 ** (n - half), 10**half, f"card{n}", key).cast("string"), n, "0")
         out = F.when(F.char_length(head) == n, new).otherwise(out)
     check = F.pmod(10 - luhn_sum(F.concat(out, F.lit("0"))) % 10, F.lit(10)).cast("string")
-    return luhn_sum(digits) % 10 == 0, _refill(m, F.concat(out, check), "[0-9]")
+    return _refill(m, F.concat(out, check), "[0-9]")
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _is_card(digits: Column) -> Column:
+    return F.when(F.char_length(digits).between(13, 19), luhn_sum(digits) % 10 == 0).otherwise(F.lit(False))
+
+
+def _joined(pieces: Column, start: Column, n: Column) -> Column:
+    return F.array_join(F.slice(pieces, start, n), "")
+
+
+def _card_options(pieces: Column, i: Column) -> Column:
+    """The cards that begin with group i, as (rank, n groups, usual), the likeliest first."""
+
+    def option(n: Column) -> Column:
+        groups = F.transform(F.slice(pieces, i, n), lambda p: F.char_length(_digits(p)))
+        usual = (n == 1) | F.array_join(groups.cast("array<string>"), "-").isin(*_GROUPINGS)
+        fits = usual | F.forall(F.slice(groups, F.lit(1), n - 1), lambda x: x >= 4)
+
+        def judged(digits: Column) -> Column:
+            place = F.array_position(F.array(*[F.lit(x) for x in _LENGTHS]), F.char_length(digits)).cast("int")
+            rank = place + F.when(usual, 0).otherwise(len(_LENGTHS))
+            return F.when((i + n - 1 <= F.size(pieces)) & _is_card(digits) & fits, F.struct(rank.alias("rank"), n.alias("n"), usual.alias("usual")))
+
+        return _let(_digits(_joined(pieces, i, n)), judged)
+
+    return F.array_sort(F.filter(F.transform(F.sequence(F.lit(1), F.lit(_GROUPS)), option), lambda o: o.isNotNull()))
+
+
+def _card_places(pieces: Column, options: Column) -> Column:
+    """(free, picks): the cards of a run as (first group, groups, first group since the card before), and the first group after them."""
+    start = F.struct(F.lit(1).alias("free"), F.array().cast("array<struct<i:int,n:int,since:int>>").alias("picks"))
+
+    def step(s: Column, i: Column) -> Column:
+        # an unusual grouping doesn't draw in groups where a card in a usual one begins
+        def clear(o: Column) -> Column:
+            return o["usual"] | ~F.exists(F.slice(options, i + 1, o["n"] - 1), lambda x: F.exists(x, lambda y: y["usual"]))
+
+        def put(best: Column) -> Column:
+            pick = F.struct(i.alias("i"), best["n"].alias("n"), s["free"].alias("since"))
+            return F.when(best.isNull(), s).otherwise(F.struct((i + best["n"]).alias("free"), F.concat(s["picks"], F.array(pick)).alias("picks")))
+
+        return F.when(i < s["free"], s).otherwise(_let(F.get(F.filter(F.element_at(options, i), clear), F.lit(0)), put))
+
+    n = F.size(pieces)
+    whole = F.struct((n + 1).alias("free"), F.array(F.struct(F.lit(1).alias("i"), n.alias("n"), F.lit(1).alias("since"))).alias("picks"))
+    found = F.aggregate(F.sequence(F.lit(1), n), start, step)
+    return _let(found, lambda s: F.when((F.size(s["picks"]) == 0) & _is_card(_digits(F.array_join(pieces, ""))), whole).otherwise(s))
+
+
+def _cards(m: Column, key: str) -> Column:
+    """(kinds, text) for a run of groups of digits."""
+
+    def rebuilt(pieces: Column, s: Column) -> Column:
+        def put(p: Column) -> Column:
+            return F.concat(_joined(pieces, p["since"], p["i"] - p["since"]), _let(_joined(pieces, p["i"], p["n"]), lambda c: _card(c, key)))
+
+        rest = _joined(pieces, s["free"], F.size(pieces) - s["free"] + 1)
+        text = F.concat(F.array_join(F.transform(s["picks"], put), ""), rest)
+        return F.struct(F.transform(s["picks"], lambda p: F.lit("card")).alias("kinds"), text.alias("text"))
+
+    def parsed(pieces: Column) -> Column:
+        options = F.transform(F.sequence(F.lit(1), F.size(pieces)), lambda i: _card_options(pieces, i))
+        return _let(_let(options, lambda o: _card_places(pieces, o)), lambda s: rebuilt(pieces, s))
+
+    return _let(F.regexp_extract_all(m, F.lit(r"[0-9]+[ \-]?"), F.lit(0)), parsed)
 
 
 def _phone(m: Column, key: str) -> tuple[Column, Column]:
@@ -161,26 +249,19 @@ def _scrambled(m: Column, kind: str, key: str) -> Column:
     return F.array_join(F.transform(draw, put), "")
 
 
-def pseudonym(m: Column, key: str = KEY) -> Column:
-    """(kind, text) for a match; kind is null, and the text the same, where it is no valid value."""
+def pseudonym(m: Column, value: Column, key: str = KEY) -> Column:
+    """(kinds, text) for a match, `value` for one that follows password= or token =; no kinds, and the same text, without a valid value."""
     made = {
-        "ip": _ip(m, key), "phone": _phone(m, key), "card": _card(m, key), "ssn": _ssn(m, key), "date": _date(m, key),
-        "email": (F.lit(True), _scrambled(m, "email", key)), "secret": (F.lit(True), _scrambled(m, "secret", key)),
+        "secret": (value | m.rlike("^AKIA[0-9A-Z]{16}$"), F.lit(True), _scrambled(m, "secret", key)),
+        "email": (m.contains("@"), F.lit(True), _scrambled(m, "email", key)),
     }
-    whole = {"email": m.contains("@"), "secret": None} | {k: m.rlike(f"^(?:{PATTERNS[k]})$") for k in ("ip", "phone", "card", "ssn", "date")}
-    kind, text = F.lit(None).cast("string"), m
-    # the first kind in KINDS that fits the match wins, as in the pattern; what fits none is a secret's value
-    for name in reversed(KINDS):
-        good, new = made[name]
-        if name == "secret":
-            fits = ~F.coalesce(m.contains("@"), F.lit(False))
-            for other in ("ip", "phone", "card", "ssn", "date"):
-                fits = fits & ~whole[other]
-        else:
-            fits = whole[name]
-        kind = F.when(fits, F.when(good, F.lit(name))).otherwise(kind)
-        text = F.when(fits, F.when(good, new).otherwise(m)).otherwise(text)
-    return F.struct(kind.alias("kind"), text.alias("text"))
+    for name, make in (("ip", _ip), ("phone", _phone), ("ssn", _ssn), ("date", _date)):
+        made[name] = (m.rlike(f"^(?:{PATTERNS[name]})$"), *make(m, key))
+    out = _cards(m, key)  # what fits nothing else is a run of digits
+    for name, (fits, good, new) in reversed(made.items()):
+        one = F.struct(F.when(good, F.array(F.lit(name))).otherwise(F.array().cast("array<string>")).alias("kinds"), F.when(good, new).otherwise(m).alias("text"))
+        out = F.when(fits, one).otherwise(out)
+    return out
 
 
 def pseudonymised(docs: DataFrame, text: str = "text", key: str = KEY) -> tuple[DataFrame, str, str]:
@@ -188,13 +269,15 @@ def pseudonymised(docs: DataFrame, text: str = "text", key: str = KEY) -> tuple[
     new, found = unused(docs, "private_text", "private_kinds")
     value = F.col(text)
     maybe = value.rlike(r"[0-9@]|password=")
-    matches = F.regexp_extract_all(value, F.lit(ANY), F.lit(0))
-    out = docs.withColumn(found, F.when(maybe, F.transform(matches, lambda m: pseudonym(m, key))))
+    matches = F.regexp_extract_all(value, F.lit(_MARKED), F.lit(0))
+    marks = F.when(value.rlike(r'password=|token = "'), F.regexp_extract_all(value, F.lit(_MARKED), F.lit(1))).otherwise(F.array().cast("array<string>"))
+    made = F.zip_with(matches, marks, lambda m, mark: pseudonym(m, F.coalesce(mark != "", F.lit(False)), key))
+    out = docs.withColumn(found, F.when(maybe, made))
     parts = F.split(value, ANY, -1)
     after = F.zip_with(F.col(found), F.slice(parts, F.lit(2), F.size(found)), lambda p, part: F.concat(p["text"], part))
     put = F.concat(F.element_at(parts, 1), F.array_join(after, ""))
     out = out.withColumn(new, F.when(F.size(F.coalesce(F.col(found), F.array())) > 0, put).otherwise(value))
-    kinds = F.filter(F.transform(F.coalesce(F.col(found), F.array()), lambda p: p["kind"]), lambda k: k.isNotNull())
+    kinds = F.flatten(F.transform(F.coalesce(F.col(found), F.array()), lambda p: p["kinds"]))
     return out.withColumn(found, kinds), new, found
 
 

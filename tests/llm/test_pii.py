@@ -63,6 +63,46 @@ def test_cards(swap):
     assert rows[-1].text == "no 4111111111111112 card" and rows[-1].n_replaced == 0
 
 
+CARD, OTHER = "4111 1111 1111 1111", "5500-0000-0000-0004"
+
+
+def test_values_side_by_side_are_found_each(swap):
+    parts = ["2024-01-02", "2024-01-03", "123-45-6789", "234-56-7890", "415-555-2671", CARD, OTHER, "8.8.8.8", "31.12.1999", "4111111111111111", "3782 822463 10005", "12@example.com"]
+    alone = {p: r.text for p, r in zip(parts, swap(*parts), strict=True)}
+    assert all(alone[p] != p for p in parts)
+    pairs = [(a, b) for a in parts for b in parts]
+    for (a, b), r in zip(pairs, swap(*[f"{a} {b}" for a, b in pairs]), strict=True):
+        assert r.text == f"{alone[a]} {alone[b]}" and r.n_replaced == 2, (a, b, r.text)
+
+
+def test_cards_beside_other_digits_have_their_own_pseudonym(swap):
+    (card,) = swap(CARD)
+    chance = next(f"{i:03d}" for i in range(1000) if luhn(CARD.replace(" ", "") + f"{i:03d}"))
+    lead = next(f"{i:02d}" for i in range(10, 100) if luhn(f"{i:02d}" + CARD.replace(" ", "")))
+    forms = ["{} 123", "{} 12/25", "{} 12/25/2025", "12 {}", "{} " + chance, lead + " {}", "12 {} 123", "1 2 3 {} 123 {} 7", "9876 54 {}-12"]
+    for form, r in zip(forms, swap(*[f.format(CARD, CARD) for f in forms]), strict=True):
+        assert CARD not in r.text and card.text in r.text and r.n_card == form.count("{}"), (form, r.text)
+    flat = CARD.replace(" ", "")
+    for form, r in zip(forms, swap(*[f.format(flat, flat) for f in forms]), strict=True):
+        assert card.text.replace(" ", "") in r.text and flat not in r.text, (form, r.text)
+
+
+def test_unusual_groupings_and_long_runs(swap):
+    spaced = " ".join(CARD.replace(" ", ""))
+    a, b, c, d = swap("12 4111-1111 11111111", spaced, "7 " * 5000 + CARD, " ".join(["1234"] * 3 + ["5"] * 3000))
+    (card,) = swap(CARD)
+    assert re.sub(r"\D", "", a.text) == "12" + card.text.replace(" ", "") and a.n_card == 1
+    assert b.text == " ".join(card.text.replace(" ", "")) and b.n_card == 1
+    assert c.text == "7 " * 5000 + card.text
+    assert len(d.text) == 14 + 6000
+
+
+def test_a_secret_is_one_by_what_stands_before_it(swap):
+    r = swap("password=192.168.1.1", "password=me@example.com!x", "password=4111111111111111", 'token = "4111111111111111"')
+    assert [(x.n_secret, x.n_replaced) for x in r] == [(1, 1)] * 4
+    assert not any(v in x.text for x, v in zip(r, ("192.168.1.1", "me@example", "4111111111111111", "4111111111111111"), strict=True))
+
+
 def test_phones_keep_their_shape_and_link(swap):
     a, b, c, d = swap("+1 (523) 555-1055!", "call 523-555-1055", "1.523.555.1055", "5235551055 123-555-0100")
     digits = [re.sub(r"\D", "", r.text)[-10:] for r in (a, b, c)]
