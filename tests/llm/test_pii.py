@@ -163,6 +163,15 @@ def test_the_data_has_no_value_left(spark):
                 assert v not in r.text
 
 
+def test_secrets_without_digits_and_long_ones(swap):
+    key, token, long = "AKIA" + "ABCDEFGHIJKLMNOP", "abcdefghijklmnopqrst", "aB3!" * 2000
+    a, b, c, d, e, f = swap(key, f"{key} 8", f'token = "{token}"', f'token = "{token}" 8', f"password={long} end", f'token = "{token * 300}"')
+    assert a.n_secret == c.n_secret == e.n_secret == f.n_secret == 1
+    assert key not in a.text and b.text == f"{a.text} 8" and token not in c.text and d.text == f"{c.text} 8"
+    new = e.text.removeprefix("password=").removesuffix(" end")
+    assert len(new) == len(long) and "aB3!" not in new[-400:] and token not in f.text
+
+
 def test_odd_rows(spark):
     rows = [(1, None, "x"), (2, "", "x"), (None, "8.8.8.8", "x"), (1, "8.8.8.8 " * 3000, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, private_text string")
