@@ -30,8 +30,11 @@ from newsmart.llm.tokens import FOLDED, Texts, byte_set, chunks
 #: Labelled texts that are learned from, at most, for each language; and the bytes such a text may have.
 SAMPLE = 600
 MOST_BYTES = 1 << 17
-#: Languages, at most: those with the most labelled texts.
-LANGUAGES = 400
+#: Labelled texts for all languages together, about, if that leaves LEAST for each.
+TOTAL = 240_000
+LEAST = 8
+#: Languages whose scores are summed at once.
+ABREAST = 32
 BITS = 16
 WIDTH = 16
 GRAMS = (2, 3, 4)
@@ -88,13 +91,15 @@ class Model:
     least: float  # scores below it are rejected
 
     def probabilities(self, texts: Texts) -> np.ndarray:
-        n, total = len(texts), 0
+        n = len(texts)
+        total = np.zeros((n, len(self.languages)))
         count = np.zeros(n)
         for size, codes in zip(GRAMS, subwords(texts.buf), strict=True):
             begin = texts.offsets[:-1]
             end = np.maximum(texts.offsets[1:] - size + 1, begin)
             begin, end = np.minimum(begin, len(codes)), np.minimum(end, len(codes))
-            total = total + _sums(self.table[codes], begin, end)
+            for a in range(0, len(self.languages), ABREAST):
+                total[:, a : a + ABREAST] += _sums(self.table[:, a : a + ABREAST][codes], begin, end)
             count += end - begin
         return softmax((total / np.maximum(count, 1)[:, None] + self.bias) / self.temperature)
 
@@ -130,7 +135,8 @@ def train(texts: list[bytes], names: list[str], seed: int = 7) -> Model:
     """A model from labelled texts; every fifth text calibrates."""
     languages = sorted(set(names))
     rng = np.random.default_rng(seed)
-    labels = np.array([languages.index(x) for x in names])
+    place = {x: i for i, x in enumerate(languages)}
+    labels = np.array([place[x] for x in names])
     order = rng.permutation(len(texts))
     kept, held = order[len(order) // 5 :], order[: len(order) // 5]
     if not len(held):
@@ -181,16 +187,20 @@ def calibrate(model: Model, texts: list[bytes], labels: np.ndarray, rng: np.rand
 
 
 def labelled_sample(docs: DataFrame, doc_id: str, text: str, lang: str, most: int = SAMPLE) -> list[tuple[bytes, str]]:
-    """About `most` labelled texts of each language, chosen by their ids' hash, from rows that aren't held out."""
+    """About `most` labelled texts of each language, fewer of each if there are many languages, chosen by their ids' hash, from rows that aren't held out."""
     rows = docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t"), F.col(lang).cast("string").alias("l"))
     rows = rows.where(F.col("i").isNotNull() & F.col("t").isNotNull() & F.col("l").isNotNull() & ~held_out(F.col("i")))
     rows = rows.where(~F.col("l").isin("", UNKNOWN))
-    found = rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(LANGUAGES).collect()
+    found = rows.groupBy("l").count().collect()
     if not found:
         return []
-    chance = F.create_map(*[F.lit(x) for r in found for x in (r[0], min(1.0, most / r[1]))])
-    place = F.pmod(F.xxhash64(F.col("i").cast("string")), F.lit(1 << 20)) / (1 << 20)
-    chosen = rows.where(F.octet_length("t") <= MOST_BYTES).where(place < F.try_element_at(chance, F.col("l")))
+    most = min(most, max(LEAST, TOTAL // len(found)))
+    large = {r[0]: most / r[1] for r in found if r[1] > most}
+    chosen = rows.where(F.octet_length("t") <= MOST_BYTES)
+    if large:
+        chance = F.create_map(*[F.lit(x) for r in large.items() for x in r])
+        place = F.pmod(F.xxhash64(F.col("i").cast("string")), F.lit(1 << 20)) / (1 << 20)
+        chosen = chosen.where(place < F.coalesce(F.try_element_at(chance, F.col("l")), F.lit(1.0)))
     return [(r.t.encode(), r.l) for r in chosen.select("t", "l").orderBy(F.xxhash64("t"), "l").limit(2 * most * len(found)).collect()]
 
 

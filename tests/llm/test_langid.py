@@ -58,3 +58,20 @@ def test_a_text_scores_the_same_alone_and_among_others():
     together = np.concatenate([model.probabilities(t) for t in langid.chunks(column)])
     alone = np.concatenate([model.probabilities(t) for t in langid.chunks(column, 1)])
     assert np.allclose(together, alone)
+
+
+def test_every_language_is_learned(spark):
+    ids = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(i, f"text number {i}", f"l{n % 500}" if n < 1000 else "many") for n, i in enumerate(ids)]
+    sample = langid.labelled_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang")
+    assert {x for _, x in sample} == {f"l{n}" for n in range(500)} | {"many"}
+    assert 300 < sum(x == "many" for _, x in sample) < 700  # about TOTAL / 501
+
+
+def test_scores_of_many_languages_are_those_of_all_at_once(monkeypatch):
+    texts, names = [f"word{i} text{i} ".encode() * 9 for i in range(120)], [f"l{i % 40}" for i in range(120)]
+    model = langid.train(texts, names)
+    (some,) = langid.chunks(pa.array([t.decode() for t in texts[:9]] + [""]))
+    parts = model.probabilities(some)
+    monkeypatch.setattr(langid, "ABREAST", 1000)
+    assert parts.shape == (10, 40) and np.allclose(parts, model.probabilities(some))
