@@ -22,6 +22,23 @@ from newsmart.sources.files import ARCHIVE_SLIM, POPULAR_SLIM
 from newsmart.streaming.loader import start_loading
 
 
+#: Docs in a raw object, about.
+OBJECT_DOCS = 5000
+
+
+def _in_objects(rows: DataFrame, item: Column, name: str, mark: Column, *folder: str) -> DataFrame:
+    """Rows dealt by the hash of ``mark`` to objects of bounded size for each folder: its columns, and the list ``name``."""
+    size = rows.groupBy(*[F.col(c).alias(f"of_{c}") for c in folder]).agg(
+        F.ceil(F.count(F.lit(1)) / OBJECT_DOCS).alias("parts")
+    )
+    same = F.lit(True)
+    for c in folder:
+        same = same & F.col(c).eqNullSafe(F.col(f"of_{c}"))
+    part = F.pmod(F.xxhash64(mark), F.col("parts")).alias("part")
+    dealt = rows.join(size, same).select(*folder, part, item.alias("item"))
+    return dealt.groupBy(*folder, "part").agg(F.collect_list("item").alias(name))
+
+
 def _key() -> Column:
     return F.substring("article_id", 2, 20).cast("bigint")
 
@@ -111,7 +128,7 @@ def _raw_popular(p: Press) -> str:
 
 
 def _raw_months(p: Press) -> str:
-    """One raw object a month with all its docs, below folders that look like a year and a month."""
+    """Raw objects with many docs, each in a file, one or more a month, below folders that look like a year and a month."""
     folder = f"{p.root}/2024/12/months"
 
     def write() -> None:
@@ -119,28 +136,29 @@ def _raw_months(p: Press) -> str:
         doc = F.struct(
             F.col("article_id").alias("_id"), F.col("word_count").cast("string").alias("word_count")
         )
-        docs = p.archive.where(key % 101 != 0).groupBy(
-            F.year("pub_date").alias("year"), F.month("pub_date").alias("month")
-        ).agg(F.collect_list(doc).alias("docs"))
+        rows = p.archive.where(key % 101 != 0).withColumns(
+            {"year": F.year("pub_date"), "month": F.month("pub_date")}
+        )
+        docs = _in_objects(rows, doc, "docs", F.col("article_id"), "year", "month")
         value = F.to_json(F.struct(F.struct("docs").alias("response")))
         tables.by_folder(docs, "year", "month").select("year", "month", value.alias("value")).write.partitionBy(
             "year", "month"
-        ).text(folder)
+        ).option("maxRecordsPerFile", 1).text(folder)
 
     return p.once("raw_months", folder, write)
 
 
 def _raw_days(p: Press) -> str:
-    """One raw object a day with all its results, below a folder that looks like a date."""
+    """Raw objects with many results, each in a file, one or more a day, below a folder that looks like a date."""
     folder = f"{p.root}/2020-02-02/days"
 
     def write() -> None:
         doc = F.struct("id", "asset_id")
-        days = p.popular.groupBy("snapshot_date").agg(F.collect_list(doc).alias("results"))
+        days = _in_objects(p.popular, doc, "results", F.struct("id", "asset_id"), "snapshot_date")
         value = F.to_json(F.struct("results", F.size("results").alias("num_results")))
         tables.by_folder(days, "snapshot_date").select("snapshot_date", value.alias("value")).write.partitionBy(
             "snapshot_date"
-        ).text(folder)
+        ).option("maxRecordsPerFile", 1).text(folder)
 
     return p.once("raw_days", folder, write)
 

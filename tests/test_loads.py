@@ -3,6 +3,7 @@
 import datetime as dt
 import itertools
 import json
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from newsmart import schemas
 from newsmart.operators import load, slim, tables
 from newsmart.operators.staging import stg_archive_articles
+from newsmart.registry import loads
 from newsmart.session import shared_dir
 from newsmart.sources import files, records
 from newsmart.sources.files import ARCHIVE_SLIM, POPULAR_SLIM
@@ -479,3 +481,37 @@ def test_incremental_counts_take_in_rows_on_both_sides(spark, database):
     for part in (source.where("day < '2020-02-01'"), source):
         tables.run_incremental(spark, name, part, build, ["id"], "day", "part_month")
     assert rows(tables.current(spark, name), "id", "n") == [("a", 2), ("b", 1)]
+
+
+# --- raw objects of the registered queries -----------------------------------------------------------
+
+
+class _Source:
+    """What the writers of raw objects use of the source tables."""
+
+    def __init__(self, spark, root, archive=None, popular=None):
+        self.spark, self.root, self.archive, self.popular = spark, root, archive, popular
+
+    def once(self, name, folder, write):
+        write()
+        return folder
+
+
+def test_raw_objects_hold_a_bounded_number_of_docs(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(loads, "OBJECT_DOCS", 20)
+    days = [f"2001-0{1 + (i % 10 == 0)}-05" if i < 390 else None for i in range(400)]
+    archive = spark.createDataFrame([(f"a{i}", i, d) for i, d in enumerate(days, 1)], "article_id string, word_count int, pub_date string")
+    archive = archive.withColumn("pub_date", archive.pub_date.cast("date"))
+    months = loads._raw_months(_Source(spark, f"{tmp_path}/m", archive=archive))
+    most = max(len(json.loads(f.read_text())["response"]["docs"]) for f in Path(months).rglob("*.txt"))
+    assert 10 < most < 60
+    got = {(r._id, r.year, r.month) for r in records.raw_archive(spark, months).collect()}
+    assert {g for g in got if g[1] == 2001} == {(f"a{i}", 2001, int(d[6])) for i, d in enumerate(days, 1) if d and i % 101}
+    assert len(got) == sum(1 for i in range(1, 401) if i % 101)
+
+    popular = spark.createDataFrame([(i, i, "2024-01-02") for i in range(300)], "id long, asset_id long, snapshot_date string")
+    popular = popular.withColumn("snapshot_date", popular.snapshot_date.cast("date"))
+    folder = loads._raw_days(_Source(spark, f"{tmp_path}/d", popular=popular))
+    found = [json.loads(f.read_text()) for f in Path(folder).rglob("*.txt")]
+    assert max(len(x["results"]) for x in found) < 60 and all(x["num_results"] == len(x["results"]) for x in found)
+    assert sorted(int(r.id) for r in records.raw_popular(spark, folder).collect()) == list(range(300))
