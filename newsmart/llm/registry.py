@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import bpe, decontam, langid, licenses, line_runs, near_dup, pii, quality, suffix_repeats, toxicity
+from newsmart.llm import (
+    bpe, decontam, hard_negatives, langid, licenses, line_runs, near_dup, pii, quality, resample, suffix_repeats, toxicity, warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,10 +56,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.importance(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(_table(spark, sf_dir, "pages"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     chosen = (
         op1_repeated_strings, op2_private_data, op3_language_id, op4_line_dedup, op5_bpe, op6_licenses, op7_toxicity, op8_quality_rules,
-        op9_near_duplicates, op10_decontamination,
+        op9_near_duplicates, op10_decontamination, op11_hard_negatives, op12_importance, op13_warc,
     )
     return {f.__name__: f for f in chosen}
 
@@ -115,8 +129,76 @@ least AS (SELECT doc_id, min(root) AS root FROM reach GROUP BY doc_id)
 """
 
 
+_IMPORTANCE = r"""
+WITH poly AS (
+  SELECT list_transform(range(0, 256), lambda i: list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS tab),
+doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+word AS (SELECT doc_id, unnest(w) AS word FROM doc),
+known AS (SELECT word FROM word UNION SELECT word FROM item),
+crc AS (
+  SELECT word, xor(list_reduce(list_concat([4294967295], list_transform(range(0, octet_length(encode(word))),
+    lambda i: CAST('0x' || substr(hex(encode(word)), 2 * i + 1, 2) AS BIGINT))),
+    lambda c, b: xor(c // 256, tab[1 + xor(c % 256, b)])), 4294967295) % 10000 AS bucket FROM known, poly),
+have AS (SELECT bucket, count(*) AS s FROM word JOIN crc USING (word) GROUP BY bucket),
+want AS (SELECT bucket, count(*) AS t FROM item JOIN crc USING (word) GROUP BY bucket),
+size AS (SELECT (SELECT count(*) FROM word) AS s_all, (SELECT count(*) FROM item) AS t_all),
+gain AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * (s_all + 10000) / ((s + 1.0::DOUBLE) * (t_all + 10000)))) AS gain
+  FROM have LEFT JOIN want USING (bucket), size),
+weight AS (
+  SELECT doc_id, count(*) AS n, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight
+  FROM word JOIN crc USING (word) JOIN gain USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+      / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM doc LEFT JOIN weight USING (doc_id)),
+place AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+"""
+
+
+_NEGATIVES = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pair AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+pos AS (SELECT * FROM pair WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+neg AS (
+  SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS rank
+  FROM pos p JOIN pair n ON p.anchor_id = n.anchor_id AND NOT n.same
+    AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+"""
+
+
+_CAPTURES = r"""
+WITH page AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+first AS (SELECT payload_digest, min(page_id) AS first_id FROM page WHERE payload_bytes >= 100 GROUP BY payload_digest)
+"""
+
+
 def llm_sql() -> dict[str, str]:
     return {
+        "op11_hard_negatives": _NEGATIVES
+        + """SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 3""",
+        "op12_importance": _IMPORTANCE
+        + """SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank FROM scored LEFT JOIN place USING (doc_id)""",
+        "op13_warc": _CAPTURES
+        + """SELECT page_id, payload_bytes, payload_digest, CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM page LEFT JOIN first USING (payload_digest)""",
         "op9_near_duplicates": _NEAR
         + """SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(root, doc_id) AS component_id, coalesce(root, doc_id) = doc_id AS kept
 FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN least USING (doc_id)""",
