@@ -1,7 +1,9 @@
-"""Slim files into the loaded tables, once each: staged, merged by key, noted in a manifest."""
+"""Slim files into the loaded tables, once each: staged, merged by key as one batch, noted in a manifest."""
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -11,16 +13,18 @@ from pyspark.sql import functions as F
 from newsmart import schemas
 from newsmart.functions.exprs import label, n_rows
 from newsmart.operators import shaping
+from newsmart.operators.keys import KeyIndex
+from newsmart.operators.ledger import LOAD_ID, Ledger, merge_batch
 from newsmart.operators.tables import (
     create_database,
     current,
-    merge_into,
     month_of,
     scratch,
     write_table,
 )
 from newsmart.sources import files, records
 from newsmart.sources.files import ARCHIVE_SLIM, POPULAR_SLIM
+from newsmart.sources.listing import Listing
 
 
 @dataclass(frozen=True)
@@ -56,12 +60,16 @@ class BackfillError(RuntimeError):
 
 
 def create_targets(spark: SparkSession, database: str, location: str, landing: str) -> Targets:
-    """Database and empty tables: archive by month, popularity by day, manifest."""
+    """Database and empty tables: archive by month, popularity by day, manifest.
+
+    The loaded tables have one column more than declared, the id of the load that a row came with.
+    """
     create_database(spark, database, location)
     to = Targets(database, landing.rstrip("/"))
+    own = {LOAD_ID: "string"}
     for name, fields, partition in (
-        (to.archive, {**schemas.ARCHIVE_ARTICLES, "part_month": "string"}, "part_month"),
-        (to.popular, schemas.POPULAR_ARTICLES, "snapshot_date"),
+        (to.archive, {**schemas.ARCHIVE_ARTICLES, **own, "part_month": "string"}, "part_month"),
+        (to.popular, {**schemas.POPULAR_ARTICLES, **own}, "snapshot_date"),
         (to.manifest, schemas.LOAD_MANIFEST, None),
         (to.refused, schemas.REFUSED_FILES, None),
     ):
@@ -75,11 +83,11 @@ def _object_path(to: Targets) -> Column:
     return files.below("file_path", to.landing)
 
 
-def _whole_files(staged: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Records of files that are not in the manifest and hold no rejected record."""
+def _whole_files(staged: DataFrame, manifest: DataFrame, done: DataFrame) -> DataFrame:
+    """Records of files that no batch took in and that hold no rejected record."""
     broken = shaping.rejected(staged).select("file_path").distinct()
-    done = manifest.select(F.col("path").alias("file_path")).distinct()
-    return staged.join(broken, "file_path", "left_anti").join(done, "file_path", "left_anti")
+    taken = manifest.select("path").unionByName(done).distinct().select(F.col("path").alias("file_path"))
+    return staged.join(broken, "file_path", "left_anti").join(taken, "file_path", "left_anti")
 
 
 def _note(spark: SparkSession, to: Targets, feed: str, loaded: DataFrame) -> None:
@@ -101,50 +109,56 @@ def _refuse(spark: SparkSession, to: Targets, feed: str, reasons: DataFrame) ->
     write_table(rows, to.refused, mode="append")
 
 
+def archive_keys(spark: SparkSession, to: Targets) -> KeyIndex:
+    """The article ids of the archive table."""
+    return KeyIndex(spark, to.archive, "article_id")
+
+
 def load_records(
     spark: SparkSession,
     to: Targets,
     feed: str,
     slim: DataFrame,
     listed: DataFrame | None = None,
-    keyless: bool = True,
 ) -> None:
-    """Loads slim records of one feed.
+    """Loads slim records of one feed as one batch.
 
     A file with a record that does not fit is left out as a whole and not noted as loaded, so it is
     tried again; it stands in the table of refused files with the reason, as does a popularity file
-    without a date. The merge comes before the manifest: after a stop in between, the next run merges
-    the same files again, which adds nothing but rows without a key. ``keyless=False``, as in a stream,
-    leaves those out, and notes that. ``listed`` names the files read, so that files without records
-    are noted as well.
+    without a date. The table's ledger says which files its batches took in; a file of these is never
+    taken again, and what a stopped batch left is taken back first. So after a stop at any point, the
+    next run comes to the same table and manifest, records without a key included. ``listed`` names the
+    files read, so that files without records are noted as well. File paths of a batch come to the driver.
     """
     path = _object_path(to).alias("path")
     if feed == ARCHIVE_SLIM:
-        checked, key = shaping.checked_articles(slim), "article_id"
+        checked, target, keys, partition = shaping.checked_articles(slim), to.archive, ["article_id"], "part_month"
     else:
         undated = slim.where(F.col("snapshot_date").isNull())
         _refuse(spark, to, feed, undated.select(path, F.lit("no snapshot date").alias("reason")))
-        checked, key = shaping.checked_popular(slim.where(F.col("snapshot_date").isNotNull())), "id"
+        checked = shaping.checked_popular(slim.where(F.col("snapshot_date").isNotNull()))
+        target, keys, partition = to.popular, ["snapshot_date", "id"], "snapshot_date"
     checked = checked.withColumn("file_path", _object_path(to)).drop(schemas.CORRUPT)
     # Saved as columns, the JSON text is parsed once for the check, the merge and the manifest.
     with scratch(checked) as saved:
         staged = spark.table(saved)
         reasons = shaping.rejected(staged).select(F.col("file_path").alias("path"), F.col(shaping.REASON).alias("reason"))
         _refuse(spark, to, feed, reasons)
-        whole = _whole_files(staged, current(spark, to.manifest))
-        if not keyless:
-            without = whole.where(F.col(key).isNull()).select(F.col("file_path").alias("path"))
-            _refuse(spark, to, feed, without.withColumn("reason", F.lit("records without a key")))
-            whole = whole.where(F.col(key).isNotNull())
+        ledger = Ledger(spark, target)
+        whole = _whole_files(staged, current(spark, to.manifest), ledger.done_files())
         if feed == ARCHIVE_SLIM:
             rows = shaping.archive_rows(shaping.accepted_articles(whole))
             rows = rows.withColumn("part_month", month_of("pub_date"))
-            merge_into(spark, to.archive, rows, ["article_id"], "part_month")
         else:
             rows = shaping.popular_rows(shaping.accepted_popular(whole))
-            merge_into(spark, to.popular, rows, ["snapshot_date", "id"], "snapshot_date")
         seen = listed if listed is not None else staged.select(F.col("file_path").alias("path"))
-        _note(spark, to, feed, seen.distinct().join(reasons.select("path").distinct(), "path", "left_anti"))
+        seen = seen.distinct().join(reasons.select("path").distinct(), "path", "left_anti")
+        files_taken = [r.path for r in seen.join(ledger.done_files(), "path", "left_anti").collect()]
+        index = archive_keys(spark, to) if feed == ARCHIVE_SLIM else None
+        if files_taken:
+            merge_batch(spark, target, rows, keys, partition, uuid.uuid4().hex, files_taken, index)
+        # the manifest follows the ledger; after a stop between the two, the files of an older batch are noted here
+        _note(spark, to, feed, Ledger(spark, target).done_files())
 
 
 def pending_files(spark: SparkSession, to: Targets) -> DataFrame:
@@ -168,15 +182,29 @@ def _chunks(todo: DataFrame) -> Iterator[list[tuple[str, str]]]:
         yield chunk
 
 
-def backfill(spark: SparkSession, to: Targets, strict: bool = True) -> DataFrame:
+def _closed_files(listing: Listing) -> list:
+    """(feed, outcome, files) of the files that weren't listed, as their periods are closed."""
+    counted = listing.stored().groupBy("feed").agg(n_rows().alias("files")).collect()
+    return [(r["feed"], "skipped", r["files"]) for r in counted]
+
+
+def backfill(spark: SparkSession, to: Targets, strict: bool = True, as_of: dt.date | None = None) -> DataFrame:
     """Loads all files that are not in the manifest, some thousand at a time. Files of no bytes are not seen.
 
+    With ``as_of``, today as a rule, only open months and days are listed (see ``sources.listing``), and those
+    that are loaded whole and lie far enough back are closed at the end.
+
     Returns files per feed and outcome: loaded, skipped (loaded before), no snapshot date, error. An
-    error in one feed does not keep the other from being loaded. When a file was left out, it raises
+    error in some thousand files does not keep the others from being loaded. When a file was left out, it raises
     BackfillError at the end; ``strict=False`` only counts it.
     """
     causes: list[Exception] = []
-    with scratch(pending_files(spark, to)) as saved:
+    listing = None if as_of is None else Listing(spark, to.database, to.landing)
+    if listing is None:
+        found, counts = pending_files(spark, to), []
+    else:
+        found, counts = files.file_status(listing.list_open(as_of), current(spark, to.manifest)), _closed_files(listing)
+    with scratch(found) as saved:
         before = spark.table(saved)
         undated = before.where(F.col("status") == "no snapshot date")
         reasons = undated.select(F.col("object_path").alias("path"), F.lit("no snapshot date").alias("reason"))
@@ -185,18 +213,28 @@ def backfill(spark: SparkSession, to: Targets, strict: bool = True) -> DataFrame
             (ARCHIVE_SLIM, records.slim_archive), (POPULAR_SLIM, records.slim_popular)
         ):
             todo = before.where((F.col("feed") == feed) & (F.col("status") == "pending"))
-            try:
-                for chunk in _chunks(todo):
-                    listed = spark.createDataFrame([(p,) for _, p in chunk], "path string")
+            for chunk in _chunks(todo):
+                listed = spark.createDataFrame([(p,) for _, p in chunk], "path string")
+                try:
                     load_records(spark, to, feed, read(spark, [p for p, _ in chunk]), listed)
-            except Exception as cause:  # the other feed is loaded all the same
-                causes.append(cause)
-        counts = _outcomes(before, current(spark, to.manifest)).collect()
-    if strict and (causes or any(row["outcome"] in ("error", "no snapshot date") for row in counts)):
-        raise BackfillError([tuple(row) for row in counts], causes)
+                except Exception as cause:  # the other files are loaded all the same
+                    causes.append(cause)
+        manifest = current(spark, to.manifest)
+        counts = _added(counts, _outcomes(before, manifest).collect())
+        if listing is not None:
+            listing.close(files.file_status(before.drop("status"), manifest), as_of)
+    if strict and (causes or any(outcome in ("error", "no snapshot date") for _, outcome, _ in counts)):
+        raise BackfillError(counts, causes)
     return spark.createDataFrame(counts, "feed string, outcome string, files bigint")
 
 
+def _added(one: list, other: list) -> list[tuple[str, str, int]]:
+    total: dict[tuple[str, str], int] = {}
+    for feed, outcome, n in [*one, *other]:
+        total[feed, outcome] = total.get((feed, outcome), 0) + n
+    return [(*kind, n) for kind, n in total.items()]
+
+
 def _outcomes(before: DataFrame, manifest: DataFrame) -> DataFrame:
     """Files per feed and outcome: what was pending and is noted now was loaded."""
     done = manifest.select(F.col("path").alias("object_path"), F.lit(True).alias("done")).distinct()

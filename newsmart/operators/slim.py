@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from newsmart import schemas
 from newsmart.operators import shaping
@@ -29,13 +29,6 @@ def write_slim(slim: DataFrame, folder: str, by: list[str], overwrite: bool) ->
     )
 
 
-def _listed(spark: SparkSession, folder: str) -> DataFrame:
-    try:
-        return files.list_files(spark, folder)
-    except AnalysisException:  # the folder does not exist yet
-        return spark.createDataFrame([], "path string, length bigint, modified timestamp")
-
-
 #: Raw files whose paths are on the driver at once.
 FILES_AT_ONCE = 5_000
 
@@ -53,8 +46,8 @@ def done_folder(slim: str) -> str:
 def _done(spark: SparkSession, slim: str, from_path: dict[str, Callable]) -> DataFrame:
     """Folder values that have slim files or were noted: a month without any accepted record has no files."""
     names = list(from_path)
-    there = _values(_listed(spark, slim), slim, from_path).select(*names)
-    noted = _values(_listed(spark, done_folder(slim)), done_folder(slim), from_path)
+    there = _values(files.list_or_none(spark, slim), slim, from_path).select(*names)
+    noted = _values(files.list_or_none(spark, done_folder(slim)), done_folder(slim), from_path)
     return there.unionByName(noted.select(*names)).distinct()
 
 
@@ -81,6 +74,11 @@ def _in_chunks(todo: DataFrame, names: list[str]) -> Iterator[list[str]]:
         yield chunk
 
 
+def rejected_folder(slim: str) -> str:
+    """Where rejected records are kept, beside the slim files, in one folder for each run."""
+    return f"{slim.rstrip('/')}-rejected"
+
+
 def _transform(
     spark: SparkSession,
     raw: str,
@@ -90,26 +88,32 @@ def _transform(
     accepted: Callable[[DataFrame], DataFrame],
     overwrite: bool,
 ) -> DataFrame | None:
-    """Slim files of all pending raw files, some thousand at a time; returns the rejected records."""
-    refused = None
+    """Slim files of all pending raw files, some thousand at a time; returns the rejected records.
+
+    Rejected records are stored, then the slim files are written and their folders noted as done, so that
+    after a stop only the files of one step are worked off again.
+    """
+    kept = f"{rejected_folder(slim)}/{uuid.uuid4().hex[:12]}"
+    schema = None
     with scratch(pending_files(spark, raw, slim, from_path, overwrite)) as saved:
         # sorted, so that files of one output folder are worked off together
         todo = spark.table(saved).orderBy(*from_path, "path")
         for paths in _in_chunks(todo, list(from_path)):
             rows = checked(paths)
-            write_slim(accepted(rows), slim, list(from_path), overwrite)
             bad = shaping.rejected(rows)
-            refused = bad if refused is None else refused.unionByName(bad)
-        if refused is not None:
-            noted = spark.table(saved).select(*from_path, F.col("path").alias("value")).distinct()
+            schema = bad.schema
+            bad.write.mode("append").parquet(kept)
+            write_slim(accepted(rows), slim, list(from_path), overwrite)
+            chunk = spark.createDataFrame([(p,) for p in paths], "path string")
+            noted = _values(chunk, raw, from_path).withColumnRenamed("path", "value").groupBy(*from_path).agg(F.min("value").alias("value"))
             by_folder(noted, *from_path).write.partitionBy(*from_path).mode("append").text(done_folder(slim))
-    return refused
+    return None if schema is None else spark.read.schema(schema).parquet(kept)
 
 
 def transform_archive(
     spark: SparkSession, raw: str, slim: str, overwrite: bool = False, multiline: bool = True
 ) -> DataFrame | None:
-    """Writes the slim months that are missing and returns the rejected records of that run.
+    """Writes the slim months that are missing and returns the rejected records of that run, which are kept.
 
     Returns None when there is nothing to do. A month without accepted records is done as well.
     """

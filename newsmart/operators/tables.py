@@ -75,6 +75,40 @@ def by_folder(df: DataFrame, *folders: str) -> DataFrame:
     return df.hint("rebalance", *folders)
 
 
+#: Ranges of a column in an interleaved order are 2 ** RANGE_BITS, told from about SAMPLE_ROWS rows.
+RANGE_BITS, SAMPLE_ROWS = 5, 20_000
+
+
+def _bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
+    """Values that cut each column into ranges of about as many rows, from a sample of bounded size."""
+    n = df.count()
+    sample = df.select(*columns) if n <= SAMPLE_ROWS else df.select(*columns).sample(SAMPLE_ROWS / n, 7)
+    rows = sample.limit(2 * SAMPLE_ROWS).collect()
+    out = {}
+    for i, c in enumerate(columns):
+        values = sorted(r[i] for r in rows if r[i] is not None)
+        cuts = [values[len(values) * k // (1 << RANGE_BITS)] for k in range(1, 1 << RANGE_BITS)] if values else []
+        out[c] = sorted(set(cuts))
+    return out
+
+
+def interleaved(df: DataFrame, columns: Sequence[str]) -> Column:
+    """A number that orders rows by all columns alike: the bits of the columns' ranges, taken in turn.
+
+    Rows near each other in it are near in every column, so statistics of files and row groups help a filter
+    on any of them. Nulls come first.
+    """
+    order = F.lit(0)
+    for at, (c, cuts) in enumerate(_bounds(df, columns).items()):
+        place = F.lit(0)
+        for cut in cuts:
+            place = place + F.when(F.col(c) >= F.lit(cut), 1).otherwise(0)
+        for bit in range(RANGE_BITS):
+            target = bit * len(columns) + len(columns) - 1 - at
+            order = order + F.shiftleft(F.shiftright(place, bit).bitwiseAND(F.lit(1)).cast("bigint"), target)
+    return order
+
+
 def write_table(
     df: DataFrame,
     name: str,
@@ -82,13 +116,20 @@ def write_table(
     cluster: Sequence[str] = (),
     key: str | None = None,
     mode: str = "overwrite",
+    interleave: bool = False,
 ) -> None:
     """Writes a table, optionally partitioned and clustered.
 
     A clustered table is ranged and sorted by partition, cluster columns and key, so that file
     statistics can skip data; the key at the end keeps one large cluster value from filling a task.
+    That helps filters on the first column; ``interleave`` orders by all cluster columns alike, so
+    that a filter on any one of them skips data, and reads the columns once more to find their ranges.
     """
-    if cluster:
+    if cluster and interleave:
+        order = [c for c in (partition, "_order", *cluster, key) if c]
+        df = df.withColumn("_order", interleaved(df, cluster))
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order).drop("_order")
+    elif cluster:
         order = [c for c in (partition, *cluster, key) if c]
         df = df.repartitionByRange(*order).sortWithinPartitions(*order)
     elif partition:
@@ -223,6 +264,26 @@ def _overwrite_partitions(
     by_folder(rows, partition).write.insertInto(name, overwrite=True)
 
 
+def touched_by(
+    spark: SparkSession, source: DataFrame, ids: DataFrame, keys: Sequence[str], date: str, newest: object, prune: str | None
+) -> DataFrame:
+    """Source rows dated after ``newest``, and the older rows that share a key with them (``ids``).
+
+    With ``prune``, a column such as the month, the older rows' keys are read first; other columns are then read
+    only where that column has a value at which an older row was found. These values come to the driver.
+    """
+    fresh = source.where(F.col(date) > F.lit(newest))
+    older = source.where((F.col(date) <= F.lit(newest)) | F.col(date).isNull())
+    if prune:
+        hits = older.select(prune, *[k for k in keys if k != prune]).join(ids, list(keys), "left_semi")
+        values = [r[0] for r in hits.select(prune).distinct().collect()]
+        here = F.col(prune).isin([v for v in values if v is not None])
+        older = older.where(here | F.col(prune).isNull() if None in values else here)
+        if not values:
+            return fresh
+    return fresh.unionByName(older.join(ids, list(keys), "left_semi"))
+
+
 def run_incremental(
     spark: SparkSession,
     name: str,
@@ -234,17 +295,23 @@ def run_incremental(
     cluster: Sequence[str] = (),
     full_refresh: bool = False,
     lookback_days: int | None = None,
+    prune: str | None = None,
 ) -> None:
     """One run of an incremental model.
 
     The first run and a full refresh write everything. Later runs take only rows dated after the
-    table's newest date and upsert them by key. ``build`` is given all of the source, so that counts per
-    key take in rows on either side of that date; the date filter is put on its result and goes down to
-    the source where the model allows. ``lookback_days`` is accepted and has no effect. ``build`` must
+    table's newest date and upsert them by key. ``build`` makes a row from the rows of its key alone;
+    it is given the newer rows and the older ones with the same keys, so that counts per key take in
+    rows on either side of that date, and only its newer rows are kept. ``prune`` names a source column
+    by which older rows can be skipped. ``lookback_days`` is accepted and has no effect. ``build`` must
     give rows with the date and the partition column.
     """
     if full_refresh or not spark.catalog.tableExists(name):
         write_table(build(source), name, partition, cluster, keys[-1])
         return
-    fresh = newer_than(build(source), current(spark, name), date)
-    upsert(spark, name, fresh, keys, partition)
+    newest = current(spark, name).agg(F.max(date)).first()[0]
+    if newest is None:
+        return
+    with scratch(source.where(F.col(date) > F.lit(newest)).select(*keys).distinct()) as saved:
+        rows = touched_by(spark, source, spark.table(saved), keys, date, newest, prune)
+        upsert(spark, name, build(rows).where(F.col(date) > F.lit(newest)), keys, partition)

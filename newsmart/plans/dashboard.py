@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsmart.functions.exprs import month_start, n_rows
 from newsmart.operators.flatten import authors_flattened, keywords_flattened, known_values
+from newsmart.operators.results import ResultStore
+from newsmart.operators.tables import current
 from newsmart.plans.explore import mean
 from newsmart.session import shared_dir
 
@@ -123,6 +126,18 @@ def top_authors(staged: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
+def cached_breakdown(
+    store: ResultStore, fct: str, stg: Callable[[], DataFrame], chosen: ArticleFilter, as_of: dt.date, sources: Sequence[str], now: float | None = None
+) -> tuple[DataFrame, bool]:
+    """The breakdown of the filtered fact table, made once an hour as long as its sources stay as they are."""
+    spark = store.spark
+
+    def make() -> DataFrame:
+        return breakdown(filtered(current(spark, fct), stg(), chosen, as_of))
+
+    return store.get("breakdown", {**asdict(chosen), "as_of": as_of}, [fct, *sources], make, now)
+
+
 def kept(result: DataFrame) -> DataFrame:
     """A result that several views read again, as a table in the shared folder.
 

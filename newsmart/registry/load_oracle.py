@@ -144,6 +144,19 @@ BODIES: dict[str, str] = {
       SELECT 'most_popular_slim', NULL, NULL, DATE '2024-01-02', 'asset_id is not an integer', 1
       WHERE EXISTS (SELECT 1 FROM raw_results WHERE snapshot_date = DATE '2024-01-02')
       UNION ALL SELECT 'most_popular_slim', NULL, NULL, NULL, 'no snapshot date', 1""",
+    "s9_replayed_batch": f"""
+      SELECT {PART}, count(*) AS articles, count(*) FILTER (okey % 40 <> 0) AS with_id,
+             count(DISTINCT CASE WHEN okey % 40 <> 0 THEN article_id END) AS ids
+      FROM src WHERE pub_date < DATE '1996-01-01' GROUP BY 1""",
+    # months before the last but one and days more than a week back are closed by the first run
+    "s10_listed_in_steps": """
+      SELECT feed, period, CAST(CASE WHEN shut THEN 1 ELSE 2 END AS BIGINT) AS times_listed
+      FROM (
+        SELECT DISTINCT 'archive_slim' AS feed, strftime(day, '%Y-%m') AS period,
+               date_trunc('month', day) < date_trunc('month', d) - INTERVAL 1 MONTH AS shut
+        FROM slim_docs, (SELECT max(snapshot_date) AS d FROM raw_results) t
+        UNION SELECT 'most_popular_slim', strftime(snapshot_date, '%Y-%m-%d'), snapshot_date < d - INTERVAL 7 DAY
+        FROM slim_results, (SELECT max(snapshot_date) AS d FROM raw_results) t)""",
     "k12_backfill_outcomes": """
       SELECT feed, CASE WHEN outcome = 'loaded' AND run = 2 THEN 'skipped' ELSE outcome END AS outcome,
              CAST(1 AS BIGINT) AS files, CAST(run AS INTEGER) AS run
@@ -197,6 +210,10 @@ BODIES: dict[str, str] = {
       SELECT article_id, pub_date, {PART},
              CASE WHEN pub_date < DATE '1998-01-01' THEN word_count ELSE -1 END AS word_count
       FROM src""",
+    "k6_merge_by_key_index": f"""
+      SELECT article_id, pub_date, {PART},
+             CASE WHEN pub_date < DATE '1998-01-01' THEN word_count ELSE -1 END AS word_count
+      FROM src""",
     "k7_insert_only_merge_popular": """
       SELECT snapshot_date, id,
              CASE WHEN snapshot_date <= DATE '2024-01-15' THEN event_id ELSE -1 END AS asset_id
@@ -216,6 +233,15 @@ BODIES: dict[str, str] = {
                CASE WHEN o_orderkey % 29 <> 0 THEN o_orderpriority END AS news_desk
         FROM orders LEFT JOIN customer ON o_custkey = c_custkey) raw_docs_all USING (okey)
       WHERE pub_date BETWEEN DATE '1997-03-10' AND DATE '1997-04-20'""",
+    "k11_interleaved_desks": """
+      SELECT article_id, pub_date, section_name, o_orderpriority AS news_desk, word_count
+      FROM src JOIN (
+        SELECT o_orderkey AS okey, o_orderpriority,
+               CASE WHEN o_orderkey % 17 = 0 THEN '  ' WHEN o_orderkey % 19 = 0 THEN NULL
+                    WHEN o_orderkey % 23 = 0 THEN ' ' || c_mktsegment || ' ' ELSE c_mktsegment END
+                 AS section_name
+        FROM orders LEFT JOIN customer ON o_custkey = c_custkey) o USING (okey)
+      WHERE okey % 29 <> 0 AND o_orderpriority IN ('1-URGENT', '5-LOW')""",
     "k14_upsert": f"""
       SELECT article_id, pub_date, word_count, {PART}
       FROM (SELECT article_id,

@@ -13,11 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsmart import schemas
-from newsmart.operators import load, shaping, slim, tables
+from newsmart.operators import keys, ledger, load, shaping, slim, tables
 from newsmart.operators.staging import stg_archive_articles
 from newsmart.plans import core, marts
 from newsmart.registry.press import Press
-from newsmart.sources import files, records
+from newsmart.sources import files, listing, records
 from newsmart.sources.files import ARCHIVE_SLIM, POPULAR_SLIM
 from newsmart.streaming.loader import start_loading
 
@@ -349,6 +349,25 @@ def _insert_only(p: Press) -> DataFrame:
     return tables.current(p.spark, name)
 
 
+def _merged_by_index(p: Press) -> DataFrame:
+    """The same merges as batches, each given twice, with the table's keys looked up in its key index."""
+    rows = p.archive.select("article_id", "pub_date", "word_count").withColumn(
+        "part_month", tables.month_of("pub_date")
+    )
+    name = _new_table(p, "indexed_articles")
+    tables.write_table(rows.withColumn(ledger.LOAD_ID, F.lit("")).limit(0), name, "part_month")
+    index = keys.KeyIndex(p.spark, name, "article_id")
+    again = rows.withColumn("word_count", F.lit(-1).cast("bigint"))
+    for batch, source in (
+        ("early", rows.where("pub_date < '1998-01-01'")), ("all", again), ("all", again), ("replay", again),
+    ):
+        ledger.merge_batch(p.spark, name, source, ["article_id"], "part_month", batch, index=index)
+        if batch == "early":  # from here on these keys are old ones
+            book = ledger.Ledger(p.spark, name)
+            ledger.note_index(book, index.flush(book.key_state()))
+    return tables.current(p.spark, name).drop(ledger.LOAD_ID)
+
+
 def _insert_only_popular(p: Press) -> DataFrame:
     """All snapshots, again with other asset ids, merged into those up to the middle of the month."""
     rows = p.popular.select("snapshot_date", "id", "asset_id")
@@ -399,7 +418,7 @@ def _incremental(p: Press) -> DataFrame:
     for part, fresh in ((stg.where(early), True), (stg, False)):
         tables.run_incremental(
             p.spark, name, part, build, ["article_id"], "pub_date", "part_month",
-            ["section_name"], full_refresh=fresh, lookback_days=3,
+            ["section_name"], full_refresh=fresh, lookback_days=3, prune="pub_date",
         )
     return tables.current(p.spark, name).select(
         "article_id", "pub_date", "word_count", "author_count", "keyword_count", "part_month"
@@ -424,6 +443,14 @@ def _clustered(p: Press) -> DataFrame:
     )
 
 
+def _interleaved(p: Press) -> DataFrame:
+    """Articles of two desks, from a table in which the filter's column is the last of three clustered ones."""
+    name = _new_table(p, "interleaved_articles")
+    rows = p.archive.select("article_id", "pub_date", "section_name", "news_desk", "word_count")
+    tables.write_table(rows, name, cluster=["pub_date", "section_name", "news_desk"], key="article_id", interleave=True)
+    return tables.current(p.spark, name).where(F.col("news_desk").isin("1-URGENT", "5-LOW"))
+
+
 def _full_refresh(p: Press) -> DataFrame:
     """The article fact built from a part, then rebuilt from everything by a full refresh."""
     name = _new_table(p, "refreshed_fct")
@@ -505,6 +532,52 @@ def _backfill_outcomes(p: Press) -> DataFrame:
     return first.unionByName(second)
 
 
+def _listed_in_steps(p: Press) -> DataFrame:
+    """Slim months and days, how often each was listed in two backfills, with all but the last open ones closed by the first."""
+    landing = _landing(p)
+    to = _targets(p, f"steps_{p.fresh()}")
+    day = p.popular.agg(F.max("snapshot_date")).first()[0]
+    seen = None
+    for run in (1, 2):
+        open_files = listing.Listing(p.spark, to.database, landing).list_open(day)
+        counted = open_files.select("feed", "period").distinct()
+        saved = p.saved(f"listed_{to.database}_{run}", lambda c=counted: c)
+        seen = saved if seen is None else seen.unionByName(saved)
+        load.backfill(p.spark, to, as_of=day)
+    return seen.groupBy("feed", "period").agg(F.count(F.lit(1)).alias("times_listed"))
+
+
+def _replayed(p: Press) -> DataFrame:
+    """Articles by month, with every 40th id missing, after a load that is stopped behind its merge and two that go on."""
+    folder = f"{p.root}/keyless"
+
+    def write() -> None:
+        rows = p.archive.where("pub_date < '1996-01-01'").select(
+            F.when(_key() % 40 != 0, F.col("article_id")).alias("article_id"),
+            F.date_format("pub_date", "yyyy-MM-dd").alias("pub_date"),
+            F.year("pub_date").alias("year"), F.month("pub_date").alias("month"),
+        )
+        rows.repartition(1).write.partitionBy("year", "month").option("ignoreNullFields", "false").json(f"{folder}/{ARCHIVE_SLIM}")
+
+    p.once("keyless", folder, write)
+    fresh = p.fresh()
+    to = load.create_targets(p.spark, f"news_replayed_{p.mark}_{fresh}", f"{p.root}/db/replayed-{fresh}", folder)
+    slim_rows = records.slim_archive(p.spark, f"{folder}/{ARCHIVE_SLIM}")
+    # what a load leaves that is stopped between its merge and its last note: rows of an attempt that isn't done
+    book = ledger.Ledger(p.spark, to.archive)
+    rows = shaping.archive_rows(shaping.accepted_articles(shaping.checked_articles(slim_rows)))
+    rows = rows.withColumns({"part_month": tables.month_of("pub_date"), ledger.LOAD_ID: F.lit("stopped/1")})
+    months = [r[0] for r in rows.select("part_month").distinct().collect()]
+    book.note("stopped", "stopped/1", ledger.BEGUN, months)
+    tables.write_table(rows, to.archive, "part_month", mode="append")
+    for _ in range(2):
+        load.load_records(p.spark, to, ARCHIVE_SLIM, slim_rows)
+    return (
+        tables.current(p.spark, to.archive).groupBy("part_month")
+        .agg(F.count(F.lit(1)).alias("articles"), F.count("article_id").alias("with_id"), F.countDistinct("article_id").alias("ids"))
+    )
+
+
 def _no_manifest(p: Press) -> DataFrame:
     return p.spark.createDataFrame([], schemas.struct_type(schemas.LOAD_MANIFEST))
 
@@ -586,6 +659,8 @@ MODELS: dict[str, Callable[[Press], DataFrame]] = {
         "snapshot_date", "id", "asset_id"
     ),
     "s9_refused_files": _refused_files,
+    "s9_replayed_batch": _replayed,
+    "s10_listed_in_steps": _listed_in_steps,
     "k12_backfill_outcomes": _backfill_outcomes,
     "s3_s8_feed_folders": _feed_folders,
     "s5_popular_file_dates": _popular_files,
@@ -622,9 +697,11 @@ MODELS: dict[str, Callable[[Press], DataFrame]] = {
     "k3_k6_loaded_archive": _loaded,
     "k5_k7_loaded_popular": _loaded_popular,
     "k6_insert_only_merge": _insert_only,
+    "k6_merge_by_key_index": _merged_by_index,
     "k7_insert_only_merge_popular": _insert_only_popular,
     "k8_k9_manifest": _manifest,
     "k11_clustered_months": _clustered,
+    "k11_interleaved_desks": _interleaved,
     "k13_s12_layers": _layers,
     "k14_upsert": _upserted,
     "k15_incremental_fct": _incremental,

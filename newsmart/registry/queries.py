@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsmart.functions.exprs import number_text, percent_text
-from newsmart.operators import checks
+from newsmart.operators import checks, results, tables
 from newsmart.operators.flatten import facets_flattened
 from newsmart.plans import core, dashboard, explore, marts, rollups
 from newsmart.registry import loads
@@ -167,12 +167,44 @@ def _top_lists(p: Press) -> DataFrame:
     )
 
 
+def _by_article(flat: DataFrame, *columns: str) -> DataFrame:
+    """Per article the number of flattened rows and a sum over hashes of their texts, which no order changes."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns])
+    part = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("bigint")
+    return flat.groupBy("article_id", "pub_date").agg(F.count(F.lit(1)).alias("n"), F.sum(part).alias("hash_sum"))
+
+
+def _cached_breakdowns(p: Press) -> DataFrame:
+    """A breakdown asked for four times: made, kept, made anew as its table has changed, and again as its hour is over."""
+    mark = p.fresh()
+    source, kept = f"news_models_{p.mark}", f"news_results_{p.mark}_{mark}"
+    tables.create_database(p.spark, source, f"{p.root}/db/models")
+    store = results.ResultStore(p.spark, kept, f"{p.root}/db/results-{mark}")
+    fct = f"{source}.fct_{mark}"
+    tables.write_table(p.fct.where("pub_date < '1998-01-01'"), fct)
+    out = None
+    for step, now in (("made", 1000.0), ("kept", 4599.0), ("changed", 4599.5), ("expired", 8200.0)):
+        if step == "changed":
+            tables.write_table(p.fct.where("pub_date >= '1998-01-01'"), fct, mode="append")
+        found, was_kept = dashboard.cached_breakdown(store, fct, lambda: p.stg, CHOSEN, AS_OF, [], now)
+        rows = found.withColumns({"step": F.lit(step), "was_kept": F.lit(was_kept)})
+        saved = p.saved(f"cached_{mark}_{step}", lambda r=rows: r)
+        out = saved if out is None else out.unionByName(saved)
+    return out
+
+
 MODELS: dict[str, Callable[[Press], DataFrame]] = {
     # staging and unnesting
     "p1_stg_archive_articles": _stg,
     "p2_stg_most_popular_articles": _stg_popular,
     "u1_int_keywords_flattened": lambda p: p.keywords,
     "u2_int_authors_flattened": lambda p: p.authors,
+    "u1_keywords_by_article": lambda p: _by_article(
+        p.keywords, "pub_year", "section_name", "keyword_name", "keyword_value", "keyword_rank", "keyword_major"
+    ),
+    "u2_authors_by_article": lambda p: _by_article(
+        p.authors, "pub_year", "section_name", "firstname", "middlename", "lastname", "qualifier", "author_full_name"
+    ),
     "u3_facets_flattened": lambda p: facets_flattened(p.stg_popular),
     # facts and dimensions
     "c1_fct_articles": lambda p: core.fct_articles(p.stg, p.unique_ids),
@@ -294,6 +326,7 @@ MODELS: dict[str, Callable[[Press], DataFrame]] = {
     "d5_breakdown": lambda p: dashboard.breakdown(_filtered(p, CHOSEN)),
     "d6_top_lists": _top_lists,
     "d7_kept_breakdown": lambda p: dashboard.breakdown(dashboard.kept(_filtered(p, CHOSEN))),
+    "d7_cached_breakdowns": _cached_breakdowns,
     "f1_display_texts": _display,
     # checks
     "v1_v2_declared_checks": _declared_checks,

@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from newsmart.functions.exprs import label, n_rows
 
@@ -20,14 +21,31 @@ DAY_PATTERN = r"(?:^|/)(?:snapshot_date=)?(\d{4}-\d{2}-\d{2})/[^/]+$"
 SNAPSHOT_PATTERN = r"(?:^|/)" + POPULAR_SLIM + r"/(?:snapshot_date=)?(\d{4}-\d{2}-\d{2})/[^/]+$"
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Path, size and time of every file below ``root``. File contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select("path", "length", F.col("modificationTime").alias("modified"))
-    )
+LISTED = "path string, length bigint, modified timestamp"
+
+
+def list_files(spark: SparkSession, root: str, modified_after: str | None = None) -> DataFrame:
+    """Path, size and time of every file below ``root``, which may be a glob. File contents are not read.
+
+    ``modified_after`` is a time of the session's zone, as yyyy-MM-ddTHH:mm:ss; older files are left out.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
+    return reader.load(root).select("path", "length", F.col("modificationTime").alias("modified"))
+
+
+def list_or_none(spark: SparkSession, root: str, modified_after: str | None = None) -> DataFrame:
+    """The same, with no rows where nothing lies at ``root``."""
+    try:
+        return list_files(spark, root, modified_after)
+    except AnalysisException:
+        return spark.createDataFrame([], LISTED)
+
+
+def literal(path: str) -> str:
+    """The path with the characters escaped that a glob gives a meaning."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
 def read_path() -> Column:

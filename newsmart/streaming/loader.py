@@ -44,12 +44,12 @@ def start_loading(
 ) -> StreamingQuery:
     """Loads each batch of new files. The stream's checkpoint skips files seen before; with a new
     checkpoint the manifest does. Files that do not fit stand in the table of refused files, and a
-    backfill tries them again. A batch can come twice, so records without a key are left out."""
+    backfill tries them again. A batch that comes twice is loaded once, as the table's ledger knows its files."""
     if feed not in (ARCHIVE_SLIM, POPULAR_SLIM):
         raise ValueError(f"unknown feed {feed}")
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_records(batch.sparkSession, to, feed, batch, keyless=False)
+        load_records(batch.sparkSession, to, feed, batch)
 
     writer = (
         slim_stream(spark, to, feed, files_per_batch)
