@@ -81,12 +81,20 @@ def patterns(texts: Texts) -> np.ndarray:
         ends = np.minimum(texts.offsets, len(marks))
         return sums[ends[1:]] - sums[ends[:-1]]
 
+    def within(marks: np.ndarray, width: int) -> np.ndarray:
+        """Marks of runs of `width` bytes that don't reach into the next text."""
+        marks = marks.copy()
+        for back in range(1, width):
+            at = texts.offsets[1:-1] - back
+            marks[at[(at >= 0) & (at < len(marks))]] = False
+        return marks
+
     buf = texts.buf
     upper, lower = total(_UPPER[buf]), total(_LOWER[buf])
     bang = buf == ord("!")
     star = buf == ord("*")
-    exclaiming = total(bang[:-1] & bang[1:]) > 0
-    masked = total(_WORD[buf[:-2]] & star[1:-1] & star[2:]) > 0
+    exclaiming = total(within(bang[:-1] & bang[1:], 2)) > 0
+    masked = total(within(_WORD[buf[:-2]] & star[1:-1] & star[2:], 3)) > 0
     return np.stack([(upper > lower) & (upper >= 10), exclaiming, masked], axis=1)
 
 

@@ -71,3 +71,19 @@ def test_scores_do_not_depend_on_the_batch():
     many = np.concatenate([model.scores(t) for t in toxicity.chunks(column, 1)])
     assert np.allclose(one, many)
     assert ((one >= 0.7) == [len({"idiot", "scum"} & set(t.split())) > 1 for t in texts]).all()
+
+
+def test_a_score_is_that_of_the_text_alone():
+    r = random.Random(2)
+    edges = ["!", "!!", "*", "**", "a", "b*", "a**", "hello there!", "!what is it", "ab", "**x", "", "é", "*!", "idiot!", "* *"]
+    texts = [r.choice(edges) + r.choice(["", " ", " fine words "]) + r.choice(edges) for _ in range(400)]
+    model = toxicity.fixed_model()
+    alone = [float(model.scores(t)[0]) for x in texts for t in toxicity.chunks(pa.array([x]))]
+    marks = [tuple(toxicity.patterns(t)[0]) for x in texts for t in toxicity.chunks(pa.array([x]))]
+    for order in (range(400), r.sample(range(400), 400)):
+        column = pa.array([texts[i] for i in order])
+        together = np.concatenate([model.scores(t) for t in toxicity.chunks(column)])
+        found = np.concatenate([toxicity.patterns(t) for t in toxicity.chunks(column)])
+        assert together.tolist() == [alone[i] for i in order]
+        assert [tuple(x) for x in found] == [marks[i] for i in order]
+    assert [m[1:] for m in marks] == [("!!" in x, any(x[i : i + 1].isalpha() and x[i + 1 : i + 3] == "**" for i in range(len(x)))) for x in texts]
