@@ -12,7 +12,7 @@ texts meet the few keys to drop by document id.
 
 Each row is a document of its own for counting. Rows with the same id share the keeper's right to its
 lines. A row without id counts, and comes after all others: it keeps a line only where no row with an id
-has it. Null and empty texts are one empty line.
+has it. Null and empty texts are one empty line. Ids must be whole numbers (or texts of such).
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ LEAST_LENGTH = 40
 LEAST_DOCUMENTS = 5
 BATCHES = 4
 FAN_IN = 2
+#: Keys that a document may lose and still be looked through line by line; beyond, its lines are joined with them.
+FEW = 64
 
 #: What is stripped off a line's ends.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -49,9 +51,10 @@ def key_hash(key: Column) -> Column:
 
 
 def key_hashes(text: Column, least: int = LEAST_LENGTH) -> Column:
-    """The distinct hashes of the text's keys that are long enough."""
+    """The distinct hashes of the text's keys that are long enough, as text: structs would be compared one by one."""
     keys = F.filter(F.transform(lines_of(text), line_key), lambda k: F.char_length(k) >= least)
-    return F.array_distinct(F.transform(keys, key_hash))
+    shown = F.transform(keys, lambda k: F.concat_ws(" ", F.xxhash64(k).cast("string"), F.xxhash64(F.lit(1), k).cast("string")))
+    return F.array_distinct(shown)
 
 
 class Runs:
@@ -124,17 +127,20 @@ def repeated_keys(
     for edge in edges or []:
         batch = batch + F.coalesce(F.col("id") <= F.lit(edge), F.lit(True)).cast("int")
     rows = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.explode(key_hashes(F.col(text), least_length)).alias("k"))
-    rows = rows.select("id", "k.h1", "k.h2", batch.alias("batch"))
+    h1, h2 = (F.substring_index("k", " ", side).cast("bigint") for side in (1, -1))
+    rows = rows.select("id", h1.alias("h1"), h2.alias("h2"), batch.alias("batch"))
     path = stage.path("lines")
     rows.write.partitionBy("batch").parquet(path)
     lines = spark.read.schema("id bigint, h1 bigint, h2 bigint, batch int").parquet(path)
     runs = Runs(spark, stage)
-    for k in range(batches):
-        part = lines.where(F.col("batch") == k)
-        runs.add(part.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last")))
-    often = runs.totals().where(F.col("n") >= least_documents).select(*KEY, "keeper")
-    often = stage.save(often, "often")
-    runs.close()
+    try:
+        for k in range(batches):
+            part = lines.where(F.col("batch") == k)
+            runs.add(part.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last")))
+        often = runs.totals().where(F.col("n") >= least_documents).select(*KEY, "keeper")
+        often = stage.save(often, "often")
+    finally:
+        runs.close()
     lost = lines.join(often, KEY).where(F.coalesce(F.col("id") < F.col("keeper"), F.col("id").isNull() & F.col("keeper").isNotNull()))
     return lost.select("id", F.struct(*KEY).alias("k")).groupBy("id").agg(F.collect_set("k").alias("drop"))
 
@@ -147,22 +153,45 @@ def _without(text: Column, drop: Column, least: int) -> Column:
     return F.when(drop.isNotNull(), F.filter(lines_of(text), stays))
 
 
+def _lines_left(docs: DataFrame, text: str, uid: str, drop: str, least: int) -> DataFrame:
+    """(uid, kept): the lines that stay of documents (with a unique uid) that lose many keys, by a join."""
+    lines = docs.select(F.col(uid).alias("u"), F.posexplode(lines_of(F.col(text))).alias("at", "line"))
+    key = line_key(F.col("line"))
+    lines = lines.withColumn("k", F.when(F.char_length(key) >= least, key_hash(key)))
+    lost = docs.select(F.col(uid).alias("u"), F.explode(drop).alias("k"))
+    stays = lines.join(lost, ["u", "k"], "left_anti").groupBy("u").agg(F.array_sort(F.collect_list(F.struct("at", "line"))).alias("s"))
+    return stays.select(F.col("u").alias(uid), F.col("s.line").alias("kept"))
+
+
 def drop_repeated_lines(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", batches: int = BATCHES, least_length: int = LEAST_LENGTH,
     least_documents: int = LEAST_DOCUMENTS,
 ) -> tuple[DataFrame, str, str, str]:
-    """docs with three more columns, and their names: lines before, lines dropped, the text that stays."""
+    """docs with three more columns, and their names: lines before, lines dropped, the text that stays.
+
+    A document that loses up to FEW keys is looked through line by line. One that loses more is taken apart, and its
+    lines are joined with the keys, so that the work is in proportion to its lines there too.
+    """
     stage = Stage(docs.sparkSession, "lines")
     drops = repeated_keys(docs, doc_id, text, stage, batches, least_length, least_documents)
-    drop_id, drop, kept, n, n_dropped, stays = unused(docs, "drop_id", "drop", "kept", "n_lines", "n_dropped", "kept_text")
-    drops = drops.select(F.col("id").alias(drop_id), F.col("drop").alias(drop))
-    joined = docs.join(drops, F.col(doc_id).cast("bigint").eqNullSafe(F.col(drop_id)), "left")
+    drop_id, drop, kept, n, n_dropped, stays, uid = unused(docs, "drop_id", "drop", "kept", "n_lines", "n_dropped", "kept_text", "uid")
+    drops = stage.save(drops.select(F.col("id").alias(drop_id), F.col("drop").alias(drop)), "drops")
+    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col(drop_id))
+    many = F.size(drop) > FEW
+    joined = docs.join(drops, same, "left")
+    few = joined.where(~F.coalesce(many, F.lit(False))).withColumn(kept, _without(F.col(text), F.col(drop), least_length)).drop(drop_id, drop)
+    if drops.where(many).head(1):
+        rows = docs.join(drops.where(many), same).withColumn(uid, F.monotonically_increasing_id())
+        rows = stage.save(rows, "many")
+        left = _lines_left(rows, text, uid, drop, least_length)
+        none = F.array().cast("array<string>")
+        rows = rows.join(left.withColumnRenamed("kept", kept), uid, "left").withColumn(kept, F.coalesce(F.col(kept), none))
+        few = few.unionByName(rows.select(few.columns))
     whole = F.coalesce(F.col(text), F.lit(""))
-    joined = joined.withColumn(kept, _without(F.col(text), F.col(drop), least_length))
-    joined = joined.withColumn(n, F.size(lines_of(F.col(text))).cast("bigint"))
-    joined = joined.withColumn(n_dropped, F.when(F.col(kept).isNull(), F.lit(0)).otherwise(F.col(n) - F.size(kept)).cast("bigint"))
-    joined = joined.withColumn(stays, F.when(F.col(kept).isNull(), whole).otherwise(F.array_join(kept, "\n")))
-    return joined.drop(drop_id, drop, kept), n, n_dropped, stays
+    out = few.withColumn(n, F.size(lines_of(F.col(text))).cast("bigint"))
+    out = out.withColumn(n_dropped, F.when(F.col(kept).isNull(), F.lit(0)).otherwise(F.col(n) - F.size(kept)).cast("bigint"))
+    out = out.withColumn(stays, F.when(F.col(kept).isNull(), whole).otherwise(F.array_join(kept, "\n")))
+    return out.drop(kept), n, n_dropped, stays
 
 
 def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from newsmart.llm import line_runs
 from newsmart.llm.arrow import Stage
@@ -85,3 +86,32 @@ def test_documents_keep_their_columns(spark):
 
 def test_empty(spark):
     assert line_runs.line_dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+@pytest.mark.parametrize("few", [0, 3])
+def test_documents_that_lose_many_keys(spark, monkeypatch, few):
+    monkeypatch.setattr(line_runs, "FEW", few)
+    docs = case(6) + [(50_000 + i, "\n".join(f"{k} common line that is long enough to be dropped" for k in range(30)) + f"\nown {i}\n") for i in range(6)]
+    docs += [docs[-1], docs[-2], (50_000, docs[0][1])]
+    df = spark.createDataFrame([(*x, "s") for x in docs], "doc_id long, text string, uid string").repartition(3)
+    assert digest(line_runs.line_dedup(df).collect()) == expected(docs)
+    kept = line_runs.documents_without_repeated_lines(df)
+    assert kept.columns == df.columns and kept.count() == len(docs)
+
+
+def test_a_document_of_very_many_dropped_lines(spark):
+    text = "\n".join(f"line {i} of a very long list, long enough to be a key" for i in range(100_000))
+    docs = [(i, text) for i in range(5)]
+    got = line_runs.line_dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(5)).collect()
+    assert sorted((r.doc_id, r.n_lines, r.n_dropped) for r in got) == [(i, 100_000, 100_000 if i < 4 else 0) for i in range(5)]
+
+
+def test_runs_leave_no_tables_behind_when_a_job_fails(spark, monkeypatch):
+    def stop(self, keys):
+        line_runs.Runs._put(self, keys.select("h1", "h2", "n", F.col("last").alias("keeper")), 0)
+        raise OSError("stopped")
+
+    monkeypatch.setattr(line_runs.Runs, "add", stop)
+    with pytest.raises(OSError, match="stopped"):
+        line_runs.line_dedup(spark.createDataFrame(case(1), "doc_id long, text string"))
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("line_run")]
