@@ -236,17 +236,29 @@ def _date(m: Column, key: str) -> tuple[Column, Column]:
 
 
 def _scrambled(m: Column, kind: str, key: str) -> Column:
-    """Letters and digits replaced by those of a keyed digest: small letters, capitals and digits stay such."""
-    many = F.repeat(F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), F.lower(m) if kind == "email" else m), 256), 8)
-    draw = F.transform(F.split(m, ""), lambda c, i: F.struct(c.alias("c"), F.conv(F.substr(many, 2 * (i % 250) + 1, F.lit(2)), 16, 10).cast("int").alias("x")))
+    """Letters and digits replaced by those of a keyed digest: small letters, capitals and digits stay such.
 
-    def put(s: Column) -> Column:
-        letter = F.substr(F.lit(_LETTERS), s["x"] % 26 + 1, F.lit(1))
-        digit = F.substr(F.lit(_DIGITS), s["x"] % 10 + 1, F.lit(1))
-        small, large = s["c"].rlike("[a-z]"), s["c"].rlike("[A-Z]")
-        return F.when(small, letter).when(large, F.upper(letter)).when(s["c"].rlike("[0-9]"), digit).otherwise(s["c"])
+    A digest serves 32 characters; the next ones are made of the first, so the value is digested once.
+    """
 
-    return F.array_join(F.transform(draw, put), "")
+    def put(c: Column, x: Column) -> Column:
+        letter = F.substr(F.lit(_LETTERS), x % 26 + 1, F.lit(1))
+        digit = F.substr(F.lit(_DIGITS), x % 10 + 1, F.lit(1))
+        small, large = c.rlike("[a-z]"), c.rlike("[A-Z]")
+        return F.when(small, letter).when(large, F.upper(letter)).when(c.rlike("[0-9]"), digit).otherwise(c)
+
+    def replaced(digests: Column) -> Column:
+        def draw(c: Column, i: Column) -> Column:
+            return put(c, F.conv(F.substr(F.get(digests, F.shiftright(i, 5)), 2 * (i % 32) + 1, F.lit(2)), 16, 10).cast("int"))
+
+        return F.array_join(F.transform(F.split(m, ""), draw), "")
+
+    def blocks(first: Column) -> Column:
+        more = F.sequence(F.lit(0), F.shiftright(F.char_length(m), 5))
+        return F.transform(more, lambda k: F.when(k == 0, first).otherwise(F.sha2(F.concat_ws("|", first, k.cast("string")), 256)))
+
+    digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), F.lower(m) if kind == "email" else m), 256)
+    return _let(_let(digest, blocks), replaced)
 
 
 def pseudonym(m: Column, value: Column, key: str = KEY) -> Column:
