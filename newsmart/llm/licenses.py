@@ -1,17 +1,24 @@
 """Licence notices in documents, by a trained paragraph classifier that templates confirm.
 
-A paragraph is a line. Its features are the word pairs and single words (ASCII letters lower-cased, digits and
-dots kept) that occur in templates of licence notices and not, as everyday words, in ordinary text. A sparse
-logistic regression gives each family its probability and a last class that of being no notice. It is trained
-on the driver in numpy on variants of the templates and on a bounded sample of paragraphs of the documents,
-and calibrated on variants and paragraphs held back: a temperature, and for each family the probability from
-which its predictions are held for right. A notice below that is of the family `unknown`.
+A paragraph is a line, or a run of following lines: notices in files are often wrapped. Every line is judged by
+itself first, and is a notice of its own if it is confirmed and holds most of a template. Of the others, lines that
+hold a signal word or stand between two that do, and follow one another without a blank line, are then judged
+together; if together they are confirmed they are one notice, else each line stays what it was alone. Comment marks and other signs are no words, so they don't matter.
+
+Features are the word pairs and single words (ASCII letters lower-cased, digits and dots kept) that occur in
+templates of licence notices and not, as everyday words, in ordinary text. A sparse logistic regression gives each
+family its probability, a class `unknown` that of licence-like text of no known family, and a last class that of
+being no notice. It is trained on the driver in numpy on variants of the templates, on licence-like sentences with
+invented names, and on a bounded sample of the documents' lines, and calibrated on variants and lines held back: a
+temperature, and for each family the probability from which its predictions are held for right. A notice below that
+is `unknown` too.
 
 A prediction is confirmed if most of a template's word pairs stand in the paragraph, or most of the
 paragraph's in a template of that family.
 
-Scoring is all DataFrame operations. Only lines with one of the model's signal words are taken apart: the
-signal words are chosen so that a line without any can't reach the threshold, whatever else is in it.
+Scoring is all DataFrame operations. Only lines with one of the model's signal words, and those between two such,
+are taken apart: the signal words are chosen so that a paragraph without any can't reach the threshold, whatever
+else is in it.
 
 Null and empty texts have no notices. Documents are handled row by row, with a row id of their own, so that
 missing and repeated ids do no harm.
@@ -23,14 +30,14 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsmart.llm.arrow import Stage
 
-#: Paragraphs of documents that are learned from as no notices, at most, and the characters of one that are used.
+#: Lines of documents that are learned from as no notices, about, and the characters of the longest such line.
 SAMPLE = 4000
-SAMPLE_CHARS = 2000
+SAMPLE_CHARS = 20_000
 #: Variants of each template to train on, and to calibrate with.
 VARIANTS = (60, 30)
 #: Wrong notices among 1000 accepted paragraphs, at most, in calibration.
@@ -45,6 +52,7 @@ TEMPLATES = {
         "Released under the MIT License.",
         "Licensed under the MIT license. See the LICENSE file for details.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.",
+        "The software is provided as is, without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement.",
         "SPDX-License-Identifier: MIT",
     ],
     "apache": [
@@ -59,6 +67,11 @@ TEMPLATES = {
         "You should have received a copy of the GNU General Public License along with this program.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ],
+    "agpl": [
+        "This program is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ],
     "lgpl": [
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.",
@@ -66,9 +79,31 @@ TEMPLATES = {
     ],
     "bsd": [
         "Released under the BSD 3-Clause License.",
+        "Released under the BSD 2-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software.",
         "SPDX-License-Identifier: BSD-3-Clause",
+        "SPDX-License-Identifier: BSD-2-Clause",
+    ],
+    "isc": [
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "SPDX-License-Identifier: ISC",
+    ],
+    "epl": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "SPDX-License-Identifier: EPL-2.0",
+    ],
+    "unlicense": [
+        "Released under the Unlicense.",
+        "This is free and unencumbered software released into the public domain.",
+        "SPDX-License-Identifier: Unlicense",
+    ],
+    "zlib": [
+        "Released under the zlib License.",
+        "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+        "SPDX-License-Identifier: Zlib",
     ],
     "mpl": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
@@ -99,6 +134,19 @@ TEMPLATES = {
         "No part of this publication may be reproduced without the prior written permission of the publisher.",
     ],
 }
+#: Licence-like sentences of no known family; NAME stands for an invented name.
+GENERIC = (
+    "Licensed under the NAME License, Version 7.",
+    "Licensed under the NAME license. See the LICENSE file for details.",
+    "Released under the NAME License.",
+    "Released under the terms of the NAME Public License, version 4.1.",
+    "This program is distributed under the terms of the NAME Public License.",
+    "This work is licensed under a NAME License.",
+    "Use of this software is governed by the NAME license.",
+    "SPDX-License-Identifier: NAME-1.0",
+    "SPDX-License-Identifier: NAME",
+    "See the LICENSE file for the license terms.",
+)
 #: Words too common to tell a notice.
 EVERYDAY = frozenset(
     "the of and a an to in is this that under at by you we it he she they be are was were been has have had may can could will would "
@@ -127,7 +175,7 @@ def word_pairs(words: Column) -> Column:
 
 @dataclass
 class Model:
-    families: list[str]  # NONE is the last
+    families: list[str]  # UNKNOWN and NONE are the last
     weights: dict[str, list[float]]
     bias: list[float]
     temperature: float
@@ -158,6 +206,10 @@ def _variants(rng: np.random.Generator, many: int) -> list[tuple[list[str], str]
                 for _ in range(int(rng.integers(0, 3))):
                     own.insert(int(rng.integers(0, len(own) + 1)) * int(len(own) > 8) or 0, str(rng.choice(filler)))
                 out.append((own, family))
+    for sentence in GENERIC:
+        for _ in range(many):
+            name = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), int(rng.integers(2, 9))))
+            out.append((words_of(sentence.replace("NAME", name)), UNKNOWN))
     return out
 
 
@@ -178,9 +230,9 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 def train(ordinary: list[str], seed: int = 3) -> Model:
     """A model from the templates and from paragraphs of which nearly all are no notices."""
     rng = np.random.default_rng(seed)
-    families = [*TEMPLATES, NONE]
-    known = [words_of(t) for ts in TEMPLATES.values() for t in ts]
-    vocabulary = {f for w in known for f in (*w, *pairs_of(w))}
+    families = [*TEMPLATES, UNKNOWN, NONE]
+    known = [words_of(t) for ts in TEMPLATES.values() for t in ts] + [words_of(t) for t in GENERIC]
+    vocabulary = {f for w in known for f in (*w, *pairs_of(w)) if "name" not in f.split() or f == "the name"}
     # paragraphs that are templates themselves teach the wrong thing
     notices = {tuple(w) for w in known}
     plain = [w for w in map(words_of, ordinary) if w and tuple(w) not in notices and not ({"license", "licensed", "copyright", "licence"} & set(w))]
@@ -224,7 +276,7 @@ def train(ordinary: list[str], seed: int = 3) -> Model:
         order = own[np.argsort(-p[own, k])]
         wrong = np.cumsum(y[order] != k)
         fine = np.flatnonzero(1000 * wrong <= WRONG_PER_1000 * np.arange(1, len(order) + 1))
-        least[family] = float(p[order[fine[-1]], k]) if len(fine) else 1.0
+        least[family] = float(p[order[fine[-1]], k]) - 1e-9 if len(fine) else 1.0  # sums in another order are reached too
     weights = {f: [float(v) for v in w[i]] for f, i in features.items() if np.any(w[i])}
     return Model(families, weights, [float(v) for v in b], t, least, _signals(weights, b))
 
@@ -249,54 +301,81 @@ def _signals(weights: dict[str, list[float]], bias: np.ndarray) -> list[str]:
 
 
 def ordinary_paragraphs(docs: DataFrame, text: str = "text") -> list[str]:
-    """A bounded sample of the documents' lines, chosen by their hash."""
-    lines = docs.select(F.explode(F.split(F.col(text).cast("string"), "\n")).alias("t")).where("length(trim(t)) > 0")
+    """A bounded sample of the documents' lines, chosen by their hash; lines over SAMPLE_CHARS are left out."""
+    lines = docs.select(F.explode(F.split(F.col(text).cast("string"), "\n")).alias("t"))
+    lines = lines.where("length(trim(t)) > 0").where(F.char_length("t") <= SAMPLE_CHARS)
     n = lines.count()
     if not n:
         return []
     part = F.pmod(F.xxhash64("t"), F.lit(1 << 30)) < int(min(1.0, SAMPLE / n) * (1 << 30))
-    rows = lines.where(part).select(F.substring("t", 1, SAMPLE_CHARS).alias("t")).distinct().limit(2 * SAMPLE).collect()
-    return sorted(r.t for r in rows)
+    return sorted(r.t for r in lines.where(part).distinct().limit(2 * SAMPLE).collect())
 
 
 def _signal(model: Model) -> str:
     return "(?i)(?<![a-z0-9])(?:" + "|".join(re.escape(w) for w in model.signals) + ")(?![a-z0-9])"
 
 
-def notices(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """docs' rows (uid, text) as one row for each notice: uid, line_no, line, family, score, shared, confirmed."""
-    spark = docs.sparkSession
-    signal = _signal(model)
-    maybe = docs.where(F.col(text).rlike(signal)).select("uid", F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "line"))
-    maybe = maybe.where(F.col("line").rlike(signal)).withColumn("words", line_words(F.col("line")))
-    maybe = maybe.withColumn("pairs", F.array_distinct(word_pairs(F.col("words"))))
+def _judged(paragraphs: DataFrame, model: Model) -> DataFrame:
+    """Paragraphs (uid, line_no, line, words) that are notices, with family, score, shared, confirmed."""
+    spark = paragraphs.sparkSession
+    maybe = paragraphs.withColumn("pairs", F.array_distinct(word_pairs(F.col("words"))))
     grams = maybe.select("uid", "line_no", F.explode(F.array_distinct(F.concat("words", "pairs"))).alias("f"))
     k = len(model.families)
     # the model's features: as many rows as the templates have words and pairs
     table = F.broadcast(spark.createDataFrame([(f, *map(float, v)) for f, v in sorted(model.weights.items())], "f string, " + ", ".join(f"w{i} double" for i in range(k))))
     sums = grams.join(table, "f").groupBy("uid", "line_no").agg(*[F.sum(F.col(f"w{i}").cast("decimal(30,15)")).cast("double").alias(f"w{i}") for i in range(k)])
-    logits = [(F.col(f"w{i}") + F.lit(model.bias[i])) / F.lit(model.temperature) for i in range(k)]
-    top = F.greatest(*logits)
-    total = sum((F.exp(x - top) for x in logits), F.lit(0.0))
-    family, score, least = F.lit(None).cast("string"), 1 / total, F.lit(1.0)
-    for i in reversed(range(k)):
-        family = F.when(logits[i] == top, F.lit(model.families[i])).otherwise(family)
-        least = F.when(logits[i] == top, F.lit(model.least.get(model.families[i], 1.0))).otherwise(least)
-    found = sums.select("uid", "line_no", family.alias("guess"), score.alias("score"), least.alias("least")).where(F.col("guess") != NONE)
-    lines = maybe.join(found, ["uid", "line_no"])
-    shared = F.lit(0.0)
-    for name, templates in TEMPLATES.items():
-        parts = []
-        for t in templates:
-            pairs = sorted(set(pairs_of(words_of(t))))
-            smaller = F.greatest(F.least(F.size("pairs"), F.lit(len(pairs))), F.lit(1))
-            parts.append(F.size(F.array_intersect("pairs", F.lit(pairs))) / smaller)
-        best = F.greatest(*parts) if len(parts) > 1 else parts[0]
-        shared = F.when(F.col("guess") == name, best).otherwise(shared)
-    lines = lines.withColumn("shared", shared)
+    logits = F.array(*[(F.col(f"w{i}") + F.lit(model.bias[i])) / F.lit(model.temperature) for i in range(k)])
+    top = F.array_max("z")
+    place = F.array_position("z", top).cast("int")
+    total = F.aggregate("z", F.lit(0.0), lambda a, x: a + F.exp(x - top))
+    least = F.array(*[F.lit(float(model.least.get(f, 1.0))) for f in model.families])
+    found = sums.select("uid", "line_no", logits.alias("z")).select(
+        "uid", "line_no", F.element_at(F.lit(model.families), place).alias("guess"), (1 / total).alias("score"), F.element_at(least, place).alias("least")
+    )
+    lines = maybe.join(found.where(F.col("guess") != NONE), ["uid", "line_no"])
+    # the templates' pairs: a row for each template
+    known = [(f, sorted(set(pairs_of(words_of(t))))) for f, ts in TEMPLATES.items() for t in ts]
+    templates = F.broadcast(spark.createDataFrame(known, "guess string, template array<string>"))
+    smaller = F.greatest(F.least(F.size("pairs"), F.size("template")), F.lit(1))
+    part = F.coalesce(F.size(F.array_intersect("pairs", "template")) / smaller, F.lit(0.0))
+    cover = F.coalesce(F.size(F.array_intersect("pairs", "template")) / F.greatest(F.size("template"), F.lit(1)), F.lit(0.0))
+    best = lines.join(templates, "guess", "left").groupBy("uid", "line_no", "guess", "score", "least").agg(
+        F.max(part).alias("shared"), F.max(cover).alias("cover"), F.first("line").alias("line")
+    )
     sure = F.col("score") >= F.col("least")
     named = F.when(sure, F.col("guess")).otherwise(F.lit(UNKNOWN))
-    return lines.select("uid", "line_no", "line", named.alias("family"), "score", "shared", (sure & (F.col("shared") >= SHARED)).alias("confirmed"))
+    confirmed = sure & (F.col("shared") >= SHARED)
+    return best.select("uid", "line_no", "line", named.alias("family"), "score", "shared", confirmed.alias("confirmed"), (confirmed & (F.col("cover") >= SHARED)).alias("whole"))
+
+
+def notices(docs: DataFrame, model: Model, text: str = "text", stage: Stage | None = None) -> DataFrame:
+    """docs' rows (uid, text) as one row for each notice: uid, line_no (its first), line, family, score, shared, confirmed."""
+    stage = stage or Stage(docs.sparkSession, "licenses")
+    signal = _signal(model)
+    split = docs.where(F.col(text).rlike(signal)).select("uid", F.split(F.col(text), "\n").alias("lines"))
+    split = split.withColumn("marks", F.transform("lines", lambda x: x.rlike(signal)))
+    chosen = F.transform(
+        "lines",
+        lambda x, i: F.struct(
+            x.alias("line"), i.alias("line_no"), F.get("marks", i).alias("signal"),
+            (F.coalesce(F.get("marks", i - 1), F.lit(False)) & F.coalesce(F.get("marks", i + 1), F.lit(False)) & x.rlike("[A-Za-z0-9]")).alias("between"),
+        ),
+    )
+    taken = split.select("uid", F.explode(F.filter(chosen, lambda x: x["signal"] | x["between"])).alias("x"))
+    taken = taken.select("uid", "x.line_no", "x.line", "x.signal").withColumn("words", line_words(F.col("line")))
+    taken = stage.save(taken, "lines")
+    alone = stage.save(_judged(taken.where("signal").drop("signal"), model), "alone")
+    open_lines = taken.join(alone.where("whole"), ["uid", "line_no"], "left_anti")
+    # lines that follow one another differ in number as they do in place; a document's lines at most are in a window
+    run = F.col("line_no") - F.row_number().over(Window.partitionBy("uid").orderBy("line_no"))
+    runs = open_lines.withColumn("run", run).groupBy("uid", "run").agg(F.array_sort(F.collect_list(F.struct("line_no", "line", "words"))).alias("own"))
+    runs = runs.where(F.size("own") > 1).select(
+        "uid", F.element_at("own", 1)["line_no"].alias("line_no"), F.array_join("own.line", "\n").alias("line"), F.flatten("own.words").alias("words"),
+        F.element_at("own", -1)["line_no"].alias("last"),
+    )
+    together = stage.save(_judged(runs.drop("last"), model).where("confirmed").join(runs.select("uid", "line_no", "last"), ["uid", "line_no"]), "together")
+    parts = together.select("uid", F.explode(F.sequence("line_no", "last")).alias("line_no"))
+    return alone.join(parts, ["uid", "line_no"], "left_anti").unionByName(together.drop("last")).drop("whole")
 
 
 def fit(docs: DataFrame, text: str = "text") -> Model:
@@ -310,7 +389,7 @@ def licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model:
     model = model or fit(rows)
     rows = rows.withColumn("uid", F.monotonically_increasing_id())
     staged = stage.save(rows.select("uid", "doc", F.when(F.col("text").rlike(_signal(model)), F.col("text")).alias("text")), "docs")
-    found = stage.save(notices(staged, model), "notices")
+    found = stage.save(notices(staged, model, stage=stage), "notices")
     each = found.groupBy("uid").agg(
         F.count(F.lit(1)).alias("n_notices"), F.count_if("confirmed").alias("n_confirmed"), F.count_if(F.col("family") == UNKNOWN).alias("n_unknown"),
         F.array_join(F.sort_array(F.collect_set(F.when(F.col("confirmed"), F.col("family")))), ",").alias("families"),

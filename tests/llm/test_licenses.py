@@ -1,6 +1,7 @@
 """Licence scans: templates and variants are found, ordinary text isn't, and the plan gives the model's own scores."""
 
 import re
+import textwrap
 
 import pytest
 
@@ -68,3 +69,32 @@ def test_odd_rows(spark, model):
     got = sorted(((r.doc_id, r.n_notices, r.families) for r in licenses.licenses(docs, model=model).collect()), key=repr)
     assert got == [(1, 0, ""), (2, 0, ""), (2, 1, "mit"), (None, 1, "reserved")]
     assert licenses.licenses(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * "])
+def test_wrapped_notices_are_found(spark, model, mark):
+    cases = [(f, t, w) for f, ts in licenses.TEMPLATES.items() for t in ts for w in (40, 60, 80)]
+    texts = ["ordinary words before it\n\n" + "\n".join(mark + x for x in textwrap.wrap(t, w, break_on_hyphens=False)) + "\n\nand after it" for _, t, w in cases]
+    got = {r.doc_id: r for r in licenses.licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model=model).collect()}
+    right = [got[i].families == f and got[i].n_confirmed >= 1 for i, (f, _, _) in enumerate(cases)]
+    assert sum(right) >= 0.95 * len(cases), [c for c, r in zip(cases, right, strict=True) if not r]
+
+
+def test_licences_that_are_no_template(spark, model):
+    lines = {
+        "SPDX-License-Identifier: ISC": {"isc"}, "EPL-2.0": {""}, "SPDX-License-Identifier: EPL-2.0": {"epl"}, "Released under the Unlicense.": {"unlicense"},
+        "Released under the zlib license": {"zlib"}, "Released under the BSD 2-Clause license": {"bsd"},
+        "This file is licensed under the GNU Affero General Public License, version 3": {"agpl"},
+        "Licensed under the Foo License, Version 7.": {""}, "Released under the terms of the Quux Public License.": {""}, "SPDX-License-Identifier: Frob-2.0": {""},
+    }
+    got = {r.doc_id: r for r in licenses.licenses(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), model=model).collect()}
+    for i, (line, families) in enumerate(lines.items()):
+        assert got[i].families in families | {""}, line  # never a wrong family
+        if line != "EPL-2.0":
+            assert got[i].n_confirmed or got[i].n_unknown, line  # and never silent
+
+
+def test_neighbouring_notices_stay_apart(spark, model):
+    text = "Released under the MIT License.\nAll rights reserved.\nLicensed under the Apache License, Version 2.0.\n\nx"
+    (row,) = licenses.licenses(spark.createDataFrame([(1, text)], "doc_id long, text string"), model=model).collect()
+    assert (row.n_notices, row.n_confirmed, row.families) == (3, 3, "apache,mit,reserved")
