@@ -7,8 +7,9 @@ largest of all, its keeper. The batch then adds its own run: (key hash, document
 are tables bucketed and sorted by the hash. When a level has FAN_IN runs they are merged into one run of
 the next level, counts added up. At the end the runs say how often each key occurs and who keeps it.
 
-Keys are told apart by 128 bits of hash. Only columns of hashes and ids are written or joined by key; the
-texts meet the few keys to drop by document id.
+Keys are told apart by 128 bits of hash. Only columns of hashes, ids and line numbers are written or joined by key;
+the texts meet the numbers of the lines they lose by document id and a hash of the text, as an id may come again with
+another text. All steps take time in proportion to a document's lines.
 
 Each row is a document of its own for counting. Rows with the same id share the keeper's right to its
 lines. A row without id counts, and comes after all others: it keeps a line only where no row with an id
@@ -29,8 +30,6 @@ LEAST_LENGTH = 40
 LEAST_DOCUMENTS = 5
 BATCHES = 4
 FAN_IN = 2
-#: Keys that a document may lose and still be looked through line by line; beyond, its lines are joined with them.
-FEW = 64
 
 #: What is stripped off a line's ends.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -50,11 +49,20 @@ def key_hash(key: Column) -> Column:
     return F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(1), key).alias("h2"))
 
 
-def key_hashes(text: Column, least: int = LEAST_LENGTH) -> Column:
-    """The distinct hashes of the text's keys that are long enough, as text: structs would be compared one by one."""
-    keys = F.filter(F.transform(lines_of(text), line_key), lambda k: F.char_length(k) >= least)
-    shown = F.transform(keys, lambda k: F.concat_ws(" ", F.xxhash64(k).cast("string"), F.xxhash64(F.lit(1), k).cast("string")))
-    return F.array_distinct(shown)
+def keyed_lines(text: Column, least: int = LEAST_LENGTH) -> Column:
+    """(k, at) for each distinct key that is long enough, at -1, and for each line that has such a key, at its number.
+
+    k is the key's hash as text: sets of structs would be compared one by one.
+    """
+
+    def shown(key: Column) -> Column:
+        both = F.concat_ws(" ", F.xxhash64(key).cast("string"), F.xxhash64(F.lit(1), key).cast("string"))
+        return F.when(F.char_length(key) >= least, both)
+
+    every = F.transform(lines_of(text), lambda line, i: F.struct(shown(line_key(line)).alias("k"), i.alias("at")))
+    long = F.filter(every, lambda x: x["k"].isNotNull())
+    once = F.transform(F.array_distinct(F.transform(long, lambda x: x["k"])), lambda k: F.struct(k.alias("k"), F.lit(-1).alias("at")))
+    return F.concat(once, long)
 
 
 class Runs:
@@ -119,79 +127,65 @@ def repeated_keys(
     docs: DataFrame, doc_id: str, text: str, stage: Stage, batches: int = BATCHES, least_length: int = LEAST_LENGTH,
     least_documents: int = LEAST_DOCUMENTS,
 ) -> DataFrame:
-    """(id, drop): for each id the hashes of the keys that lose their lines in its documents."""
+    """(id, t, drop): for each id and text hash the numbers of the lines that go."""
     spark = docs.sparkSession
     ids = docs.select(F.col(doc_id).cast("bigint").alias("id"))
     edges = ids.agg(F.percentile_approx("id", [k / batches for k in range(1, batches)], 10_000)).first()[0] if batches > 1 else None
     batch = F.lit(0)
     for edge in edges or []:
         batch = batch + F.coalesce(F.col("id") <= F.lit(edge), F.lit(True)).cast("int")
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.explode(key_hashes(F.col(text), least_length)).alias("k"))
-    h1, h2 = (F.substring_index("k", " ", side).cast("bigint") for side in (1, -1))
-    rows = rows.select("id", h1.alias("h1"), h2.alias("h2"), batch.alias("batch"))
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("id"), text_hash(F.col(text)).alias("t"), F.explode(keyed_lines(F.col(text), least_length)).alias("x"))
+    h1, h2 = (F.substring_index("x.k", " ", side).cast("bigint") for side in (1, -1))
+    rows = rows.select("id", "t", F.col("x.at").alias("at"), h1.alias("h1"), h2.alias("h2"), batch.alias("batch"))
     path = stage.path("lines")
     rows.write.partitionBy("batch").parquet(path)
-    lines = spark.read.schema("id bigint, h1 bigint, h2 bigint, batch int").parquet(path)
+    lines = spark.read.schema("id bigint, t bigint, at int, h1 bigint, h2 bigint, batch int").parquet(path)
     runs = Runs(spark, stage)
     try:
         for k in range(batches):
-            part = lines.where(F.col("batch") == k)
+            part = lines.where((F.col("batch") == k) & (F.col("at") < 0))
             runs.add(part.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last")))
         often = runs.totals().where(F.col("n") >= least_documents).select(*KEY, "keeper")
         often = stage.save(often, "often")
     finally:
         runs.close()
-    lost = lines.join(often, KEY).where(F.coalesce(F.col("id") < F.col("keeper"), F.col("id").isNull() & F.col("keeper").isNotNull()))
-    return lost.select("id", F.struct(*KEY).alias("k")).groupBy("id").agg(F.collect_set("k").alias("drop"))
+    lost = lines.where(F.col("at") >= 0).join(often, KEY)
+    lost = lost.where(F.coalesce(F.col("id") < F.col("keeper"), F.col("id").isNull() & F.col("keeper").isNotNull()))
+    return lost.groupBy("id", "t").agg(F.collect_set("at").alias("drop"))
 
 
-def _without(text: Column, drop: Column, least: int) -> Column:
-    def stays(line: Column) -> Column:
-        key = line_key(line)
-        return (F.char_length(key) < least) | ~F.array_contains(drop, key_hash(key))
+def text_hash(text: Column) -> Column:
+    """Tells texts with the same id apart."""
+    return F.xxhash64(text)
 
-    return F.when(drop.isNotNull(), F.filter(lines_of(text), stays))
 
+def _without(text: Column, drop: Column) -> Column:
+    """The lines but those whose numbers are in drop; null where drop is."""
 
-def _lines_left(docs: DataFrame, text: str, uid: str, drop: str, least: int) -> DataFrame:
-    """(uid, kept): the lines that stay of documents (with a unique uid) that lose many keys, by a join."""
-    lines = docs.select(F.col(uid).alias("u"), F.posexplode(lines_of(F.col(text))).alias("at", "line"))
-    key = line_key(F.col("line"))
-    lines = lines.withColumn("k", F.when(F.char_length(key) >= least, key_hash(key)))
-    lost = docs.select(F.col(uid).alias("u"), F.explode(drop).alias("k"))
-    stays = lines.join(lost, ["u", "k"], "left_anti").groupBy("u").agg(F.array_sort(F.collect_list(F.struct("at", "line"))).alias("s"))
-    return stays.select(F.col("u").alias(uid), F.col("s.line").alias("kept"))
+    def kept(lines: Column) -> Column:
+        numbers = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), drop)
+        return F.transform(numbers, lambda i: F.get(lines, i))
+
+    return F.when(drop.isNotNull(), F.element_at(F.transform(F.array(lines_of(text)), kept), 1))
 
 
 def drop_repeated_lines(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", batches: int = BATCHES, least_length: int = LEAST_LENGTH,
     least_documents: int = LEAST_DOCUMENTS,
 ) -> tuple[DataFrame, str, str, str]:
-    """docs with three more columns, and their names: lines before, lines dropped, the text that stays.
-
-    A document that loses up to FEW keys is looked through line by line. One that loses more is taken apart, and its
-    lines are joined with the keys, so that the work is in proportion to its lines there too.
-    """
+    """docs with three more columns, and their names: lines before, lines dropped, the text that stays."""
     stage = Stage(docs.sparkSession, "lines")
     drops = repeated_keys(docs, doc_id, text, stage, batches, least_length, least_documents)
-    drop_id, drop, kept, n, n_dropped, stays, uid = unused(docs, "drop_id", "drop", "kept", "n_lines", "n_dropped", "kept_text", "uid")
-    drops = stage.save(drops.select(F.col("id").alias(drop_id), F.col("drop").alias(drop)), "drops")
-    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col(drop_id))
-    many = F.size(drop) > FEW
+    drop_id, drop_text, drop, kept, n, n_dropped, stays = unused(docs, "drop_id", "drop_text", "drop", "kept", "n_lines", "n_dropped", "kept_text")
+    drops = drops.select(F.col("id").alias(drop_id), F.col("t").alias(drop_text), F.col("drop").alias(drop))
+    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col(drop_id)) & (text_hash(F.col(text)) == F.col(drop_text))
     joined = docs.join(drops, same, "left")
-    few = joined.where(~F.coalesce(many, F.lit(False))).withColumn(kept, _without(F.col(text), F.col(drop), least_length)).drop(drop_id, drop)
-    if drops.where(many).head(1):
-        rows = docs.join(drops.where(many), same).withColumn(uid, F.monotonically_increasing_id())
-        rows = stage.save(rows, "many")
-        left = _lines_left(rows, text, uid, drop, least_length)
-        none = F.array().cast("array<string>")
-        rows = rows.join(left.withColumnRenamed("kept", kept), uid, "left").withColumn(kept, F.coalesce(F.col(kept), none))
-        few = few.unionByName(rows.select(few.columns))
     whole = F.coalesce(F.col(text), F.lit(""))
-    out = few.withColumn(n, F.size(lines_of(F.col(text))).cast("bigint"))
-    out = out.withColumn(n_dropped, F.when(F.col(kept).isNull(), F.lit(0)).otherwise(F.col(n) - F.size(kept)).cast("bigint"))
-    out = out.withColumn(stays, F.when(F.col(kept).isNull(), whole).otherwise(F.array_join(kept, "\n")))
-    return out.drop(kept), n, n_dropped, stays
+    joined = joined.withColumn(kept, _without(F.col(text), F.col(drop)))
+    joined = joined.withColumn(n, F.size(lines_of(F.col(text))).cast("bigint"))
+    joined = joined.withColumn(n_dropped, F.when(F.col(kept).isNull(), F.lit(0)).otherwise(F.col(n) - F.size(kept)).cast("bigint"))
+    joined = joined.withColumn(stays, F.when(F.col(kept).isNull(), whole).otherwise(F.array_join(kept, "\n")))
+    return joined.drop(drop_id, drop_text, drop, kept), n, n_dropped, stays
 
 
 def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

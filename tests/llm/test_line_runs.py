@@ -88,9 +88,7 @@ def test_empty(spark):
     assert line_runs.line_dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
-@pytest.mark.parametrize("few", [0, 3])
-def test_documents_that_lose_many_keys(spark, monkeypatch, few):
-    monkeypatch.setattr(line_runs, "FEW", few)
+def test_documents_that_lose_many_keys(spark):
     docs = case(6) + [(50_000 + i, "\n".join(f"{k} common line that is long enough to be dropped" for k in range(30)) + f"\nown {i}\n") for i in range(6)]
     docs += [docs[-1], docs[-2], (50_000, docs[0][1])]
     df = spark.createDataFrame([(*x, "s") for x in docs], "doc_id long, text string, uid string").repartition(3)
