@@ -134,7 +134,9 @@ def repeated_keys(
     batch = F.lit(0)
     for edge in edges or []:
         batch = batch + F.coalesce(F.col("id") <= F.lit(edge), F.lit(True)).cast("int")
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("id"), text_hash(F.col(text)).alias("t"), F.explode(keyed_lines(F.col(text), least_length)).alias("x"))
+    # the text's hash is taken below the explode, which would carry the text along with every line otherwise
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("id"), text_hash(F.col(text)).alias("t"), keyed_lines(F.col(text), least_length).alias("x"))
+    rows = rows.select("id", "t", F.explode("x").alias("x"))
     h1, h2 = (F.substring_index("x.k", " ", side).cast("bigint") for side in (1, -1))
     rows = rows.select("id", "t", F.col("x.at").alias("at"), h1.alias("h1"), h2.alias("h2"), batch.alias("batch"))
     path = stage.path("lines")
