@@ -55,14 +55,16 @@ def keyed_lines(text: Column, least: int = LEAST_LENGTH) -> Column:
     k is the key's hash as text: sets of structs would be compared one by one.
     """
 
-    def shown(key: Column) -> Column:
-        both = F.concat_ws(" ", F.xxhash64(key).cast("string"), F.xxhash64(F.lit(1), key).cast("string"))
-        return F.when(F.char_length(key) >= least, both)
+    keys = F.transform(lines_of(text), lambda line, i: F.struct(line_key(line).alias("k"), i.alias("at")))
+    long = F.filter(keys, lambda x: F.char_length(x["k"]) >= least)
+    both = lambda k: F.concat_ws(" ", F.xxhash64(k).cast("string"), F.xxhash64(F.lit(1), k).cast("string"))
+    hashed = F.transform(long, lambda x: F.struct(both(x["k"]).alias("k"), x["at"].alias("at")))
 
-    every = F.transform(lines_of(text), lambda line, i: F.struct(shown(line_key(line)).alias("k"), i.alias("at")))
-    long = F.filter(every, lambda x: x["k"].isNotNull())
-    once = F.transform(F.array_distinct(F.transform(long, lambda x: x["k"])), lambda k: F.struct(k.alias("k"), F.lit(-1).alias("at")))
-    return F.concat(once, long)
+    def with_keys(own: Column) -> Column:
+        once = F.array_distinct(F.transform(own, lambda x: x["k"]))
+        return F.concat(F.transform(once, lambda k: F.struct(k.alias("k"), F.lit(-1).alias("at"))), own)
+
+    return F.element_at(F.transform(F.array(hashed), with_keys), 1)  # hashed once
 
 
 class Runs:
@@ -136,7 +138,8 @@ def repeated_keys(
         batch = batch + F.coalesce(F.col("id") <= F.lit(edge), F.lit(True)).cast("int")
     # the text's hash is taken below the explode, which would carry the text along with every line otherwise
     rows = docs.select(F.col(doc_id).cast("bigint").alias("id"), text_hash(F.col(text)).alias("t"), keyed_lines(F.col(text), least_length).alias("x"))
-    rows = rows.select("id", "t", F.explode("x").alias("x"))
+    # outer, as Spark would else ask beforehand whether the array is empty, and make it once more for that
+    rows = rows.select("id", "t", F.explode_outer("x").alias("x")).where("x IS NOT NULL")
     h1, h2 = (F.substring_index("x.k", " ", side).cast("bigint") for side in (1, -1))
     rows = rows.select("id", "t", F.col("x.at").alias("at"), h1.alias("h1"), h2.alias("h2"), batch.alias("batch"))
     path = stage.path("lines")
