@@ -2,8 +2,8 @@
 
 The corpus is cut into pieces (see `pieces`): equal strings lie in pieces of one key. Keys, counted over all
 documents, leave only pieces whose key is found again. Equal pieces are kept once, with a mark that there are
-several. Where a key has unequal pieces, these are compared: their texts are dealt into slots of bounded
-size, and within a slot a Burrows-Wheeler transform is searched by threshold-bounded interval expansion.
+several. The pieces of all these keys are compared: their texts are dealt into slots of bounded size, and
+within a slot a Burrows-Wheeler transform is searched by threshold-bounded interval expansion.
 Starting from the interval of the empty string, breadth first, each interval is extended backward by every
 byte that precedes it; an interval whose end has no common-prefix value yet gets the current length there and
 is extended further. Values so come in rising order, and the search stops at the wanted length: ends without
@@ -243,18 +243,16 @@ def repeated_spans(docs: DataFrame, stage: Stage, length: int = LENGTH, key_byte
     staged = stage.save(with_pieces(docs.withColumn("uid", F.monotonically_increasing_id()), length), "docs")
     rows = staged.select("uid", F.explode(F.arrays_zip(*_ARRAYS)).alias("p"))
     rows = rows.select("uid", F.col("p.keys").alias("key"), F.col("p.marks").alias("mark"), F.col("p.first").alias("first"), F.col("p.n").alias("n"))
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("mark").alias("a"), F.max("mark").alias("b")).where("rows > 1")
-    shared = stage.save(shared.select("key", (F.col("a") != F.col("b")).alias("varied")), "shared")
-    again = stage.save(rows.join(shared, "key"), "again")
-    # unequal pieces of a key, each once, with one place of it
-    each = again.where("varied").groupBy("key", "mark").agg((F.count(F.lit(1)) > 1).alias("several"), F.min(F.struct("uid", "first", "n")).alias("at"))
+    shared = stage.save(rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("key"), "shared")
+    again = stage.save(rows.join(shared, "key", "left_semi"), "again")
+    # the pieces of a key, equal ones once, with one place of each
+    each = again.groupBy("key", "mark").agg((F.count(F.lit(1)) > 1).alias("several"), F.min(F.struct("uid", "first", "n")).alias("at"))
     wanted = each.groupBy("at.uid").agg(F.collect_list(F.struct("key", "mark", "several", F.col("at.first").alias("first"), F.col("at.n").alias("n"))).alias("w"))
     texts = staged.select("uid", F.col("text").cast("binary").alias("raw")).join(wanted, "uid").select("raw", F.explode("w").alias("w"))
     work = texts.select("w.key", "w.mark", "w.several", F.substring("raw", F.col("w.first") + 1, F.col("w.n") + (length - 1)).alias("body"))
     found = repeats_in_pieces(stage.save(work, "work"), stage, length, key_bytes)
-    starts = again.where("varied").join(found, ["key", "mark"]).select("uid", (F.col("first") + F.col("start")).alias("a"), (F.col("first") + F.col("stop") - 1 + length).alias("b"))
-    equal = again.where("NOT varied").select("uid", F.col("first").cast("bigint").alias("a"), (F.col("first") + F.col("n") - 1 + length).cast("bigint").alias("b"))
-    spans = starts.unionByName(equal).groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans"))
+    starts = again.join(found, ["key", "mark"]).select("uid", (F.col("first") + F.col("start")).alias("a"), (F.col("first") + F.col("stop") - 1 + length).alias("b"))
+    spans = starts.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans"))
     return staged.drop(*_ARRAYS), stage.save(spans, "spans")
 
 
