@@ -138,3 +138,19 @@ def test_overlaps_count_shared_values():
         for j in range(9):
             if i != j:
                 assert got[i, j] == len(np.intersect1d(sets[i], sets[j]))
+
+
+def test_estimates_are_the_shared_part_of_the_unions_sketch():
+    r = np.random.default_rng(3)
+    top = np.iinfo(np.uint64).max
+    sets = [np.unique(r.integers(0, 400, n).astype(np.uint64)) for n in (1, 5, 63, 64, 90, 200, 300, 400)]
+    sets += [sets[4], np.array([top], np.uint64), np.array([1, top], np.uint64)]
+    low = np.full((len(sets), near_dup.SKETCH), top, np.uint64)
+    for i, s in enumerate(sets):
+        low[i, : min(len(s), near_dup.SKETCH)] = s[: near_dup.SKETCH]
+    a, b = np.nonzero(np.ones((len(sets), len(sets)), dtype=bool))
+    got = near_dup.union_estimates(low, np.array([len(s) for s in sets]), a, b)
+    for i, j, estimate in zip(a, b, got, strict=True):
+        union = np.union1d(sets[i], sets[j])[: near_dup.SKETCH]
+        both = np.isin(union, sets[i]) & np.isin(union, sets[j])
+        assert estimate == both.sum() / len(union)
