@@ -4,14 +4,13 @@ Every document gets counts over its whole text. A rule compares a rate with a cu
 class of document length). Cutoffs come from labelled documents: for each rule and stratum the cutoffs
 are tested from the laxest to the strictest, each by an exact (Clopper-Pearson) upper bound on the rate
 of good documents that the cutoff rejects, and the last one that passes before the first failure is used.
-The order is fixed beforehand, so one level holds for a whole sequence; the risk is divided among the
-sequences, and one that passes to its end hands its share to those still open (Holm, as a graph). A stratum
-with too few labels to certify anything is pooled with its neighbours until there are enough; which strata
-form a pool depends on the numbers of labels only. If all strata together don't suffice for an even share,
-the first rule is tested with the whole risk and the next after it. With probability 1 - DELTA every rule
-rejects no more than ALPHA of the good documents of every stratum tested by itself and of every pool; in a
-pooled stratum it also rejects no more than ALPHA of the stratum's own good labels. A rule in a stratum
-without labels, or without enough labels in all strata together, rejects nothing; `cutoff_report` tells.
+The order is fixed beforehand, so one level holds for a whole sequence; the risk is divided evenly among the
+sequences, and one that passes to its end hands its share to those still open (Holm, as a graph). Every
+stratum is tested on its own labels alone. The rate allowed in it is ALPHA, or, where its labels are too few
+to certify ALPHA at an even share of the risk, the lowest rate that they can certify (`allowed_rate`), which
+depends on their number only. A stratum that can't certify MOST_ALPHA has no rules and rejects nothing.
+With probability 1 - DELTA no rule rejects more than the allowed rate of the good documents of any stratum.
+`cutoff_report` gives labels, allowed rate and cutoff of each rule and stratum.
 
 Null and empty texts have no words and fail the base rule. Documents are judged row by row; labels without
 id or grade are ignored, and a document with labels of both kinds counts as bad.
@@ -32,8 +31,10 @@ from pyspark.sql import types as T
 from newsmart.llm.arrow import Stage, add_columns
 from newsmart.llm.tokens import NOT_NEWLINE, Texts, byte_set, chunks, hash_spans, hash_words, runs, split_words, windows
 
-#: Allowed rate of good documents that a rule rejects in a stratum, and the risk that any rule exceeds it.
+#: Allowed rate of good documents that a rule rejects in a stratum, the highest one that a stratum with few labels
+#: may have in its place, and the risk that any rule exceeds it.
 ALPHA = 0.005
+MOST_ALPHA = 0.05
 DELTA = 0.05
 #: Strata: documents of at least so many words.
 STRATA = (50, 150, 400, 1000)
@@ -169,18 +170,11 @@ def upper_bound(k: int, n: int, risk: float) -> float:
     return high
 
 
-def labels_needed(risk: float, alpha: float = ALPHA) -> int:
-    """The fewest good labels by which a cutoff that rejects none of them can be certified."""
-    return math.ceil(math.log(risk) / math.log1p(-alpha) - 1e-9)
-
-
-def _pool(n: list[int], s: int, least: int) -> tuple[int, int]:
-    """The strata from a to b (without b) around s that hold `least` labels together, or all of them."""
-    a, b = s, s + 1
-    while sum(n[a:b]) < least and b - a < len(n):
-        left, right = n[a - 1] if a else -1, n[b] if b < len(n) else -1
-        a, b = (a - 1, b) if left > right else (a, b + 1)
-    return a, b
+def allowed_rate(n: int, risk: float, alpha: float = ALPHA, most: float = MOST_ALPHA) -> float | None:
+    """alpha, or the lowest rate that n good labels certify by a cutoff that rejects none of them; None beyond `most`."""
+    least = -math.expm1(math.log(risk) / n) if n else 1.0
+    rate = max(alpha, least * (1 + 1e-9))
+    return rate if rate <= max(alpha, most) else None
 
 
 def _good(table: list[tuple[str, int, int, int]]) -> dict[str, np.ndarray]:
@@ -191,42 +185,38 @@ def _good(table: list[tuple[str, int, int, int]]) -> dict[str, np.ndarray]:
     return good
 
 
-def pools(table: list[tuple[str, int, int, int]], alpha: float = ALPHA, delta: float = DELTA) -> dict[tuple[str, int], tuple[int, int]]:
-    """(rule, stratum) to the strata whose labels are tested for it; a stratum without labels has none."""
+def allowed_rates(
+    table: list[tuple[str, int, int, int]], alpha: float = ALPHA, delta: float = DELTA, most: float = MOST_ALPHA
+) -> dict[tuple[str, int], float | None]:
+    """(rule, stratum) to the rate of good documents that the rule may reject there; None where it is not tested."""
     good = _good(table)
-    least = labels_needed(delta / (len(good) * len(STRATA)), alpha)
-    n = {rule: [int(x) for x in held.sum(axis=1)] for rule, held in good.items()}
-    return {(rule, s): _pool(n[rule], s, least) for rule in good for s in range(len(STRATA)) if n[rule][s]}
+    share = delta / (len(good) * len(STRATA))
+    return {(rule, s): allowed_rate(int(good[rule][s].sum()), share, alpha, most) for rule in good for s in range(len(STRATA))}
 
 
-def choose_cutoffs(table: list[tuple[str, int, int, int]], alpha: float = ALPHA, delta: float = DELTA) -> dict[tuple[str, int], int]:
+def choose_cutoffs(
+    table: list[tuple[str, int, int, int]], alpha: float = ALPHA, delta: float = DELTA, most: float = MOST_ALPHA
+) -> dict[tuple[str, int], int]:
     """(rule, stratum) to the step above which documents are rejected. table: rule, stratum, step, good documents there."""
-    good, pool_of = _good(table), pools(table, alpha, delta)
-    # for each sequence, a rule in a pool, the good documents at each step or higher
-    above = {(rule, ab): np.cumsum(good[rule][slice(*ab)].sum(axis=0)[::-1])[::-1] for (rule, _), ab in pool_of.items()}
+    good = _good(table)
+    allowed = {q: rate for q, rate in allowed_rates(table, alpha, delta, most).items() if rate is not None}
+    # for each sequence, a rule in a stratum, the good documents at each step or higher
+    above = {(rule, s): np.cumsum(good[rule][s][::-1])[::-1] for rule, s in allowed}
     cut = dict.fromkeys(above, GRID)
-    share = {q: delta / len(above) for q in above}
-    if above and max(int(x[0]) for x in above.values()) < labels_needed(delta / len(above), alpha):
-        share = {q: delta * (i == 0) for i, q in enumerate(above)}
+    # sequences that aren't tested leave their share unused
+    share = dict.fromkeys(above, delta / (len(good) * len(STRATA)))
     waiting = list(above)
     while waiting:
         q = waiting.pop(0)
         # rejecting what lies at step cut or higher
-        while share[q] and cut[q] and upper_bound(int(above[q][cut[q]]), int(above[q][0]), share[q]) <= alpha:
+        while share[q] and cut[q] and upper_bound(int(above[q][cut[q]]), int(above[q][0]), share[q]) <= allowed[q]:
             cut[q] -= 1
         to = [x for x in above if cut[x]]
         if not cut[q] and to:
-            if share[q] == delta:  # the whole risk goes on as a whole
-                to = to[:1]
             for x in to:
                 share[x] += share[q] / len(to)
             share[q], waiting = 0.0, to
-    out = {(rule, s): GRID for rule in good for s in range(len(STRATA))}
-    for (rule, s), ab in pool_of.items():
-        own = np.cumsum(good[rule][s][::-1])[::-1]
-        # own[c + 1] documents lie above the cutoff c
-        out[rule, s] = next((c for c in range(cut[rule, ab], GRID) if own[c + 1] <= alpha * own[0]), GRID)
-    return out
+    return {(rule, s): cut.get((rule, s), GRID) for rule in good for s in range(len(STRATA))}
 
 
 def rates_names() -> tuple[str, ...]:
@@ -245,25 +235,23 @@ def label_table(counted: DataFrame, labels: DataFrame, doc_id: str = "doc_id", g
     return [(r[0], r[1], r[2], r[3]) for r in rows.collect()]  # strata x rules x steps rows
 
 
-def learn_cutoffs(counted: DataFrame, labels: DataFrame, doc_id: str = "doc_id", grade: str = "quality", alpha: float = ALPHA, delta: float = DELTA) -> dict[tuple[str, int], int]:
+def learn_cutoffs(counted: DataFrame, labels: DataFrame, doc_id: str = "doc_id", grade: str = "quality", alpha: float = ALPHA, delta: float = DELTA, most: float = MOST_ALPHA) -> dict[tuple[str, int], int]:
     """Cutoffs from all labelled documents that pass the base rule."""
     table = label_table(counted, labels, doc_id, grade)
-    cutoffs = choose_cutoffs(table, alpha, delta)
-    for row in cutoff_report(table, cutoffs, alpha, delta):
+    cutoffs = choose_cutoffs(table, alpha, delta, most)
+    for row in cutoff_report(table, cutoffs, alpha, delta, most):
         logging.getLogger(__name__).log(
-            logging.INFO if row[-1] else logging.WARNING, "rule %s, stratum %d: %d good labels, tested on %d, cutoff %.3f, active: %s", *row
+            logging.INFO if row[-1] else logging.WARNING, "rule %s, stratum %d: %d good labels, allowed rate %s, cutoff %.3f, active: %s", *row
         )
     return cutoffs
 
 
-def cutoff_report(table: list[tuple[str, int, int, int]], cutoffs: dict[tuple[str, int], int], alpha: float = ALPHA, delta: float = DELTA) -> list[tuple[str, int, int, int, float, bool]]:
-    """(rule, stratum, good labels, those of the strata it was tested on, cutoff as a rate, whether it can reject anything)."""
-    pool_of = pools(table, alpha, delta)
-    n = {rule: held.sum(axis=1) for rule, held in _good(table).items()}
-    return [
-        (rule, s, int(n[rule][s]), int(n[rule][slice(*pool_of.get((rule, s), (0, 0)))].sum()), cut / GRID, cut < GRID)
-        for (rule, s), cut in cutoffs.items()
-    ]
+def cutoff_report(
+    table: list[tuple[str, int, int, int]], cutoffs: dict[tuple[str, int], int], alpha: float = ALPHA, delta: float = DELTA, most: float = MOST_ALPHA
+) -> list[tuple[str, int, int, float | None, float, bool]]:
+    """(rule, stratum, good labels, allowed rate, cutoff as a rate, whether it can reject anything)."""
+    good, allowed = _good(table), allowed_rates(table, alpha, delta, most)
+    return [(rule, s, int(good[rule][s].sum()), allowed[rule, s], cut / GRID, cut < GRID) for (rule, s), cut in cutoffs.items()]
 
 
 def verdict(cutoffs: dict[tuple[str, int], int]) -> Column:
@@ -275,11 +263,11 @@ def verdict(cutoffs: dict[tuple[str, int], int]) -> Column:
     return ok
 
 
-def quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", alpha: float = ALPHA, delta: float = DELTA, most: float = MOST_ALPHA) -> DataFrame:
     """One row a document: the counts, base_failed and kept."""
     stage = Stage(docs.sparkSession, "quality")
     counted = stage.save(with_counts(docs.select(doc_id, F.col(text).alias("text")), "text").drop("text"), "counts")
-    cutoffs = learn_cutoffs(counted, labels, doc_id, alpha=alpha, delta=delta)
+    cutoffs = learn_cutoffs(counted, labels, doc_id, alpha=alpha, delta=delta, most=most)
     return counted.select(
         doc_id, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed().alias("base_failed"), (~base_failed() & verdict(cutoffs)).alias("kept"),

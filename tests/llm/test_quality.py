@@ -5,6 +5,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+
 from newsmart.llm import quality
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -61,36 +63,66 @@ def labelled(*n, steps=None):
     return [(rule, s, steps.get(rule, 0), m) for rule in quality.rates_names() for s, m in enumerate(n) if m]
 
 
-def test_strata_with_few_labels_are_pooled():
-    table = labelled(739, 1408, 824, 272, steps={"long_words": 30})
-    assert quality.labels_needed(quality.DELTA / 20) == 1196
+def test_every_stratum_is_tested_on_its_own_labels():
+    table = labelled(739, 1408, 824, 100, steps={"long_words": 30})
     cut = quality.choose_cutoffs(table)
-    for s in range(4):
+    report = {s: (n, rate) for rule, s, n, rate, _, _ in quality.cutoff_report(table, cut) if rule == "symbols"}
+    assert report[1] == (1408, quality.ALPHA) and report[3] == (100, None)
+    for s in range(3):
         assert cut["symbols", s] == 0 and cut["long_words", s] == 30
-    tested = {s: n for rule, s, _, n, _, active in quality.cutoff_report(table, cut) if rule == "symbols" and active}
-    assert tested == {0: 739 + 1408, 1: 1408, 2: 824 + 1408, 3: 1408 + 824 + 272}
+        n, rate = report[s]
+        assert quality.ALPHA <= rate <= quality.MOST_ALPHA and quality.upper_bound(0, n, quality.DELTA / 20) <= rate
+    assert {cut[rule, 3] for rule in quality.rates_names()} == {quality.GRID}  # 100 labels certify nothing
+    # what the other strata hold makes no difference
+    alone = quality.choose_cutoffs([row for row in table if row[1] == 0])
+    assert all(alone[rule, 0] == cut[rule, 0] for rule in quality.rates_names())
+
+
+def test_a_stratum_has_its_bound_whatever_its_neighbours_hold():
+    table = [("symbols", 0, 0, 5000), ("symbols", 1, 0, 1400), ("symbols", 1, 40, 70)]
+    assert quality.upper_bound(70, 6470, quality.DELTA / 20) < 0.02 < quality.upper_bound(70, 1470, quality.DELTA)
+    cut = quality.choose_cutoffs(table, alpha=0.02)
+    assert cut["symbols", 0] == 0 and cut["symbols", 1] == 40
 
 
-def test_a_pooled_stratum_keeps_the_bound_on_its_own_labels():
-    table = [("symbols", 0, 0, 5000), ("symbols", 1, 0, 95), ("symbols", 1, 40, 5)]
-    assert quality.upper_bound(5, 5100, quality.DELTA / 2) < quality.ALPHA  # the pool alone would allow it
-    cut = quality.choose_cutoffs(table)
-    assert cut["symbols", 0] == 0 and cut["symbols", 1] == 40
+def test_false_rejections_over_repeated_draws():
+    r = np.random.default_rng(5)
+    weights = 0.75 ** np.arange(60)
+    chance = weights / weights.sum()
+    beyond = np.concatenate([np.cumsum(chance[::-1])[::-1][1:], [0.0]])  # of a good document above each step
+    sizes, draws, broken, active = (150, 400, 1500, 60), 150, 0, 0
+    for _ in range(draws):
+        table = [
+            (rule, s, int(step), int(n))
+            for rule in quality.rates_names() for s, size in enumerate(sizes)
+            for step, n in enumerate(r.multinomial(size, chance)) if n
+        ]
+        cut, allowed = quality.choose_cutoffs(table), quality.allowed_rates(table)
+        bad = [q for q, c in cut.items() if c < quality.GRID and beyond[min(c, 59)] > allowed[q]]
+        broken += bool(bad)
+        active += sum(c < quality.GRID for c in cut.values())
+    assert active == 15 * draws  # all but the stratum of 60
+    assert broken <= 0.05 * draws + 3 * math.sqrt(0.05 * 0.95 * draws)
 
 
 def test_finished_sequences_hand_their_risk_on():
-    table = [("symbols", 0, 0, 5000), ("repeats", 0, 0, 4990), ("repeats", 0, 9, 14)]
-    half, whole = (quality.upper_bound(14, 5004, risk) for risk in (quality.DELTA / 2, quality.DELTA))
-    assert whole < half
-    alpha = (half + whole) / 2
-    assert quality.choose_cutoffs(table, alpha)["repeats", 0] == 0
-
-
-def test_too_few_labels_for_an_even_share_go_to_the_first_rules():
-    assert quality.labels_needed(quality.DELTA) == 598 and quality.labels_needed(quality.DELTA / 5) == 919
-    cut = quality.choose_cutoffs(labelled(200, 200, 200, 100, steps={"dup_lines": 7}))
-    assert all(cut["symbols", s] == 0 and cut["dup_lines", s] == 7 and cut["repeats", s] == quality.GRID for s in range(4))
-    assert set(quality.choose_cutoffs(labelled(77, 139, 85, 26)).values()) == {quality.GRID}  # no bound of 0.5 % can be had
+    # nineteen sequences of twenty end at once, and the last has the whole risk
+    table = [row for row in labelled(5004, 5004, 5004, 5004) if row[:2] != ("repeats", 0)]
+    table += [("repeats", 0, 0, 4990), ("repeats", 0, 9, 14)]
+    even, whole = (quality.upper_bound(14, 5004, risk) for risk in (quality.DELTA / 20, quality.DELTA))
+    assert whole < even
+    assert quality.choose_cutoffs(table, (even + whole) / 2)["repeats", 0] == 0
+    assert quality.choose_cutoffs(table, whole * 0.99)["repeats", 0] == 9
+
+
+def test_the_allowed_rate_is_the_least_that_can_be_certified():
+    risk = quality.DELTA / 20
+    assert quality.allowed_rate(1408, risk) == quality.ALPHA and quality.allowed_rate(0, risk) is None
+    for n in (150, 272, 739):
+        rate = quality.allowed_rate(n, risk)
+        assert quality.upper_bound(0, n, risk) <= rate < quality.upper_bound(0, n, risk) * 1.001
+    assert quality.allowed_rate(100, risk) is None
+    assert quality.allowed_rate(100, risk, alpha=0.07) == 0.07  # the caller's rate holds
 
 
 def test_rules_reject_junk_and_keep_good_documents(spark):
