@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from newsmart.functions.exprs import month_start, n_rows
 from newsmart.operators.flatten import authors_flattened, keywords_flattened, known_values
+from newsmart.operators.indexes import AUTHOR, KEYWORD, Postings
 from newsmart.operators.results import ResultStore
 from newsmart.operators.tables import current
 from newsmart.plans.explore import mean
@@ -56,9 +57,16 @@ def by_dimensions(articles: DataFrame, chosen: ArticleFilter) -> DataFrame:
 
 
 def by_people_and_topics(
-    articles: DataFrame, stg: DataFrame, chosen: ArticleFilter
+    articles: DataFrame, stg: DataFrame, chosen: ArticleFilter, index: Postings | None = None
 ) -> DataFrame:
-    """Articles that have one of the chosen authors and one of the chosen keywords."""
+    """Articles that have one of the chosen authors and one of the chosen keywords.
+
+    With ``index`` these are looked up, and the staging rows are not unnested."""
+    if index:
+        for kind, terms in ((AUTHOR, chosen.authors), (KEYWORD, chosen.keywords)):
+            if terms:
+                articles = articles.join(index.articles(kind, list(terms)), "article_id", "left_semi")
+        return articles
     if chosen.authors:
         named = authors_flattened(stg, qualifier=False).where(
             F.col("author_full_name").isin(list(chosen.authors))
@@ -73,11 +81,11 @@ def by_people_and_topics(
 
 
 def filtered(
-    articles: DataFrame, stg: DataFrame, chosen: ArticleFilter, as_of: dt.date
+    articles: DataFrame, stg: DataFrame, chosen: ArticleFilter, as_of: dt.date, index: Postings | None = None
 ) -> DataFrame:
     """Default exclusion and all chosen filters. ``articles`` is the fact or the staging rows."""
     articles = by_dimensions(default_articles(articles, as_of), chosen)
-    return by_people_and_topics(articles, stg, chosen)
+    return by_people_and_topics(articles, stg, chosen, index)
 
 
 def articles_by_month(articles: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from newsmart.functions.exprs import decade, label, n_rows, pct, ratio
 from newsmart.operators.flatten import facets_flattened, known_values
+from newsmart.operators.indexes import Trigrams
 from newsmart.plans.explore import latest_snapshot, mean
 
 KEYWORD_TIES = ("keyword_value", "keyword_name")
@@ -331,10 +332,19 @@ def declining_keywords(trends: DataFrame, as_of: dt.date, n: int | None = None)
     )
 
 
-def election_cycle(trends: DataFrame, part: str) -> DataFrame:
+def _with_names_like(rows: DataFrame, column: str, part: str, index: Trigrams | None) -> DataFrame:
+    """The rows whose name can contain ``part``, as far as the index knows; all rows without one."""
+    found = index.candidates(part) if index else None
+    if found is None:
+        return rows
+    return rows.join(found.withColumnRenamed("term", column), column, "left_semi")
+
+
+def election_cycle(trends: DataFrame, part: str, index: Trigrams | None = None) -> DataFrame:
     """Volume of keywords containing ``part`` by position in a four-year cycle (0 = election)."""
     return (
-        trends.where(F.contains(F.lower("keyword_value"), F.lit(part.lower())))
+        _with_names_like(trends, "keyword_value", part, index)
+        .where(F.contains(F.lower("keyword_value"), F.lit(part.lower())))
         .groupBy(F.pmod("pub_year", F.lit(4)).alias("cycle_year"))
         .agg(
             F.countDistinct("pub_year").alias("years"),
@@ -511,10 +521,13 @@ def specialists_and_generalists(authors: DataFrame) -> DataFrame:
     )
 
 
-def author_leaderboard(authors: DataFrame, search: str = "", n: int = 50) -> DataFrame:
+def author_leaderboard(
+    authors: DataFrame, search: str = "", n: int = 50, index: Trigrams | None = None
+) -> DataFrame:
     """Most prolific authors whose name contains ``search``, case ignored."""
     return (
-        authors.where(F.contains(F.lower("author_full_name"), F.lit(search.lower())))
+        _with_names_like(authors, "author_full_name", search, index)
+        .where(F.contains(F.lower("author_full_name"), F.lit(search.lower())))
         .orderBy(F.desc("total_articles"), "author_full_name", "firstname", "lastname")
         .limit(n)
         .select(

@@ -875,6 +875,11 @@ def compose(body: str) -> str:
     return f"WITH {ctes}\n{body.strip()}"
 
 
+# The same rows by way of an index.
+BODIES["d3_by_postings"] = BODIES["d3_people_and_topics"]
+BODIES["r28_leaderboard_by_trigrams"] = BODIES["r28_author_leaderboard"]
+BODIES["r29_cycle_by_trigrams"] = BODIES["r29_election_cycle"]
+
 #: Their rows are compared one by one by verify.py; a digest of each article's rows has a name of its own.
 MANY_ROWS = ("u1_int_keywords_flattened", "u2_int_authors_flattened")
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from newsmart.functions.exprs import number_text, percent_text
 from newsmart.operators import checks, results, tables
 from newsmart.operators.flatten import facets_flattened
+from newsmart.operators.indexes import Postings, Trigrams
 from newsmart.plans import core, dashboard, explore, marts, rollups
 from newsmart.registry import loads
 from newsmart.registry.press import AS_OF, POPULAR_AS_OF, Press, press
@@ -158,6 +159,30 @@ def _filtered_stg(p: Press, chosen: dashboard.ArticleFilter) -> DataFrame:
     return dashboard.filtered(p.stg, p.stg, chosen, AS_OF)
 
 
+def _index_name(p: Press, table: str) -> str:
+    database = f"newsmart_index_{p.mark}"
+    tables.create_database(p.spark, database, f"{p.root}/index")
+    return f"{database}.{table}"
+
+
+def _by_postings(p: Press) -> DataFrame:
+    index = Postings(p.spark, _index_name(p, "postings"))
+    p.once("postings", p.root, lambda: index.build(p.stg))
+    return dashboard.filtered(p.fct, p.stg, PEOPLE_AND_TOPICS, AS_OF, index)
+
+
+def _author_names(p: Press) -> Trigrams:
+    index = Trigrams(p.spark, _index_name(p, "author_names"))
+    p.once("author_names", p.root, lambda: index.build(p.author_marts.select("author_full_name")))
+    return index
+
+
+def _keyword_values(p: Press) -> Trigrams:
+    index = Trigrams(p.spark, _index_name(p, "keyword_values"))
+    p.once("keyword_values", p.root, lambda: index.build(p.trends.select("keyword_value")))
+    return index
+
+
 def _top_lists(p: Press) -> DataFrame:
     staged = _filtered_stg(p, CHOSEN)
     keywords = dashboard.top_keywords(staged).withColumnRenamed("keyword_value", "member")
@@ -307,7 +332,13 @@ MODELS: dict[str, Callable[[Press], DataFrame]] = {
     "r26_section_popularity_bias": lambda p: rollups.section_popularity_bias(p.fct, p.pop),
     "r27_landing_totals": lambda p: rollups.landing_totals(p.fct, p.author_marts, p.pop),
     "r28_author_leaderboard": lambda p: rollups.author_leaderboard(p.author_marts, "author#00000001"),
+    "r28_leaderboard_by_trigrams": lambda p: rollups.author_leaderboard(
+        p.author_marts, "author#00000001", index=_author_names(p)
+    ),
     "r29_election_cycle": lambda p: rollups.election_cycle(p.trends, "widget"),
+    "r29_cycle_by_trigrams": lambda p: rollups.election_cycle(
+        p.trends, "widget", _keyword_values(p)
+    ),
     "r30_facets_against_history": lambda p: rollups.facets_against_history(p.pop, p.trends),
     "r31_news_desk_volume": lambda p: rollups.news_desk_volume(p.fct),
     "r31_news_desk_structure": lambda p: rollups.news_desk_structure(p.fct),
@@ -322,6 +353,7 @@ MODELS: dict[str, Callable[[Press], DataFrame]] = {
     "d3_people_and_topics": lambda p: _filtered(p, PEOPLE_AND_TOPICS).select(
         "article_id", "section_name", "word_count"
     ),
+    "d3_by_postings": lambda p: _by_postings(p).select("article_id", "section_name", "word_count"),
     "d4_articles_by_month": lambda p: dashboard.articles_by_month(_filtered(p, CHOSEN)),
     "d5_breakdown": lambda p: dashboard.breakdown(_filtered(p, CHOSEN)),
     "d6_top_lists": _top_lists,
