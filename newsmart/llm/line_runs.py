@@ -184,7 +184,8 @@ def drop_repeated_lines(
     drop_id, drop_text, drop, kept, n, n_dropped, stays = unused(docs, "drop_id", "drop_text", "drop", "kept", "n_lines", "n_dropped", "kept_text")
     drops = drops.select(F.col("id").alias(drop_id), F.col("t").alias(drop_text), F.col("drop").alias(drop))
     same = F.col(doc_id).cast("bigint").eqNullSafe(F.col(drop_id)) & (text_hash(F.col(text)) == F.col(drop_text))
-    joined = docs.join(drops, same, "left")
+    # hashed are the line numbers of a partition's documents, a small part of its texts; the texts stream by unsorted
+    joined = docs.join(drops.hint("shuffle_hash"), same, "left")
     whole = F.coalesce(F.col(text), F.lit(""))
     joined = joined.withColumn(kept, _without(F.col(text), F.col(drop)))
     joined = joined.withColumn(n, F.size(lines_of(F.col(text))).cast("bigint"))
