@@ -28,7 +28,12 @@ def agg_articles_by_month(fct: DataFrame) -> DataFrame:
     Rows are first summed per (month, section, desk, material), so the distinct counts of the second
     step see only those combinations and a crowded month is spread over many tasks.
     """
-    combos = fct.groupBy(
+    return months_from_combinations(month_combinations(fct))
+
+
+def month_combinations(fct: DataFrame) -> DataFrame:
+    """Sums per month, section, desk and material. Those of several sets of rows can be put together."""
+    return fct.groupBy(
         month_start("pub_date").alias("pub_month"), "section_name", "news_desk", "type_of_material"
     ).agg(
         n_rows().alias("n"),
@@ -40,6 +45,10 @@ def agg_articles_by_month(fct: DataFrame) -> DataFrame:
         F.sum("author_count").alias("authors"),
         F.sum("keyword_count").alias("keywords"),
     )
+
+
+def months_from_combinations(combos: DataFrame) -> DataFrame:
+    """The months' rows; a combination may come several times, each for other articles."""
     months = combos.groupBy("pub_month").agg(
         F.sum("n").alias("total_articles"),
         F.sum("words").alias("total_word_count"),
@@ -207,9 +216,18 @@ def keyword_year_stats(keywords: DataFrame) -> DataFrame:
     Occurrences are summed per (keyword, year, article) first, which spreads a hot keyword over the
     tasks; the second step then counts articles without a distinct.
     """
-    per_article = known_values(keywords).groupBy(
+    return stats_from_articles(keyword_articles(keywords))
+
+
+def keyword_articles(keywords: DataFrame) -> DataFrame:
+    """Occurrences (n) per keyword, year and article."""
+    return known_values(keywords).groupBy(
         "keyword_name", "keyword_value", "pub_year", "article_id"
     ).agg(n_rows().alias("n"))
+
+
+def stats_from_articles(per_article: DataFrame) -> DataFrame:
+    """Articles and occurrences per keyword and year; an article stands there once in a year."""
     return per_article.groupBy("keyword_name", "keyword_value", "pub_year").agg(
         F.count("article_id").alias("article_count"), F.sum("n").alias("keyword_occurrences")
     )
@@ -221,8 +239,17 @@ def keyword_trends_from_stats(stats: DataFrame) -> DataFrame:
     Equal counts are ranked by the keyword's surrogate key. ``stats`` is read twice: pass a saved
     table when it is large.
     """
+    return keyword_changes(ranked_keywords(stats))
+
+
+def ranked_keywords(stats: DataFrame) -> DataFrame:
+    """Rank within the year; a year's ranks depend on that year's rows alone."""
     keyed = stats.withColumn("_key", surrogate_key("keyword_name", "keyword_value"))
-    ranked = spread_row_number(keyed, "pub_year", "article_count", "_key", "rank_in_year")
+    return spread_row_number(keyed, "pub_year", "article_count", "_key", "rank_in_year").drop("_key")
+
+
+def keyword_changes(ranked: DataFrame) -> DataFrame:
+    """Each row beside the keyword's previous present year."""
     history = Window.partitionBy("keyword_name", "keyword_value").orderBy("pub_year")
     count, before = F.col("article_count"), F.col("prior_year_count")
     rank, rank_before = F.col("rank_in_year"), F.col("prior_year_rank")

@@ -880,6 +880,11 @@ BODIES["d3_by_postings"] = BODIES["d3_people_and_topics"]
 BODIES["r28_leaderboard_by_trigrams"] = BODIES["r28_author_leaderboard"]
 BODIES["r29_cycle_by_trigrams"] = BODIES["r29_election_cycle"]
 
+# The same rows from the states of several loads.
+BODIES["a1_months_of_three_loads"] = BODIES["a1_agg_articles_by_month"]
+BODIES["a4_trends_of_three_loads"] = BODIES["a4_agg_keyword_trends"]
+BODIES["q32_quartiles_of_three_loads"] = BODIES["q32_word_count_quartiles"]
+
 #: Their rows are compared one by one by verify.py; a digest of each article's rows has a name of its own.
 MANY_ROWS = ("u1_int_keywords_flattened", "u2_int_authors_flattened")
 

@@ -17,6 +17,7 @@ from newsmart.functions.exprs import number_text, percent_text
 from newsmart.operators import checks, results, tables
 from newsmart.operators.flatten import facets_flattened
 from newsmart.operators.indexes import Postings, Trigrams
+from newsmart.operators.states import MartStates
 from newsmart.plans import core, dashboard, explore, marts, rollups
 from newsmart.registry import loads
 from newsmart.registry.press import AS_OF, POPULAR_AS_OF, Press, press
@@ -171,6 +172,21 @@ def _by_postings(p: Press) -> DataFrame:
     return dashboard.filtered(p.fct, p.stg, PEOPLE_AND_TOPICS, AS_OF, index)
 
 
+def _kept_marts(p: Press) -> MartStates:
+    """States of three loads: articles up to 1996, later ones, and a tenth of all that comes late; the last load is repeated."""
+    states = MartStates(p.spark, f"{p.root}/mart_states")
+
+    def write() -> None:
+        late = F.coalesce(F.crc32("article_id"), F.lit(0)) % 10 == 0
+        early = F.coalesce(F.col("pub_year") <= 1996, F.lit(False))
+        fct = p.fct.withColumn("pub_year", F.year("pub_date"))
+        for name, part in (("early", early & ~late), ("later", ~early & ~late), ("late", late), ("late", late)):
+            states.add(name, fct.where(part), p.keyword_names.where(part))
+
+    p.once("mart_states", p.root, write)
+    return states
+
+
 def _author_names(p: Press) -> Trigrams:
     index = Trigrams(p.spark, _index_name(p, "author_names"))
     p.once("author_names", p.root, lambda: index.build(p.author_marts.select("author_full_name")))
@@ -246,6 +262,8 @@ MODELS: dict[str, Callable[[Press], DataFrame]] = {
     "a2_agg_author_performance_any_ids": lambda p: marts.agg_author_performance(p.stg, p.fct),
     "a3_agg_section_trends": lambda p: marts.agg_section_trends(p.fct),
     "a4_keyword_year_stats": lambda p: marts.keyword_year_stats(p.keyword_names),
+    "a1_months_of_three_loads": lambda p: _kept_marts(p).months(),
+    "a4_trends_of_three_loads": lambda p: _kept_marts(p).keyword_trends(),
     "a4_agg_keyword_trends": lambda p: marts.keyword_trends_from_stats(p.keyword_stats),
     # exploratory queries
     "q01_archive_profile": lambda p: explore.archive_profile(p.fct),
@@ -282,6 +300,7 @@ MODELS: dict[str, Callable[[Press], DataFrame]] = {
     "q30_collaboration_by_year": lambda p: explore.collaboration_by_year(p.fct),
     "q31_keyword_density": lambda p: explore.keyword_density(p.fct),
     "q32_word_count_quartiles": lambda p: explore.word_count_quartiles(p.fct),
+    "q32_quartiles_of_three_loads": lambda p: _kept_marts(p).word_count_quartiles(),
     "q33_monthly_outliers": lambda p: explore.monthly_outliers(p.months),
     "q34_sudden_keywords": lambda p: explore.sudden_keywords(p.trends, 4),
     "q35_trending_summary": lambda p: explore.trending_summary(p.pop, POPULAR_AS_OF).withColumn(
