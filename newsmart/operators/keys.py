@@ -107,7 +107,12 @@ class KeyIndex:
         return state.recent_batches >= RECENT_BATCHES or state.recent_rows >= RECENT_ROWS
 
     def flush(self, state: KeyState) -> KeyState:
-        """Makes the recent keys old ones: appended, or with all others written anew where the filters would be too full."""
+        """Makes the recent keys old ones: appended, or with all others written anew where the filters would be too full.
+
+        Without recent keys, as right after a batch moved them, nothing moves.
+        """
+        if not self.spark.catalog.tableExists(self.recent_name(state.recent)):
+            return KeyState(state.old, state.recent, state.slots, state.old_rows)
         recent = self._counted(self.recent_name(state.recent), state)
         rows = state.old_rows + state.recent_rows
         after = KeyState(state.old, state.recent + 1, state.slots, rows)

@@ -210,6 +210,19 @@ def test_a_merge_by_index_reads_neither_the_table_nor_other_buckets(spark, merge
     assert len(known.select("article_id").collect()) < 100  # of 500 in 32 buckets
 
 
+def test_keys_moved_by_the_batch_itself_can_be_moved_again(spark, merged, monkeypatch):
+    monkeypatch.setattr(keys, "RECENT_BATCHES", 1)  # the batch moves its keys, as a large one does
+    index = KeyIndex(spark, merged, "article_id")
+    _by_batches(spark, merged, index, [["a", "b"]])
+    book = Ledger(spark, merged)
+    ledger.note_index(book, index.flush(book.key_state()))  # no recent keys left: nothing moves
+    state = Ledger(spark, merged).key_state()
+    assert (state.old, state.recent) == (1, 2)
+    source = spark.createDataFrame([("a", 5, "2020-02"), ("c", 5, "2020-02")], SOURCE)
+    merge_batch(spark, merged, source, ["article_id"], "part_month", "next", index=index)
+    assert rows(tables.current(spark, merged), "article_id", "n") == [("a", 0), ("b", 0), ("c", 5)]
+
+
 def test_a_stopped_move_of_keys_can_be_repeated(spark, merged, monkeypatch):
     monkeypatch.setattr(keys, "RECENT_BATCHES", 1)
     index = KeyIndex(spark, merged, "article_id")
