@@ -25,6 +25,9 @@ from newsmart.streaming.loader import start_loading
 #: Docs in a raw object, about.
 OBJECT_DOCS = 5000
 
+#: Codec of the raw archive and popularity lines: uncompressed JSON is many times its table. Readers take it by the suffix.
+RAW_CODEC = "gzip"
+
 
 def _in_objects(rows: DataFrame, item: Column, name: str, mark: Column, *folder: str) -> DataFrame:
     """Rows dealt by the hash of ``mark`` to objects of bounded size for each folder: its columns, and the list ``name``."""
@@ -95,7 +98,9 @@ def _raw_archive(p: Press) -> str:
         lines = p.archive.select(
             F.year("pub_date").alias("year"), month.alias("month"), text.alias("value")
         )
-        tables.by_folder(lines, "year", "month").write.partitionBy("year", "month").text(folder)
+        tables.by_folder(lines, "year", "month").write.partitionBy("year", "month").option(
+            "compression", RAW_CODEC
+        ).text(folder)
 
     return p.once("archive_raw", folder, write)
 
@@ -122,7 +127,9 @@ def _raw_popular(p: Press) -> str:
             raw(F.col("asset_id"))
         )
         lines = p.popular.select("snapshot_date", text.alias("value"))
-        tables.by_folder(lines, "snapshot_date").write.partitionBy("snapshot_date").text(folder)
+        tables.by_folder(lines, "snapshot_date").write.partitionBy("snapshot_date").option(
+            "compression", RAW_CODEC
+        ).text(folder)
 
     return p.once("most_popular_raw", folder, write)
 

@@ -515,3 +515,30 @@ def test_raw_objects_hold_a_bounded_number_of_docs(spark, tmp_path, monkeypatch)
     found = [json.loads(f.read_text()) for f in Path(folder).rglob("*.txt")]
     assert max(len(x["results"]) for x in found) < 60 and all(x["num_results"] == len(x["results"]) for x in found)
     assert sorted(int(r.id) for r in records.raw_popular(spark, folder).collect()) == list(range(300))
+
+
+def _nulls_but(spark, schema, rows):
+    """Rows of ``schema`` with the given fields and nulls elsewhere."""
+    from pyspark.sql.types import StructType
+
+    schema = StructType([f.__class__(f.name, f.dataType, True) for f in schema.fields])
+    return spark.createDataFrame([{f.name: r.get(f.name) for f in schema.fields} for r in rows], schema)
+
+
+def test_raw_landing_is_compressed_and_reads_back(spark, tmp_path):
+    from newsmart.sources import views
+
+    shape = views.archive_articles(spark, "/root/testdata/sf0.001").schema
+    archive = _nulls_but(spark, shape, [{"article_id": f"a{i}", "pub_date": D(2001, 1 + i % 2, 5), "word_count": i} for i in range(1, 301)])
+    folder = loads._raw_archive(_Source(spark, f"{tmp_path}/a", archive=archive))
+    written = [f for f in Path(folder).rglob("part-*") if not f.name.endswith(".crc")]
+    assert written and all(f.name.endswith(".gz") for f in written)
+    got = {(r._id, r.year, r.month) for r in records.raw_archive(spark, folder, multiline=False).where("_id IS NOT NULL").collect()}
+    assert got == {(f"a{i}", 2001, 1 + i % 2) for i in range(1, 301) if i % 101 and i % 53}
+
+    shape = views.popular_articles(spark, "/root/testdata/sf0.001").schema
+    popular = _nulls_but(spark, shape, [{"id": i, "asset_id": i, "snapshot_date": D(2024, 1, 2)} for i in range(1, 101)])
+    folder = loads._raw_popular(_Source(spark, f"{tmp_path}/p", popular=popular))
+    written = [f for f in Path(folder).rglob("part-*") if not f.name.endswith(".crc")]
+    assert written and all(f.name.endswith(".gz") for f in written)
+    assert sorted(int(r.id) for r in records.raw_popular(spark, folder, multiline=False).collect()) == list(range(1, 101))
