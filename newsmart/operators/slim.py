@@ -14,19 +14,24 @@ from newsmart.operators.tables import by_folder, scratch
 from newsmart.sources import files, records
 
 
-def write_slim(slim: DataFrame, folder: str, by: list[str], overwrite: bool) -> None:
+def write_slim(
+    slim: DataFrame, folder: str, by: list[str], overwrite: bool, compression: str | None = None
+) -> None:
     """JSON lines in one folder per value of ``by``; null fields are written out.
 
-    ``overwrite`` replaces only the folders that get rows.
+    ``overwrite`` replaces only the folders that get rows. ``compression`` is a codec of Spark's JSON
+    writer (``gzip``: files end in ``.json.gz``); readers take it by the suffix.
     """
-    (
+    writer = (
         by_folder(slim, *by)
         .write.partitionBy(*by)
         .mode("overwrite" if overwrite else "append")
         .option("partitionOverwriteMode", "dynamic")
         .option("ignoreNullFields", "false")
-        .json(folder)
     )
+    if compression:
+        writer = writer.option("compression", compression)
+    writer.json(folder)
 
 
 #: Raw files whose paths are on the driver at once.
@@ -87,6 +92,7 @@ def _transform(
     checked: Callable[[list[str]], DataFrame],
     accepted: Callable[[DataFrame], DataFrame],
     overwrite: bool,
+    compression: str | None = None,
 ) -> DataFrame | None:
     """Slim files of all pending raw files, some thousand at a time; returns the rejected records.
 
@@ -103,7 +109,7 @@ def _transform(
             bad = shaping.rejected(rows)
             schema = bad.schema
             bad.write.mode("append").parquet(kept)
-            write_slim(accepted(rows), slim, list(from_path), overwrite)
+            write_slim(accepted(rows), slim, list(from_path), overwrite, compression)
             chunk = spark.createDataFrame([(p,) for p in paths], "path string")
             noted = _values(chunk, raw, from_path).withColumnRenamed("path", "value").groupBy(*from_path).agg(F.min("value").alias("value"))
             by_folder(noted, *from_path).write.partitionBy(*from_path).mode("append").text(done_folder(slim))
@@ -111,7 +117,12 @@ def _transform(
 
 
 def transform_archive(
-    spark: SparkSession, raw: str, slim: str, overwrite: bool = False, multiline: bool = True
+    spark: SparkSession,
+    raw: str,
+    slim: str,
+    overwrite: bool = False,
+    multiline: bool = True,
+    compression: str | None = None,
 ) -> DataFrame | None:
     """Writes the slim months that are missing and returns the rejected records of that run, which are kept.
 
@@ -126,11 +137,16 @@ def transform_archive(
         return shaping.accepted_articles(rows).select(*schemas.SLIM_ARCHIVE, "year", "month")
 
     from_path = {"year": files.path_year, "month": files.path_month}
-    return _transform(spark, raw, slim, from_path, checked, accepted, overwrite)
+    return _transform(spark, raw, slim, from_path, checked, accepted, overwrite, compression)
 
 
 def transform_popular(
-    spark: SparkSession, raw: str, slim: str, overwrite: bool = False, multiline: bool = True
+    spark: SparkSession,
+    raw: str,
+    slim: str,
+    overwrite: bool = False,
+    multiline: bool = True,
+    compression: str | None = None,
 ) -> DataFrame | None:
     """Writes the slim days that are missing and returns the rejected records of that run."""
 
@@ -142,4 +158,4 @@ def transform_popular(
         return shaping.accepted_popular(rows).select(*schemas.SLIM_POPULAR, "snapshot_date")
 
     from_path = {"snapshot_date": lambda p: files.path_snapshot_date(p, files.DAY_PATTERN)}
-    return _transform(spark, raw, slim, from_path, checked, accepted, overwrite)
+    return _transform(spark, raw, slim, from_path, checked, accepted, overwrite, compression)

@@ -28,6 +28,9 @@ OBJECT_DOCS = 5000
 #: Codec of the raw archive and popularity lines: uncompressed JSON is many times its table. Readers take it by the suffix.
 RAW_CODEC = "gzip"
 
+#: Codec of the slim landing, for the same reason; file_status counts ``.json.gz`` as JSON.
+SLIM_CODEC = "gzip"
+
 
 def _in_objects(rows: DataFrame, item: Column, name: str, mark: Column, *folder: str) -> DataFrame:
     """Rows dealt by the hash of ``mark`` to objects of bounded size for each folder: its columns, and the list ``name``."""
@@ -176,7 +179,7 @@ def _slim_archive(p: Press) -> str:
     return p.once(
         "archive_slim",
         folder,
-        lambda: slim.transform_archive(p.spark, raw, folder, multiline=False),
+        lambda: slim.transform_archive(p.spark, raw, folder, multiline=False, compression=SLIM_CODEC),
     )
 
 
@@ -186,7 +189,7 @@ def _slim_popular(p: Press) -> str:
     return p.once(
         "most_popular_slim",
         folder,
-        lambda: slim.transform_popular(p.spark, raw, folder, multiline=False),
+        lambda: slim.transform_popular(p.spark, raw, folder, multiline=False, compression=SLIM_CODEC),
     )
 
 
@@ -314,7 +317,7 @@ def _popular_files(p: Press) -> DataFrame:
 def _skipped_then_written(p: Press) -> DataFrame:
     """Articles per slim month after a second run, which finds every month done and adds nothing."""
     folder = _slim_archive(p)
-    slim.transform_archive(p.spark, _raw_archive(p), folder, multiline=False)
+    slim.transform_archive(p.spark, _raw_archive(p), folder, multiline=False, compression=SLIM_CODEC)
     path = F.col("file_path")
     return (
         records.slim_archive(p.spark, folder)

@@ -23,6 +23,9 @@ SNAPSHOT_PATTERN = r"(?:^|/)" + POPULAR_SLIM + r"/(?:snapshot_date=)?(\d{4}-\d{2
 
 LISTED = "path string, length bigint, modified timestamp"
 
+#: Endings of compressed files, which count as files of the suffix in front of them (``05.json.gz`` is JSON).
+COMPRESSED = (".gz",)
+
 
 def list_files(spark: SparkSession, root: str, modified_after: str | None = None) -> DataFrame:
     """Path, size and time of every file below ``root``, which may be a glob. File contents are not read.
@@ -109,7 +112,8 @@ def file_status(
     """Feed files with a status: ``loaded`` (in the manifest), ``no snapshot date`` or ``pending``."""
     kept = F.lit(False)
     for suffix in suffixes:
-        kept = kept | F.endswith("object_path", F.lit(suffix))
+        for ending in ("", *COMPRESSED):
+            kept = kept | F.endswith("object_path", F.lit(suffix + ending))
     done = manifest.select(F.col("path").alias("object_path"), F.lit(True).alias("_done")).distinct()
     status = label(
         [

@@ -542,3 +542,26 @@ def test_raw_landing_is_compressed_and_reads_back(spark, tmp_path):
     written = [f for f in Path(folder).rglob("part-*") if not f.name.endswith(".crc")]
     assert written and all(f.name.endswith(".gz") for f in written)
     assert sorted(int(r.id) for r in records.raw_popular(spark, folder, multiline=False).collect()) == list(range(1, 101))
+
+
+def test_slim_landing_is_compressed_and_listed_as_feed_files(spark, tmp_path):
+    from newsmart.sources import views
+
+    shape = views.archive_articles(spark, "/root/testdata/sf0.001").schema
+    archive = _nulls_but(spark, shape, [{"article_id": f"a{i}", "uri": f"u{i}", "pub_date": D(2001, 1 + i % 2, 5), "word_count": i} for i in range(1, 301)])
+    shape = views.popular_articles(spark, "/root/testdata/sf0.001").schema
+    popular = _nulls_but(spark, shape, [{"id": i, "asset_id": i, "snapshot_date": D(2024, 1, 2)} for i in range(1, 101)])
+    p = _Source(spark, str(tmp_path), archive=archive, popular=popular)
+    landing = loads._landing(p)
+    written = [f for feed in (ARCHIVE_SLIM, POPULAR_SLIM) for f in Path(landing, feed).rglob("part-*") if not f.name.endswith(".crc")]
+    assert written and all(f.name.endswith(".json.gz") for f in written)
+    plain = f"{tmp_path}/plain/{ARCHIVE_SLIM}"
+    slim.transform_archive(spark, f"{tmp_path}/landing/archive_raw", plain, multiline=False)
+    got = sorted(repr(r) for r in records.slim_archive(spark, f"{landing}/{ARCHIVE_SLIM}").drop("file_path").collect())
+    assert len(got) > 200 and got == sorted(repr(r) for r in records.slim_archive(spark, plain).drop("file_path").collect())
+    none = spark.createDataFrame([], "source string, path string")
+    status = files.file_status(files.route(files.list_files(spark, landing), landing), none)
+    assert status.where("status = 'pending'").count() == len(written)
+    assert {(r.feed, r.year, r.month) for r in status.where(F.col("feed") == ARCHIVE_SLIM).select(
+        "feed", files.path_year(F.col("path")).alias("year"), files.path_month(F.col("path")).alias("month")
+    ).collect()} == {(ARCHIVE_SLIM, 2001, 1), (ARCHIVE_SLIM, 2001, 2)}
