@@ -193,8 +193,10 @@ def _slim_popular(p: Press) -> str:
     )
 
 
-def _landing(p: Press) -> str:
-    _slim_archive(p)
+def _landing(p: Press, archive: bool = True) -> str:
+    """The slim landing folder; ``archive=False`` writes only the popularity feed, for loads that read nothing else."""
+    if archive:
+        _slim_archive(p)
     _slim_popular(p)
     return f"{p.root}/landing/slim"
 
@@ -255,9 +257,9 @@ def _readable_popular(df: DataFrame) -> DataFrame:
     )
 
 
-def _targets(p: Press, name: str) -> load.Targets:
+def _targets(p: Press, name: str, archive: bool = True) -> load.Targets:
     database = f"news_{name}_{p.mark}"
-    return load.create_targets(p.spark, database, f"{p.root}/db/{name}", _landing(p))
+    return load.create_targets(p.spark, database, f"{p.root}/db/{name}", _landing(p, archive))
 
 
 # --- listings ------------------------------------------------------------------------------------
@@ -649,7 +651,8 @@ def _streamed(p: Press) -> DataFrame:
 
 
 def _streamed_popular(p: Press) -> DataFrame:
-    to = _targets(p, f"stream_{p.fresh()}")
+    """The popularity table after a stream of its feed; the archive feed is not written, as the stream never reads it."""
+    to = _targets(p, f"stream_{p.fresh()}", archive=False)
     query = start_loading(
         p.spark, to, POPULAR_SLIM, f"{p.root}/stream/{p.fresh()}", available_now=True
     )

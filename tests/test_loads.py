@@ -565,3 +565,30 @@ def test_slim_landing_is_compressed_and_listed_as_feed_files(spark, tmp_path):
     assert {(r.feed, r.year, r.month) for r in status.where(F.col("feed") == ARCHIVE_SLIM).select(
         "feed", files.path_year(F.col("path")).alias("year"), files.path_month(F.col("path")).alias("month")
     ).collect()} == {(ARCHIVE_SLIM, 2001, 1), (ARCHIVE_SLIM, 2001, 2)}
+
+
+def test_streamed_popular_writes_only_its_feed(spark, tmp_path):
+    """The popularity stream needs no archive landing: with events alone it loads every snapshot row."""
+    import pandas as pd
+
+    from newsmart.registry.press import Press
+
+    events = pd.DataFrame(
+        {
+            "event_id": [1, 2, 3, 4],
+            "ts": pd.to_datetime(["2024-01-02 10:00", "2024-01-02 11:00", "2024-01-03 09:00", "2024-01-03 09:30"]),
+            "user_id": [10, 10, 11, 12],
+            "event_type": ["view", "click", "view", "view"],
+            "value": [1.0, 2.0, 3.0, 4.0],
+            "props": ['{"k": 1}', '{"k": 2}', '{"k": 3}', None],
+        }
+    )
+    tables_dir = tmp_path / "tables"
+    tables_dir.mkdir()
+    events.to_parquet(tables_dir / "events.parquet", coerce_timestamps="us")
+    p = Press(spark, str(tables_dir))
+    out = loads.MODELS["s9_streamed_popular"](p)
+    assert sorted((str(r.snapshot_date), r.id) for r in out.select("snapshot_date", "id").collect()) == [
+        ("2024-01-02", 10), ("2024-01-03", 11), ("2024-01-03", 12)
+    ]
+    assert not Path(f"{p.root}/landing/slim/{ARCHIVE_SLIM}").exists()
