@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsmart import schemas
 from newsmart.operators import shaping
-from newsmart.operators.tables import by_folder, scratch
+from newsmart.operators.tables import by_folder, lie_together, pieces, released, scratch, side_by_side
 from newsmart.sources import files, records
 
 
@@ -19,11 +20,14 @@ def write_slim(
 ) -> None:
     """JSON lines in one folder per value of ``by``; null fields are written out.
 
+    The rows should be stored: their folders are read first. Where a folder's rows lie in few tasks, as
+    they do when every raw file belongs to one folder, they are written as they lie, else brought together.
     ``overwrite`` replaces only the folders that get rows. ``compression`` is a codec of Spark's JSON
     writer (``gzip``: files end in ``.json.gz``); readers take it by the suffix.
     """
+    near = lie_together(pieces(slim, *by))
     writer = (
-        by_folder(slim, *by)
+        (slim if near else by_folder(slim, *by))
         .write.partitionBy(*by)
         .mode("overwrite" if overwrite else "append")
         .option("partitionOverwriteMode", "dynamic")
@@ -31,7 +35,8 @@ def write_slim(
     )
     if compression:
         writer = writer.option("compression", compression)
-    writer.json(folder)
+    with released(slim.sparkSession), side_by_side(slim.sparkSession) if near else nullcontext():
+        writer.json(folder)
 
 
 #: Raw files whose paths are on the driver at once.
@@ -105,11 +110,13 @@ def _transform(
         # sorted, so that files of one output folder are worked off together
         todo = spark.table(saved).orderBy(*from_path, "path")
         for paths in _in_chunks(todo, list(from_path)):
-            rows = checked(paths)
-            bad = shaping.rejected(rows)
-            schema = bad.schema
-            bad.write.mode("append").parquet(kept)
-            write_slim(accepted(rows), slim, list(from_path), overwrite, compression)
+            # saved as columns, the raw JSON is parsed once for the rejected records and the slim files
+            with scratch(checked(paths)) as parsed:
+                rows = spark.table(parsed)
+                bad = shaping.rejected(rows)
+                schema = bad.schema
+                bad.write.mode("append").parquet(kept)
+                write_slim(accepted(rows), slim, list(from_path), overwrite, compression)
             chunk = spark.createDataFrame([(p,) for p in paths], "path string")
             noted = _values(chunk, raw, from_path).withColumnRenamed("path", "value").groupBy(*from_path).agg(F.min("value").alias("value"))
             by_folder(noted, *from_path).write.partitionBy(*from_path).mode("append").text(done_folder(slim))

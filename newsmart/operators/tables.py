@@ -5,9 +5,9 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from newsmart.schemas import Fields, struct_type
@@ -39,6 +39,18 @@ def create_database(spark: SparkSession, name: str, location: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{location}'")
 
 
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """While the block runs, a write's shuffle files are given up when it ends, not when the driver happens to collect garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @contextmanager
 def scratch(df: DataFrame) -> Iterator[str]:
     """Name of a table that holds ``df`` while the block runs.
@@ -50,7 +62,8 @@ def scratch(df: DataFrame) -> Iterator[str]:
     create_database(spark, SCRATCH, f"{shared_dir(spark)}/newsmart/scratch")
     name = f"{SCRATCH}.t_{uuid.uuid4().hex}"
     try:
-        df.write.format("parquet").saveAsTable(name)
+        with released(spark):
+            df.write.format("parquet").saveAsTable(name)
         yield name
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
@@ -75,6 +88,45 @@ def by_folder(df: DataFrame, *folders: str) -> DataFrame:
     return df.hint("rebalance", *folders)
 
 
+#: Folders that a task writes side by side; rows of further ones are sorted by folder first.
+WRITERS = 16
+
+
+@contextmanager
+def side_by_side(spark: SparkSession) -> Iterator[None]:
+    """While the block runs, a task keeps the files of up to WRITERS folders open instead of sorting its rows by folder."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(WRITERS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def pieces(rows: DataFrame, folder: Column | str, *folders: Column | str) -> list[Row]:
+    """Each folder's rows (``n``), the tasks that read some of them (``tasks``), the highest of these (``last``).
+
+    Reads the rows' folder columns, so the rows should be stored. One entry a folder comes to the driver.
+    """
+    named = [(F.col(c) if isinstance(c, str) else c).alias(f"value_{i}") for i, c in enumerate((folder, *folders))]
+    values = [f"value_{i}" for i in range(len(named))]
+    by_task = rows.select(*named, F.spark_partition_id().alias("task")).groupBy(*values, "task").agg(F.count(F.lit(1)).alias("n"))
+    return by_task.groupBy(*values).agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("tasks"), F.max("task").alias("last")
+    ).collect()
+
+
+def lie_together(found: Sequence[Row]) -> bool:
+    """Whether a folder's rows are in few tasks, told from their pieces, as with files that each hold few folders.
+
+    Such rows can be written as they lie, without a shuffle: the files are at most about twice as many as
+    folders and tasks together.
+    """
+    tasks = max((r["last"] for r in found), default=0) + 1
+    return sum(r["tasks"] for r in found) <= 2 * (len(found) + tasks)
+
+
 #: Ranges of a column in an interleaved order are 2 ** RANGE_BITS, told from about SAMPLE_ROWS rows.
 RANGE_BITS, SAMPLE_ROWS = 5, 20_000
 
@@ -117,9 +169,12 @@ def write_table(
     key: str | None = None,
     mode: str = "overwrite",
     interleave: bool = False,
+    together: bool = False,
 ) -> None:
     """Writes a table, optionally partitioned and clustered.
 
+    ``together`` says that the rows of a partition are in few tasks (``lie_together``), which then write them without a shuffle.
+
     A clustered table is ranged and sorted by partition, cluster columns and key, so that file
     statistics can skip data; the key at the end keeps one large cluster value from filling a task.
     That helps filters on the first column; ``interleave`` orders by all cluster columns alike, so
@@ -132,12 +187,13 @@ def write_table(
     elif cluster:
         order = [c for c in (partition, *cluster, key) if c]
         df = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    elif partition:
+    elif partition and not together:
         df = by_folder(df, partition)
     writer = df.write.format("parquet").mode(mode)
     if partition:
         writer = writer.partitionBy(partition)
-    writer.saveAsTable(name)
+    with released(df.sparkSession), side_by_side(df.sparkSession) if partition and together else nullcontext():
+        writer.saveAsTable(name)
 
 
 def materialize(df: DataFrame, name: str, kind: str) -> DataFrame:
