@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from newsmart import schemas
 from newsmart.operators import tables
 from newsmart.operators.keys import KeyIndex, KeyState
-from newsmart.operators.tables import current, insert_only, scratch, without_keys, write_table
+from newsmart.operators.tables import current, insert_only, lie_together, pieces, scratch, without_keys, write_table
 
 LOAD_ID = "load_id"
 LEDGER: schemas.Fields = {
@@ -147,10 +148,12 @@ def merge_batch(
     batch: str,
     files: Iterable[str] = (),
     index: KeyIndex | None = None,
+    stored: bool = False,
 ) -> bool:
     """Insert-only merge of a batch, exactly once; False where the batch was done before.
 
     Rows whose keys the table doesn't hold are added, those without a key as well. With an index the table isn't read.
+    ``stored`` says that the source reads saved tables and gives the same rows each time; others are saved first.
     """
     ledger = Ledger(spark, name)
     if ledger.is_done(batch):
@@ -158,15 +161,17 @@ def merge_batch(
     ledger.recover(partition)
     attempt = f"{batch}/{uuid.uuid4().hex[:12]}"
     fresh = _to_add(spark, name, source, keys, partition, index, ledger.key_state())
-    with scratch(fresh.withColumn(LOAD_ID, F.lit(attempt))) as saved:
-        rows = spark.table(saved)
-        counts = rows.groupBy(F.col(partition).cast("string").alias("value")).count().collect()
-        n = sum(r["count"] for r in counts)
+    fresh = fresh.withColumn(LOAD_ID, F.lit(attempt))
+    with nullcontext() if stored else scratch(fresh) as saved:
+        rows = spark.table(saved) if saved else fresh
+        found = pieces(rows, F.col(partition).cast("string"))
+        values, n = [r["value_0"] for r in found], sum(r["n"] for r in found)
         if n:
-            ledger.note(batch, attempt, BEGUN, [r["value"] for r in counts])
-            write_table(rows, name, partition, mode="append")
-            if index is not None:
-                index.add(rows, ledger.key_state())
+            ledger.note(batch, attempt, BEGUN, values)
+            write_table(rows, name, partition, mode="append", together=lie_together(found))
+            if index is not None:  # from the table, as the source may not be read again once its keys are known
+                added = current(spark, name).where(in_partitions(partition, values)).where(F.col(LOAD_ID) == attempt)
+                index.add(added, ledger.key_state())
         ledger.note(batch, attempt, DONE, files=files, n_rows=n)
     if index is not None and index.is_crowded(ledger.key_state()):
         note_index(ledger, index.flush(ledger.key_state()))

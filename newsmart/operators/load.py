@@ -84,10 +84,16 @@ def _object_path(to: Targets) -> Column:
 
 
 def _whole_files(staged: DataFrame, manifest: DataFrame, done: DataFrame) -> DataFrame:
-    """Records of files that no batch took in and that hold no rejected record."""
-    broken = shaping.rejected(staged).select("file_path").distinct()
-    taken = manifest.select("path").unionByName(done).distinct().select(F.col("path").alias("file_path"))
-    return staged.join(broken, "file_path", "left_anti").join(taken, "file_path", "left_anti")
+    """Records of files that no batch took in and that hold no rejected record.
+
+    The paths of a batch's other files come to the driver and filter the records; a join by path would
+    shuffle whole records, those of a large file into one task.
+    """
+    path = F.col("file_path").alias("path")
+    broken = shaping.rejected(staged).select(path)
+    known = broken.unionByName(manifest.select("path")).unionByName(done).distinct()
+    others = [r["path"] for r in staged.select(path).distinct().join(known, "path", "left_semi").collect()]
+    return staged.where(~F.coalesce(F.col("file_path").isin(others), F.lit(False))) if others else staged
 
 
 def _note(spark: SparkSession, to: Targets, feed: str, loaded: DataFrame) -> None:
@@ -99,6 +105,23 @@ def _note(spark: SparkSession, to: Targets, feed: str, loaded: DataFrame) -> Non
     write_table(rows, to.manifest, mode="append")
 
 
+def _table(to: Targets, feed: str) -> str:
+    return to.archive if feed == ARCHIVE_SLIM else to.popular
+
+
+def note_loaded(spark: SparkSession, to: Targets, feed: str) -> None:
+    """Notes the files of finished batches that the manifest lacks, as after a stop between ledger and manifest."""
+    _note(spark, to, feed, Ledger(spark, _table(to, feed)).done_files())
+
+
+def not_taken(spark: SparkSession, to: Targets, feed: str, found: DataFrame) -> list[str]:
+    """Those of the found paths that neither the manifest nor a finished batch names."""
+    taken = current(spark, to.manifest).select("path").unionByName(Ledger(spark, _table(to, feed)).done_files())
+    taken = taken.select(F.col("path").alias("object_path"))
+    here = found.select("path", files.below("path", to.landing).alias("object_path")).distinct()
+    return [r["path"] for r in here.join(taken, "object_path", "left_anti").select("path").collect()]
+
+
 def _refuse(spark: SparkSession, to: Targets, feed: str, reasons: DataFrame) -> None:
     """Notes (path, reason) of files that were not taken, each pair once."""
     there = current(spark, to.refused).select("path", "reason")
@@ -132,12 +155,13 @@ def load_records(
     """
     path = _object_path(to).alias("path")
     if feed == ARCHIVE_SLIM:
-        checked, target, keys, partition = shaping.checked_articles(slim), to.archive, ["article_id"], "part_month"
+        checked, keys, partition = shaping.checked_articles(slim), ["article_id"], "part_month"
     else:
         undated = slim.where(F.col("snapshot_date").isNull())
         _refuse(spark, to, feed, undated.select(path, F.lit("no snapshot date").alias("reason")))
         checked = shaping.checked_popular(slim.where(F.col("snapshot_date").isNotNull()))
-        target, keys, partition = to.popular, ["snapshot_date", "id"], "snapshot_date"
+        keys, partition = ["snapshot_date", "id"], "snapshot_date"
+    target = _table(to, feed)
     checked = checked.withColumn("file_path", _object_path(to)).drop(schemas.CORRUPT)
     # Saved as columns, the JSON text is parsed once for the check, the merge and the manifest.
     with scratch(checked) as saved:
@@ -156,9 +180,9 @@ def load_records(
         files_taken = [r.path for r in seen.join(ledger.done_files(), "path", "left_anti").collect()]
         index = archive_keys(spark, to) if feed == ARCHIVE_SLIM else None
         if files_taken:
-            merge_batch(spark, target, rows, keys, partition, uuid.uuid4().hex, files_taken, index)
+            merge_batch(spark, target, rows, keys, partition, uuid.uuid4().hex, files_taken, index, stored=True)
         # the manifest follows the ledger; after a stop between the two, the files of an older batch are noted here
-        _note(spark, to, feed, Ledger(spark, target).done_files())
+        note_loaded(spark, to, feed)
 
 
 def pending_files(spark: SparkSession, to: Targets) -> DataFrame:
