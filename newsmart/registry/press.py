@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from newsmart.operators.flatten import authors_flattened, keywords_flattened
 from newsmart.operators.staging import stg_archive_articles, stg_most_popular_articles
+from newsmart.operators.tables import released
 from newsmart.plans import core, marts
 from newsmart.session import shared_dir
 from newsmart.sources import views
@@ -42,7 +43,8 @@ class Press:
     def once(self, name: str, folder: str, write: Callable[[], object]) -> str:
         """The folder, after ``write`` has filled it on first use."""
         if name not in self._written:
-            write()
+            with released(self.spark):
+                write()
             self._written.add(name)
         return folder
 
@@ -51,7 +53,8 @@ class Press:
         if name not in self._saved:
             df = make()
             path = f"{self.root}/{name}"
-            df.write.mode("overwrite").parquet(path)
+            with released(self.spark):
+                df.write.mode("overwrite").parquet(path)
             self._saved[name] = self.spark.read.schema(df.schema).parquet(path)
         return self._saved[name]
 

@@ -4,8 +4,8 @@ An order becomes an article, its lines become keywords, authors and media; a use
 become a row of that day's popularity snapshot. Nulls, blanks and repeated entries are put in by key
 arithmetic so that the cleaning and counting rules have work to do.
 
-Lines are read and joined once. Their distinct keywords and suppliers are gathered per order and line
-status first, then per order, so that partial sums meet and not single lines.
+Distinct keywords and suppliers are gathered per order in one shuffle; the media counts come from a narrow second
+pass over the lines, per order and line status first, so that partial sums meet and not single lines.
 """
 
 from __future__ import annotations
@@ -56,26 +56,20 @@ def _some_twice(entries: Column, chosen) -> Column:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keywords, persons and media counts of each order, from one pass over the lines."""
+    """Keywords, persons and media counts of each order."""
     lines = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"
     )
     parts = _read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand", "p_name")
-    by_status = (
-        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
-        .groupBy("l_orderkey", "l_linestatus")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.collect_set(F.when(F.col("p_partkey").isNotNull(), _keyword())).alias("k"),
-            F.collect_set("l_suppkey").alias("s"),
-        )
+    joined = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+    sets = joined.groupBy("l_orderkey").agg(
+        F.collect_set(F.when(F.col("p_partkey").isNotNull(), _keyword())).alias("k"),
+        F.collect_set("l_suppkey").alias("s"),
     )
+    by_status = joined.groupBy("l_orderkey", "l_linestatus").agg(F.count(F.lit(1)).alias("n"))
     entry = F.struct("l_linestatus", "n")
-    by_order = by_status.groupBy("l_orderkey").agg(
-        F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("media"),
-        F.array_distinct(F.flatten(F.collect_list("k"))).alias("k"),
-        F.array_distinct(F.flatten(F.collect_list("s"))).alias("s"),
-    )
+    media = by_status.groupBy("l_orderkey").agg(F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("media"))
+    by_order = sets.join(media, "l_orderkey")
     return by_order.select(
         F.col("l_orderkey").alias("o_orderkey"),
         F.transform(

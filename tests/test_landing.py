@@ -107,3 +107,19 @@ def test_stored_rows_are_merged_without_another_copy(spark, database, monkeypatc
         rows_in = spark.table(source).where("article_id is not null") if batch == "2" else spark.table(source)
         assert ledger.merge_batch(spark, name, rows_in, ["article_id"], "part_month", batch, index=index, stored=True)
     assert rows(tables.current(spark, name), "article_id", "n", "part_month") == sorted(given, key=repr)
+
+
+# --- views ---------------------------------------------------------------------------------------
+
+
+def test_lines_are_gathered_once_per_order(spark, tmp_path):
+    """A repeated line and part count in the media, and once in keywords and persons."""
+    line = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_returnflag string, l_linestatus string"
+    given = [(1, 1, 5, 1, "R", "O"), (1, 1, 5, 1, "R", "O"), (1, 2, 7, 2, "N", "F"), (1, 9, None, 3, "N", "F"), (2, None, 5, 4, None, "F")]
+    spark.createDataFrame(given, line).write.parquet(str(tmp_path / "lineitem.parquet"))
+    part = [(1, "T", "Brand#1", "n"), (1, "T", "Brand#1", "n"), (2, "U", "Brand#7", "n")]
+    spark.createDataFrame(part, "p_partkey bigint, p_type string, p_brand string, p_name string").write.parquet(str(tmp_path / "part.parquet"))
+    found = {r.o_orderkey: r for r in views._lines(spark, str(tmp_path)).collect()}
+    assert found[1].multimedia_count_by_type == {"F": 2, "O": 4} and found[2].multimedia_count_by_type == {"F": 1}
+    assert [(k.name, k.value, k.rank, k.major) for k in found[1].keywords] == [("t", "Brand#1 n", 1, "Y"), ("u", None, 2, "N")]
+    assert len(found[1].byline_person) == 3 and found[2].keywords == []  # supplier 7 stands twice
