@@ -90,12 +90,16 @@ def label(rules: list[tuple[Column, str]], default: str | None = None) -> Column
 
 
 def coerce_long(text: Column) -> Column:
-    """Integer-valued text to bigint; anything else to null. A fraction counts however small it is."""
+    """Integer-valued text to bigint; anything else to null. A fraction counts however small it is.
+
+    Plain digits are told by one look; only other spellings are trimmed and taken apart.
+    """
     value = trim_ws(text)
     whole = F.regexp_extract(value, r"^([+-]?\d+)(?:\.0*)?$", 1)
     scaled = value.try_cast("double")  # with an exponent
     exact = (scaled == F.floor(scaled)) & (F.abs(scaled) < 2**53)
-    return F.when(whole != "", whole.try_cast("bigint")).when(
+    plain = text.rlike(r"^[+-]?\d+\z")
+    return F.when(plain, text.try_cast("bigint")).when(whole != "", whole.try_cast("bigint")).when(
         value.rlike(r"^[+-]?(?:\d+\.?\d*|\.\d+)[eE][+-]?\d+$") & exact, scaled.try_cast("bigint")
     )
 

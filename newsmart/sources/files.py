@@ -70,12 +70,17 @@ def below(path: Column | str, root: str) -> Column:
     return F.when(F.startswith(plain, F.lit(folder)), inside).otherwise(path)
 
 
+def _month_part(path: Column, group: int) -> Column:
+    """Only the last two folders and the name are searched; the pattern can't match further up."""
+    return F.regexp_extract(F.substring_index(path, "/", -3), MONTH_PATTERN, group).try_cast("int")
+
+
 def path_year(path: Column) -> Column:
-    return F.regexp_extract(path, MONTH_PATTERN, 1).try_cast("int")
+    return _month_part(path, 1)
 
 
 def path_month(path: Column) -> Column:
-    return F.regexp_extract(path, MONTH_PATTERN, 2).try_cast("int")
+    return _month_part(path, 2)
 
 
 def path_snapshot_date(path: Column, pattern: str = SNAPSHOT_PATTERN) -> Column:
