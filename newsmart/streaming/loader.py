@@ -3,37 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from newsmart import schemas
-from newsmart.operators.load import Targets, load_records
-from newsmart.schemas import CORRUPT, Fields, ddl
-from newsmart.sources.files import ARCHIVE_SLIM, POPULAR_SLIM, path_snapshot_date, read_path
+from newsmart.operators.load import Targets, load_records, note_loaded, not_taken
+from newsmart.sources import files, records
+from newsmart.sources.files import ARCHIVE_SLIM, POPULAR_SLIM
 
+FOUND = "path string, modificationTime timestamp, length bigint, content binary"
 
-def _stream(spark: SparkSession, folder: str, fields: Fields, files_per_batch: int) -> DataFrame:
+
+def new_files(spark: SparkSession, to: Targets, feed: str, files_per_batch: int = 1000) -> DataFrame:
+    """Paths of new files of one feed, as a stream. File contents are not read."""
     return (
-        spark.readStream.schema(ddl(fields))
-        .option("columnNameOfCorruptRecord", CORRUPT)
+        spark.readStream.format("binaryFile")
+        .schema(FOUND)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", str(files_per_batch))
-        .json(folder)
-        .select("*", read_path().alias("file_path"))
+        .load(f"{to.landing}/{feed}")
+        .select("path")
     )
 
 
-def slim_stream(
-    spark: SparkSession, to: Targets, feed: str, files_per_batch: int = 1000
-) -> DataFrame:
-    """Records of new files of one feed."""
-    folder = f"{to.landing}/{feed}"
-    if feed == ARCHIVE_SLIM:
-        return _stream(spark, folder, schemas.SLIM_ARCHIVE_FILE, files_per_batch)
-    rows = _stream(spark, folder, schemas.SLIM_POPULAR_FILE, files_per_batch)
-    return rows.withColumn("snapshot_date", path_snapshot_date(F.col("file_path")))
-
-
 def start_loading(
     spark: SparkSession,
     to: Targets,
@@ -44,15 +34,22 @@ def start_loading(
 ) -> StreamingQuery:
     """Loads each batch of new files. The stream's checkpoint skips files seen before; with a new
     checkpoint the manifest does. Files that do not fit stand in the table of refused files, and a
-    backfill tries them again. A batch that comes twice is loaded once, as the table's ledger knows its files."""
+    backfill tries them again. A batch that comes twice is loaded once, as the table's ledger knows its files;
+    files that it or the manifest names are not read. Paths of a batch come to the driver."""
     if feed not in (ARCHIVE_SLIM, POPULAR_SLIM):
         raise ValueError(f"unknown feed {feed}")
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_records(batch.sparkSession, to, feed, batch)
+        session = batch.sparkSession
+        paths = [files.literal(p) for p in not_taken(session, to, feed, batch)]
+        if not paths:
+            note_loaded(session, to, feed)
+            return
+        read = records.slim_archive if feed == ARCHIVE_SLIM else records.slim_popular
+        load_records(session, to, feed, read(session, paths))
 
     writer = (
-        slim_stream(spark, to, feed, files_per_batch)
+        new_files(spark, to, feed, files_per_batch)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
     )
